@@ -1,11 +1,11 @@
-"""Joins to a table that is unique on the join key, safe against hot and missing keys."""
+"""Equi-joins that are safe against hot and missing keys."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 SALTS = 64
 
@@ -15,7 +15,7 @@ def hot_keys(df: DataFrame, cols: Sequence[str], share: float = 0.01) -> dict[st
 
     One pass with a mergeable heavy-hitter sketch: keys are not shuffled, and at most
     ``1 / share`` values per column come back whatever the size of the table. The lists
-    only steer the spread of :func:`lookup_join`; its result is the same for any list.
+    only steer the spread of :func:`spread_join`; its result is the same for any list.
     """
     most = int(1 / share)
     tracked = most * 40
@@ -27,36 +27,50 @@ def hot_keys(df: DataFrame, cols: Sequence[str], share: float = 0.01) -> dict[st
     return {c: [e["item"] for e in row[c] or [] if e["item"] is not None and e["count"] > floor] for c in cols}
 
 
-def lookup_join(
+def names_of(keys: str | Sequence[str]) -> list[str]:
+    return [keys] if isinstance(keys, str) else list(keys)
+
+
+def any_null(names: Sequence[str]) -> Column:
+    test = F.lit(False)
+    for k in names:
+        test = test | F.col(k).isNull()
+    return test
+
+
+def spread_join(
     left: DataFrame,
-    lookup: DataFrame,
-    key: str,
+    right: DataFrame,
+    keys: str | Sequence[str],
+    how: str,
     *,
-    row_id: str,
-    how: str = "left",
+    row_id: str | None = None,
     hot: Sequence[Any] = (),
 ) -> DataFrame:
-    """Join ``left`` to ``lookup``, which has at most one row per ``key``.
+    """Inner, left, semi or anti equi-join in which no key gathers its left rows in one task.
 
-    Rows of ``left`` with a NULL key match nothing, yet a plain join sends them all to one
-    task; here they are spread by ``row_id``. The same is done to the rows of the ``hot``
-    keys, whose single lookup row is repeated once per salt. Nothing is dropped, and
-    Spark is still free to broadcast ``lookup`` when its measured size allows.
+    Left rows with a NULL key match nothing, yet a plain outer or anti join sends them all
+    to one task; here they are spread by ``row_id`` (or by all their columns). The same is
+    done to the rows of the ``hot`` values of a single key, whose right rows are repeated
+    once per salt. Nothing is dropped, and Spark is still free to broadcast the right side
+    when its measured size allows.
     """
-    if how == "inner" and not hot:
-        return left.join(lookup, key, how)  # Spark filters the NULL keys away by itself
-    spread = F.pmod(F.xxhash64(F.col(row_id)), F.lit(SALTS)).cast("int")
-    is_hot = F.col(key).isin(list(hot)) if hot else F.lit(False)
-    salted = left.withColumn("_salt", F.when(F.col(key).isNull() | is_hot, spread).otherwise(F.lit(0)))
+    names = names_of(keys)
+    if how in ("inner", "left_semi") and not hot:
+        return left.join(right, names, how)  # Spark filters the NULL keys away by itself
+    by = [row_id] if row_id else left.columns
+    spread = F.pmod(F.xxhash64(*by), F.lit(SALTS)).cast("int")
+    is_hot = F.col(names[0]).isin(list(hot)) if hot else F.lit(False)
+    salted = left.withColumn("_salt", F.when(any_null(names) | is_hot, spread).otherwise(F.lit(0)))
     # Always 0, but not a constant to the optimizer, which would take the salt out of the
     # shuffle keys again.
-    zero = F.pmod(F.xxhash64(F.col(key)), F.lit(1)).cast("int")
+    zero = F.pmod(F.xxhash64(*names), F.lit(1)).cast("int")
     if hot:
         copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(zero))
-        lookup = lookup.withColumn("_salt", F.explode(copies))
+        right = right.withColumn("_salt", F.explode(copies))
     else:
-        lookup = lookup.withColumn("_salt", zero)
-    return salted.join(lookup, [key, "_salt"], how).drop("_salt")
+        right = right.withColumn("_salt", zero)
+    return salted.join(right, [*names, "_salt"], how).drop("_salt")
 
 
 def only_keys_of(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:

@@ -11,16 +11,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from stratalith.operators.dedup import latest_per_key
-from stratalith.operators.joins import SALTS
-
-
-def _names(keys: str | Sequence[str]) -> list[str]:
-    return [keys] if isinstance(keys, str) else list(keys)
+from stratalith.operators.joins import any_null, names_of, spread_join
 
 
 def source_keys(source: DataFrame, keys: str | Sequence[str], check: bool) -> DataFrame:
     """The keys a merge matches on; counted and tested in the same pass when asked."""
-    names = _names(keys)
+    names = names_of(keys)
     if not check:
         return source.select(*names)
     told = F.concat(F.lit("merge source repeats key "), F.to_json(F.struct(*names)))
@@ -30,8 +26,18 @@ def source_keys(source: DataFrame, keys: str | Sequence[str], check: bool) -> Da
 
 def insert_missing(target: DataFrame, source: DataFrame, keys: str | Sequence[str]) -> DataFrame:
     """Add the source rows whose key the target lacks; existing rows stay as they are."""
-    names = _names(keys)
-    return target.unionByName(source.join(target.select(*names), names, "left_anti"))
+    names = names_of(keys)
+    return target.unionByName(_unmatched(source, target, names))
+
+
+def _unmatched(source: DataFrame, target: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Source rows whose key the target lacks.
+
+    The target keys are first reduced to those of the source, so a small source never
+    makes the target move.
+    """
+    common = target.select(*names).join(source.select(*names), names, "left_semi")
+    return spread_join(source, common, names, "left_anti")
 
 
 def upsert(
@@ -48,17 +54,19 @@ def upsert(
     the target unshuffled. With ``only_if_newer`` a matched row is replaced only by one
     with a greater value in that column (a NULL counts as oldest).
     """
-    names = _names(keys)
+    names = names_of(keys)
     if only_if_newer is None:
-        return target.join(source_keys(source, names, check), names, "left_anti").unionByName(source)
+        return spread_join(target, source_keys(source, names, check), names, "left_anti").unionByName(source)
 
-    incoming = source.join(source_keys(source, names, True), names, "left_semi") if check else source
+    incoming = _checked(source, names) if check else source
     both = target.withColumn("_side", F.lit(1)).unionByName(incoming.withColumn("_side", F.lit(0)))
-    keyless = F.lit(False)
-    for k in names:
-        keyless = keyless | F.col(k).isNull()
-    newest = latest_per_key(both.filter(~keyless), names, [only_if_newer, "_side"])
-    return newest.unionByName(both.filter(keyless)).drop("_side")
+    newest = latest_per_key(both.filter(~any_null(names)), names, [only_if_newer, "_side"])
+    return newest.unionByName(both.filter(any_null(names))).drop("_side")
+
+
+def _checked(source: DataFrame, names: Sequence[str]) -> DataFrame:
+    known = source.join(source_keys(source, names, True), names, "left_semi")
+    return known.unionByName(source.filter(any_null(names)))
 
 
 def merge_columns(
@@ -77,48 +85,29 @@ def merge_columns(
     NULL; an empty mapping adds none. A match is told by a flag, not by ``coalesce``: a
     NULL in the source overwrites.
     """
-    names = _names(keys)
+    names = names_of(keys)
     if insert is None:
         insert = {c: c for c in source.columns}
+    if check:
+        source = _checked(source, names)
 
     def value(v: str | Column) -> Column:
         return F.col(f"s.{v}") if isinstance(v, str) else v
 
-    def salted(df: DataFrame, flag: str) -> DataFrame:
-        # Rows that can match nothing must not meet in one task of the outer join.
-        keyless = F.lit(False)
-        for k in names:
-            keyless = keyless | F.col(k).isNull()
-        spread = F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int")
-        return df.withColumns({flag: F.lit(True), "_salt": F.when(keyless, spread).otherwise(F.lit(0))})
-
-    if check:
-        source = source.join(source_keys(source, names, True), names, "left_semi").unionByName(
-            source.filter(~_all_present(names))
-        )
-    t, s = salted(target, "_in_target").alias("t"), salted(source, "_in_source").alias("s")
-    on = F.col("t._salt") == F.col("s._salt")
-    for k in names:
-        on = on & (F.col(f"t.{k}") == F.col(f"s.{k}"))
-    matched = F.col("t._in_target") & F.col("s._in_source")
-    new = F.col("t._in_target").isNull()
-
-    out = []
-    for field in target.schema.fields:
-        c = field.name
-        kept = F.col(f"t.{c}")
-        changed = F.when(matched, value(update[c])) if c in update else F.when(matched, kept)
-        added = value(insert[c]) if c in insert else F.lit(None)
-        out.append(changed.when(new, added).otherwise(kept).cast(field.dataType).alias(c))
-    merged = t.join(s, on, "full_outer" if insert else "left")
-    return merged.select(*out)
-
-
-def _all_present(names: Sequence[str]) -> Column:
-    test = F.lit(True)
-    for k in names:
-        test = test & F.col(k).isNotNull()
-    return test
+    types = {f.name: f.dataType for f in target.schema.fields}
+    left, right = target.alias("t"), source.withColumn("_matched", F.lit(True)).alias("s")
+    matched = F.coalesce(F.col("_matched"), F.lit(False))
+    kept = spread_join(left, right, names, "left").select(*[
+        (F.when(matched, value(update[c])).otherwise(F.col(f"t.{c}")) if c in update else F.col(f"t.{c}"))
+        .cast(kind).alias(c)
+        for c, kind in types.items()
+    ])
+    if not insert:
+        return kept
+    new = _unmatched(source, target, names).alias("s").select(*[
+        (value(insert[c]) if c in insert else F.lit(None)).cast(kind).alias(c) for c, kind in types.items()
+    ])
+    return kept.unionByName(new)
 
 
 def update_where(df: DataFrame, predicate: Column, values: Mapping[str, Column]) -> DataFrame:

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from stratalith.operators.incremental import changed_since
-from stratalith.operators.joins import hot_keys, lookup_join, only_keys_of
+from stratalith.operators.joins import hot_keys, only_keys_of, spread_join
 
 CLOCKS = ("created_at", "updated_at")
 
@@ -51,18 +51,18 @@ def enrich_sales(
     )
     if few_orders:
         sold = only_keys_of(sold, orders, "order_id")
-    sold = lookup_join(
-        sold, products.select("product_id", "product_name", "category"), "product_id",
+    sold = spread_join(
+        sold, products.select("product_id", "product_name", "category"), "product_id", "left",
         row_id="order_item_id", hot=hot.product_id,
     )
-    placed = lookup_join(
+    placed = spread_join(
         orders.select(
             "order_id", "customer_id", "order_date", "order_status", "total_amount", "created_at", "updated_at"
         ),
         customers.select("customer_id", F.col("name").alias("customer_name"), "city", "state"),
-        "customer_id", row_id="order_id", hot=hot.customer_id,
+        "customer_id", "left", row_id="order_id", hot=hot.customer_id,
     )
-    joined = lookup_join(sold, placed, "order_id", row_id="order_item_id", how="inner", hot=hot.order_id)
+    joined = spread_join(sold, placed, "order_id", "inner", row_id="order_item_id", hot=hot.order_id)
     return joined.select(
         "order_item_id", "order_id", "customer_id", "product_id", "order_date", "order_status",
         "customer_name", "city", "state", "product_name", "category", "quantity", "unit_price",
@@ -101,10 +101,3 @@ def affected_orders(
             only_keys_of(order_items, changed_since(products, mark, CLOCKS), "product_id").select("order_id")
         )
     return only_keys_of(orders, ids, "order_id")
-
-
-def flagship(tables: Mapping[str, DataFrame], hot: HotKeys = HotKeys()) -> DataFrame:
-    """Full enrichment of four cleaned tables held by name."""
-    return enrich_sales(
-        tables["order_items"], tables["orders"], tables["customers"], tables["products"], hot=hot
-    )

@@ -49,7 +49,10 @@ def log_entry(
     spark: SparkSession, run_id: str, layer: str, table: str, status: str, rows: int,
     message: str, start: datetime, end: datetime,
 ) -> DataFrame:
-    return spark.createDataFrame([(run_id, layer, table, status, int(rows), message, start, end)], RUN_LOG)
+    values = (run_id, layer, table, status, int(rows), message, start, end)
+    return spark.range(1, numPartitions=1).select(
+        *[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(values, RUN_LOG.fields, strict=True)]
+    )
 
 
 def seeds(spark: SparkSession, tables: Iterable[str], now: Column | None = None) -> DataFrame:
