@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from stratalith.operators.dedup import latest_per_key
-from stratalith.operators.joins import any_null, names_of, spread_join
+from stratalith.operators.joins import SALTS, any_null, names_of, spread_join
 
 
 def source_keys(source: DataFrame, keys: str | Sequence[str], check: bool) -> DataFrame:
@@ -77,6 +77,7 @@ def merge_columns(
     update: Mapping[str, str | Column],
     insert: Mapping[str, str | Column] | None = None,
     check: bool = False,
+    similar_size: bool = False,
 ) -> DataFrame:
     """Merge that sets only the ``update`` columns of matched rows.
 
@@ -84,6 +85,9 @@ def merge_columns(
     Unmatched source rows get the ``insert`` columns (all of them when ``None``), the rest
     NULL; an empty mapping adds none. A match is told by a flag, not by ``coalesce``: a
     NULL in the source overwrites.
+
+    A small batch can be broadcast and leaves the target unshuffled. When both sides are of
+    ``similar_size`` one full outer join does the work: each side is read and moved once.
     """
     names = names_of(keys)
     if insert is None:
@@ -95,6 +99,9 @@ def merge_columns(
         return F.col(f"s.{v}") if isinstance(v, str) else v
 
     types = {f.name: f.dataType for f in target.schema.fields}
+    if similar_size:
+        return _merge_outer(target, source, names, types, {c: value(v) for c, v in update.items()},
+                            {c: value(v) for c, v in insert.items()})
     left, right = target.alias("t"), source.withColumn("_matched", F.lit(True)).alias("s")
     matched = F.coalesce(F.col("_matched"), F.lit(False))
     kept = spread_join(left, right, names, "left").select(*[
@@ -110,6 +117,32 @@ def merge_columns(
     return kept.unionByName(new)
 
 
+def _merge_outer(
+    target: DataFrame,
+    source: DataFrame,
+    names: Sequence[str],
+    types: Mapping[str, T.DataType],
+    update: Mapping[str, Column],
+    insert: Mapping[str, Column],
+) -> DataFrame:
+    def salted(df: DataFrame, flag: str) -> DataFrame:
+        # Rows without a key match nothing and must not meet in one task.
+        spread = F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int")
+        return df.withColumns({flag: F.lit(True), "_salt": F.when(any_null(names), spread).otherwise(F.lit(0))})
+
+    t, s = salted(target, "_old").alias("t"), salted(source, "_new").alias("s")
+    on = F.col("t._salt") == F.col("s._salt")
+    for k in names:
+        on = on & (F.col(f"t.{k}") == F.col(f"s.{k}"))
+    matched, added = F.col("_old") & F.col("_new"), F.col("_old").isNull()
+    out = []
+    for c, kind in types.items():
+        kept = F.col(f"t.{c}")
+        new = insert.get(c, F.lit(None))
+        out.append(F.when(matched, update.get(c, kept)).when(added, new).otherwise(kept).cast(kind).alias(c))
+    return t.join(s, on, "full_outer" if insert else "left").select(*out)
+
+
 def update_where(df: DataFrame, predicate: Column, values: Mapping[str, Column]) -> DataFrame:
     """Set ``values`` where ``predicate`` is true; false and NULL leave the row alone."""
     return df.withColumns({c: F.when(predicate, v).otherwise(F.col(c)) for c, v in values.items()})

@@ -78,13 +78,13 @@ def tracked(
 
     try:
         if mark_name:
-            one = wh.spark.createDataFrame([(mark_name,)], "table_name string")
+            one = control.names(wh.spark, mark_name)
             wh.change_marks(lambda marks: control.mark_running(marks, one, F.current_timestamp()))
         done = body(run_id)
         log("SUCCESS", done.rows, done.message)
         if mark_name:
-            moved = wh.spark.range(1).select(
-                F.lit(mark_name).alias("table_name"),
+            moved = one.select(
+                "table_name",
                 (F.lit(None).cast("timestamp") if done.mark is None else mark_literal(done.mark)).alias("last_run_ts"),
                 F.lit(run_id).alias("last_run_id"),
                 F.lit("SUCCESS").alias("status"),

@@ -42,7 +42,8 @@ def new_run_id() -> str:
 
 
 def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
+    nothing = spark.range(0, numPartitions=1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return nothing.select(*[F.col(f.name).alias(f.name, metadata=f.metadata) for f in schema.fields])
 
 
 def log_entry(
@@ -55,10 +56,14 @@ def log_entry(
     )
 
 
+def names(spark: SparkSession, *tables: str) -> DataFrame:
+    """The given table names, one per row."""
+    return spark.range(1, numPartitions=1).select(F.explode(F.array(*[F.lit(t) for t in tables])).alias("table_name"))
+
+
 def seeds(spark: SparkSession, tables: Iterable[str], now: Column | None = None) -> DataFrame:
     """A first row per table: the first mark, no run, status INIT."""
-    names = spark.createDataFrame([(t,) for t in tables], "table_name string")
-    return names.select(
+    return names(spark, *tables).select(
         "table_name",
         first_mark().alias("last_run_ts"),
         F.lit(None).cast("string").alias("last_run_id"),
@@ -72,10 +77,10 @@ def seed_marks(control: DataFrame, new: DataFrame) -> DataFrame:
     return insert_missing(control, new, "table_name")
 
 
-def mark_running(control: DataFrame, names: DataFrame, now: Column) -> DataFrame:
-    """Set RUNNING for the tables in ``names``, adding a first row for a new one."""
+def mark_running(control: DataFrame, starting: DataFrame, now: Column) -> DataFrame:
+    """Set RUNNING for the tables named in ``starting``, adding a first row for a new one."""
     return merge_columns(
-        control, names, "table_name",
+        control, starting, "table_name", similar_size=True,
         update={"status": F.lit("RUNNING"), "updated_at": now},
         insert={
             "table_name": "table_name", "last_run_ts": first_mark(),
@@ -99,7 +104,8 @@ def mark_success(
     if "last_run_ts" in update:
         update["last_run_ts"] = F.coalesce(F.col("s.last_run_ts"), F.col("t.last_run_ts"))
     return merge_columns(
-        control, new, "table_name", update=update, insert={c: c for c in ("table_name", *columns)}
+        control, new, "table_name", similar_size=True,
+        update=update, insert={c: c for c in ("table_name", *columns)},
     )
 
 

@@ -265,12 +265,11 @@ def last_watermark(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def mark_lifecycle(spark: SparkSession, d: str) -> DataFrame:
-    """Seeds, a success for every entity, a load that starts and one that fails."""
+    """Seeds, two loads that start, one success per other entity, and a later failure."""
     now = F.lit("2024-01-01 07:00:00").cast("timestamp")
     marks = control.seed_marks(control.empty(spark, control.WATERMARK), control.seeds(spark, ENTITIES, now))
-    marks = control.mark_success(marks, _marks(spark, d))
-    marks = control.seed_marks(marks, control.seeds(spark, ENTITIES, now))
-    marks = control.mark_running(marks, spark.createDataFrame([("orders",), ("silver_orders",)], "table_name string"), now)
+    marks = control.mark_running(marks, control.names(spark, "orders", "silver_orders"), now)
+    marks = control.mark_success(marks, _marks(spark, d).filter("table_name <> 'orders'"))
     marks = control.checked(control.mark_failed(marks, "products", now))
     return without_zone(reports.mark_state(marks))
 
@@ -392,4 +391,4 @@ def fact_as_of_timestamp(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def zorder_rewrite(spark: SparkSession, d: str) -> DataFrame:
-    return layout.cluster_by(fx.silver(spark, d, "orders"), ["order_id", "customer_id", "order_date"])
+    return layout.cluster_by(fx.raw(spark, d, "orders"), ["order_id", "customer_id", "order_date"])

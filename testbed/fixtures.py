@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import lru_cache
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from stratalith.operators.clean import clean
 from stratalith.operators.dedup import latest_per_key
@@ -18,8 +18,15 @@ BATCH_STARTS = ("1999-01-01 00:00:00", "2000-07-01 00:00:00")
 COMMITS = ("2024-01-01 00:00:00", "2024-01-02 00:00:00", "2024-01-03 00:00:00")
 
 
+@lru_cache(maxsize=256)
+def _schema(spark: SparkSession, path: str) -> T.StructType:
+    return spark.read.parquet(path).schema
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    """A test table; its footers are read for the schema once per session."""
+    path = f"{sf_dir}/{table}.parquet"
+    return spark.read.schema(_schema(spark, path)).parquet(path)
 
 
 def ntz(text: str) -> Column:

@@ -251,11 +251,12 @@ ORACLE: dict[str, str] = {
     "last_watermark": _sql(_MARKS, """SELECT * FROM loaded
   UNION ALL SELECT 'never_loaded', timestamp '1900-01-01'"""),
     "mark_lifecycle": _sql(_MARKS, """SELECT table_name, last_run_ts, 'run-1' AS last_run_id,
-  CASE table_name WHEN 'orders' THEN 'RUNNING' WHEN 'products' THEN 'FAILED' ELSE 'SUCCESS' END AS status,
-  CASE WHEN table_name IN ('orders', 'products') THEN timestamp '2024-01-01 07:00:00'
+  CASE table_name WHEN 'products' THEN 'FAILED' ELSE 'SUCCESS' END AS status,
+  CASE table_name WHEN 'products' THEN timestamp '2024-01-01 07:00:00'
        ELSE timestamp '2024-01-01 06:00:00' END AS updated_at
-  FROM loaded
-  UNION ALL SELECT 'silver_orders', timestamp '1900-01-01', NULL, 'RUNNING', timestamp '2024-01-01 07:00:00'"""),
+  FROM loaded WHERE table_name <> 'orders'
+  UNION ALL SELECT name, timestamp '1900-01-01', NULL, 'RUNNING', timestamp '2024-01-01 07:00:00'
+  FROM (VALUES ('orders'), ('silver_orders')) AS started(name)"""),
     "changed_orders": _sql([*_ORDERS, _CHANGED], "SELECT * FROM changed"),
     "affected_orders": _sql(_ALL, f"""SELECT * FROM orders_s o WHERE {_since("o.")}
   OR EXISTS (SELECT 1 FROM order_items_s i WHERE i.order_id = o.order_id AND {_since("i.")})
@@ -297,5 +298,5 @@ ORACLE: dict[str, str] = {
     "fact_as_of_timestamp": _sql(
         [*_CUSTOMERS, *_PRODUCTS, *_ITEMS, *_VERSIONED, f"state AS ({_STATE_1})", _joined("enriched", "state"), _FACT],
         "SELECT * FROM fact"),
-    "zorder_rewrite": _sql(_ORDERS, "SELECT * FROM orders_s"),
+    "zorder_rewrite": _sql([_RAW_ORDERS], "SELECT * FROM raw_orders"),
 }

@@ -48,16 +48,22 @@ def test_upsert_by_two_keys(spark):
     assert rows_of(upsert(t, s, ["k", "v"])) == [(1, "x", 1), (1, "y", 2), (1, None, 1), (1, None, 2)]
 
 
-def test_merge_columns_updates_some_and_inserts_some(target, source):
-    after = merge_columns(target, source, "k", update={"v": "v"}, insert={"k": "k", "v": F.upper("s.v")}, check=True)
+@pytest.mark.parametrize("similar", [False, True])
+def test_merge_columns_updates_some_and_inserts_some(target, source, similar):
+    after = merge_columns(
+        target, source, "k", update={"v": "v"}, insert={"k": "k", "v": F.upper("s.v")}, check=True, similar_size=similar
+    )
     assert rows_of(after) == [
         (1, "a", 10), (2, "B", 10), (3, "C", None), (4, "D", None), (None, "N", None), (None, "n", 1),
     ]
 
 
-def test_merge_columns_null_overwrites_and_both_sides_are_named(spark, target):
+@pytest.mark.parametrize("similar", [False, True])
+def test_merge_columns_null_overwrites_and_both_sides_are_named(spark, target, similar):
     s = spark.createDataFrame([(1, None, 5)], SCHEMA)
-    after = merge_columns(target, s, "k", update={"v": "v", "at": F.col("s.at") + F.col("t.at")}, insert={})
+    after = merge_columns(
+        target, s, "k", update={"v": "v", "at": F.col("s.at") + F.col("t.at")}, insert={}, similar_size=similar
+    )
     assert rows_of(after) == [(1, None, 15), (2, "b", 10), (3, None, None), (None, "n", 1)]
 
 
