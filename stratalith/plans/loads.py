@@ -17,7 +17,7 @@ from stratalith.plans import gold
 from stratalith.plans.enrich import CLOCKS, HotKeys, affected_orders, enrich_sales
 from stratalith.sources import control
 from stratalith.sources.csv_files import read_csv, with_source_file
-from stratalith.sources.metadata import create_namespace, register_views
+from stratalith.sources.metadata import create_namespace, create_view
 from stratalith.sources.tables import Warehouse
 from stratalith.spec import ENRICHED
 
@@ -45,12 +45,38 @@ def setup(wh: Warehouse) -> None:
     create_namespace(wh.spark, wh.layout.gold, "Reporting tables")
     create_namespace(wh.spark, wh.layout.control, "Marks and run log")
     wh.change_marks(lambda marks: control.seed_marks(marks, control.seeds(wh.spark, wh.layout.specs)))
-    register_control(wh)
+    if wh.run_log().isEmpty():
+        wh.create_log()
+    publish(wh, [])
 
 
-def register_control(wh: Warehouse) -> None:
-    """Make the control tables, as they stand now, readable in SQL."""
-    register_views({"pipeline_watermark": wh.marks(), "pipeline_run_log": wh.run_log()})
+def stored_tables(wh: Warehouse) -> list[tuple[str, str]]:
+    """Every table the loads can write, as ``(layer, table)``."""
+    bronze, silver, layer = wh.layout.bronze, wh.layout.silver, wh.layout.gold
+    entities = list(wh.layout.specs)
+    return [
+        *[(bronze, f"{t}_raw") for t in entities],
+        *[(silver, t) for t in entities],
+        *[(silver, f"{t}_rejects") for t in entities],
+        (silver, ENRICHED),
+        *[(layer, t) for t in ("dim_customers", "dim_products", "fact_sales", *gold.AGGREGATES)],
+    ]
+
+
+def publish(wh: Warehouse, targets: Iterable[tuple[str, str]] | None = None) -> list[str]:
+    """Make the tables, as they stand now, readable in SQL as ``<layer>.<table>``.
+
+    Views name the committed files, so they are published again after a load.
+    """
+    done = []
+    for layer, table in stored_tables(wh) if targets is None else targets:
+        if wh.exists(layer, table):
+            create_view(wh.spark, layer, table, wh.view_text(layer, table))
+            done.append(f"{layer}.{table}")
+    for name, text in wh.control_view_texts().items():
+        create_view(wh.spark, wh.layout.control, name, text)
+        done.append(f"{wh.layout.control}.{name}")
+    return done
 
 
 def tracked(
@@ -199,7 +225,8 @@ def load_enriched(wh: Warehouse, propagate: Sequence[str] = ()) -> Outcome:
         if mark is None:
             items = versions.keyed_state(item_rows, "order_item_id")
         else:
-            items = versions.keyed_state_touching(item_rows, "order_item_id", changed, "order_id")
+            touched = versions.keyed_state_touching(item_rows, "order_item_id", changed, "order_id")
+            items = item_rows = wh.settled(touched, f"changed_items/{run_id}")
         rows = enrich_sales(
             items, changed, wh.current(silver, "customers"), wh.current(silver, "products"),
             hot=HotKeys.of(changed, item_rows),

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from stratalith.operators import versions
 from stratalith.operators.layout import cluster_by
 from stratalith.plans.gold import FACT_PARTITIONS
 from stratalith.plans.loads import Outcome, tracked
 from stratalith.sources.tables import Warehouse
-from stratalith.spec import ENRICHED
 
 # The tables that are clustered, and by which columns.
 CLUSTERING: dict[tuple[str, str], tuple[str, ...]] = {
@@ -62,11 +61,9 @@ def optimize(
     targets = CLUSTERING if targets is None else targets
 
     def body(layer: str, table: str) -> Outcome:
-        cols = targets[(layer, table)]
-        within = _partitions(wh, layer, table)
-        if layer == wh.layout.gold:
-            within = ("_version", *within)
-        rows = wh.rewrite(layer, table, cluster_by(wh.rows(layer, table), cols, within=within), _partitions(wh, layer, table))
+        cols, parts = targets[(layer, table)], _partitions(wh, layer, table)
+        within = ("load", *parts, "_version") if layer == wh.layout.gold else ("load", *parts)
+        rows = wh.rewrite(layer, table, lambda df: cluster_by(df, cols, within=within), parts)
         return Outcome(rows, f"clustered by {', '.join(cols)}")
 
     return _each(wh, "OPTIMIZE", list(targets), on_error, body)
@@ -93,8 +90,11 @@ def vacuum(
         old = rows.filter(F.col("_commit_ts") <= cutoff).agg(F.count_distinct("_version")).first()[0]
         if layer == wh.layout.bronze or old < 2:
             return Outcome(0, f"retain {hours} hours: nothing to drop")
-        keyed = layer == wh.layout.silver and (table == ENRICHED or table in wh.layout.specs)
-        left = versions.expire_keyed(rows, wh.key(table), cutoff) if keyed else versions.expire_snapshots(rows, cutoff)
-        return Outcome(wh.rewrite(layer, table, left, _partitions(wh, layer, table)), f"retain {hours} hours: rewritten")
+        keyed = wh.is_keyed(layer, table)
+
+        def kept(df: DataFrame) -> DataFrame:
+            return versions.expire_keyed(df, wh.key(table), cutoff) if keyed else versions.expire_snapshots(df, cutoff)
+
+        return Outcome(wh.rewrite(layer, table, kept, _partitions(wh, layer, table)), f"retain {hours} hours: rewritten")
 
     return _each(wh, "VACUUM", targets, on_error, body)

@@ -32,6 +32,10 @@ def register_views(frames: Mapping[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
+def create_view(spark: SparkSession, namespace: str, name: str, text: str) -> None:
+    spark.sql(f"CREATE OR REPLACE VIEW `{namespace}`.`{name}` AS {text}")
+
+
 def setup_check(
     spark: SparkSession, schemas: Sequence[str], control_schema: str, control_tables: Sequence[str], marks: DataFrame
 ) -> DataFrame:

@@ -138,13 +138,24 @@ class Warehouse:
         )
         return seen.get
 
-    def rewrite(self, layer: str, table: str, df: DataFrame, partition_by: Sequence[str] = ()) -> int:
-        """Write all committed rows anew, as the next generation; returns how many."""
+    def rewrite(
+        self, layer: str, table: str, change: Callable[[DataFrame], DataFrame], partition_by: Sequence[str] = ()
+    ) -> int:
+        """Write ``change`` of all committed rows as the next generation; returns how many.
+
+        The whole generation directory is replaced, so nothing of an attempt that failed
+        can stay in it. ``change`` sees the directory column ``load`` and must keep it.
+        """
         loads, generation = self._committed(layer, table)
+        # Not a literal: a sort by the directory columns must survive the optimizer, so that
+        # the writer finds its rows in order and does not sort them again.
+        load = (F.col("_version") * 0 + (loads - 1)).cast("int")
+        changed = change(self.rows(layer, table).withColumn("load", load))
         seen = Observation()
-        last = df.withColumn("load", F.lit(loads - 1)).observe(seen, F.count(F.lit(1)).alias("rows"))
-        writer = last.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        writer.partitionBy("load", *partition_by).parquet(self._base(layer, table, generation + 1))
+        writer = changed.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+        writer.option("partitionOverwriteMode", "static").partitionBy("load", *partition_by).parquet(
+            self._base(layer, table, generation + 1)
+        )
         return seen.get["rows"]
 
     def rows(self, layer: str, table: str) -> DataFrame:
@@ -158,8 +169,11 @@ class Warehouse:
     def key(self, table: str) -> str:
         return "order_item_id" if table == ENRICHED else self.layout.specs[table].key
 
+    def is_keyed(self, layer: str, table: str) -> bool:
+        return layer == self.layout.silver and (table == ENRICHED or table in self.layout.specs)
+
     def _state(self, layer: str, table: str, rows: DataFrame, version: Column | None) -> DataFrame:
-        if layer == self.layout.silver and (table == ENRICHED or table in self.layout.specs):
+        if self.is_keyed(layer, table):
             return versions.keyed_state(rows, self.key(table), version)
         if layer == self.layout.gold:
             return versions.snapshot_state(rows, version)
@@ -169,7 +183,10 @@ class Warehouse:
         return versions.unstamp(appended)
 
     def current(self, layer: str, table: str) -> DataFrame:
-        return self._state(layer, table, self.rows(layer, table), None)
+        rows = self.rows(layer, table)
+        # Every load of a snapshot table is one version, so the newest needs no search.
+        newest = F.lit(self.loads(layer, table) - 1) if layer == self.layout.gold else None
+        return self._state(layer, table, rows, newest)
 
     def as_of_version(self, layer: str, table: str, number: int) -> DataFrame:
         rows = self.rows(layer, table)
@@ -182,6 +199,39 @@ class Warehouse:
     def history(self, layer: str, table: str) -> DataFrame:
         return versions.history(self.rows(layer, table))
 
+    def create_log(self) -> None:
+        """An empty run log, so that it can be read before the first run."""
+        control.empty(self.spark, control.RUN_LOG).write.mode("overwrite").parquet(f"{self._log_path}/target=none")
+
+    def view_text(self, layer: str, table: str) -> str:
+        """The current state of a table as SQL over its files."""
+        loads, generation = self._committed(layer, table)
+        if loads == 0:
+            raise MissingTable(f"{layer}.{table} has no committed load")
+        base = self._base(layer, table, generation)
+        hidden = {*versions.VERSION_COLUMNS, "load", "rejected", "rejected_value"}
+        cols = ", ".join(f"`{c}`" for c in self.spark.read.parquet(base).columns if c not in hidden)
+        files, seen = f"parquet.`{base}`", f"load < {loads}"
+        if self.is_keyed(layer, table):
+            return (
+                f"SELECT {cols} FROM (SELECT *, row_number() OVER (PARTITION BY {self.key(table)} ORDER BY _version DESC) "
+                f"AS _rank FROM {files} WHERE {seen}) WHERE _rank = 1 AND _op <> '{versions.DELETED}'"
+            )
+        kept = f"_version = {loads - 1}" if layer == self.layout.gold else "rejected = 0"
+        return f"SELECT {cols} FROM {files} WHERE {seen}" + (
+            "" if layer == self.layout.silver else f" AND {kept}"
+        )
+
+    def control_view_texts(self) -> dict[str, str]:
+        def text(schema: T.StructType, path: str) -> str:
+            return f"SELECT {', '.join(schema.fieldNames())} FROM parquet.`{path}`"
+
+        texts = {"pipeline_run_log": text(control.RUN_LOG, self._log_path)}
+        last = self._last_change()
+        if last is not None:
+            texts["pipeline_watermark"] = text(control.WATERMARK, self._mark_slot(last))
+        return texts
+
     def settled(self, df: DataFrame, name: str) -> DataFrame:
         """Write an intermediate result that several jobs read, and read it back.
 

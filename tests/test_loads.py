@@ -105,13 +105,50 @@ def story(spark, tmp_path_factory):
 def test_setup_is_repeatable(story, spark):
     wh, seen = story
     assert seen["seeds"] == [(t, "INIT") for t in sorted(ENTITIES)]
-    loads.register_control(wh)
-    found = rows_of(
-        setup_check(spark, ["bronze", "silver", "gold"], "control", ["pipeline_watermark", "pipeline_run_log"], wh.marks())
-    )
-    assert ("SCHEMAS", "bronze", "EXISTS") in found and ("TABLE", "pipeline_run_log", "EXISTS") in found
-    assert spark.sql("SELECT 1 FROM pipeline_watermark").count() > 0
-    assert spark.sql("SELECT 1 FROM pipeline_run_log ORDER BY run_start_ts DESC").columns == ["1"]
+    loads.publish(wh, [])
+    control_tables = ["pipeline_watermark", "pipeline_run_log"]
+    found = setup_check(spark, ["bronze", "silver", "gold"], "control", control_tables, wh.marks()).collect()
+    assert [tuple(r)[:2] for r in found[:5]] == [
+        ("SCHEMAS", "bronze"), ("SCHEMAS", "gold"), ("SCHEMAS", "silver"),
+        ("TABLE", "pipeline_run_log"), ("TABLE", "pipeline_watermark"),
+    ]
+    assert {r["status"] for r in found[:5]} == {"EXISTS"} and len(found) == 5 + 9
+    assert spark.sql("SELECT 1 FROM control.pipeline_watermark").count() == 9
+    assert spark.sql("SELECT 1 FROM control.pipeline_run_log ORDER BY run_start_ts DESC").columns == ["1"]
+
+
+def test_tables_are_readable_by_name(story, spark):
+    """The dashboard and check queries, as SQL over the published tables."""
+    wh, _ = story
+    assert len(loads.publish(wh)) == 4 + 4 + 1 + 1 + 8 + 2
+    for layer, table in [("bronze", "orders_raw"), ("silver", "orders"), ("silver", "customers_rejects"),
+                         ("silver", "sales_enriched"), ("gold", "fact_sales")]:
+        named = spark.table(f"{layer}.{table}")
+        assert rows_of(named) == rows_of(wh.current(layer, table).select(*named.columns)), table
+    by_report = {
+        reports.revenue_by_state: ("agg_revenue_by_state", """
+            SELECT state, total_revenue, total_orders, total_customers FROM gold.agg_revenue_by_state
+            ORDER BY total_revenue DESC"""),
+        reports.top_products: ("agg_top_products", """
+            SELECT product_name, category, units_sold, revenue FROM gold.agg_top_products
+            ORDER BY revenue DESC LIMIT 10"""),
+        reports.daily_trend: ("agg_daily_sales", """
+            SELECT order_date_only AS sales_date, daily_revenue, daily_orders, daily_customers
+            FROM gold.agg_daily_sales ORDER BY sales_date"""),
+        reports.monthly_trend: ("agg_monthly_sales", """
+            SELECT order_year, order_month, monthly_revenue, monthly_orders, monthly_customers
+            FROM gold.agg_monthly_sales ORDER BY order_year, order_month"""),
+        reports.category_revenue: ("agg_category_sales", """
+            SELECT category, category_revenue, units_sold FROM gold.agg_category_sales
+            ORDER BY category_revenue DESC"""),
+        reports.average_order_value: ("fact_sales", """
+            SELECT order_year, order_month,
+                   round(sum(sales_amount) / count(DISTINCT order_id), 2) AS avg_order_value
+            FROM gold.fact_sales GROUP BY order_year, order_month ORDER BY order_year, order_month"""),
+    }
+    for report, (table, text) in by_report.items():
+        assert [tuple(r) for r in report(wh.current("gold", table)).collect()] == [tuple(r) for r in spark.sql(text).collect()]
+    assert spark.sql("SELECT order_id, COUNT(1) AS cnt FROM silver.orders GROUP BY order_id HAVING COUNT(1) > 1").isEmpty()
 
 
 def test_bronze_takes_each_row_once(story):
