@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 BITS = 6
 SAMPLE_ROWS = 4096
@@ -29,16 +29,23 @@ def cut_points(
     return cuts
 
 
-def bucket_of(col: str, cuts: Sequence[Any]) -> Column:
-    """Number of cut points at or below the value, found by halving; NULL goes first."""
+def with_buckets(df: DataFrame, cuts: dict[str, Sequence[Any]], bits: int = BITS) -> tuple[DataFrame, list[str]]:
+    """Add, per column, how many cut points are at or below its value; NULL goes first.
 
-    def narrow(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(F.col(col) < F.lit(cuts[mid]), narrow(lo, mid)).otherwise(narrow(mid + 1, hi))
-
-    return F.when(F.col(col).isNull(), F.lit(0)).otherwise(narrow(0, len(cuts)))
+    A binary search with one projection per halving, for all columns together. Each step
+    looks one element up in a constant array, so the generated code stays small.
+    """
+    types = {f.name: f.dataType for f in df.schema.fields}
+    points = {c: F.lit(list(v)).cast(T.ArrayType(types[c])) if v else None for c, v in cuts.items()}
+    names = {c: f"_bucket_{i}" for i, c in enumerate(cuts)}
+    df = df.withColumns({n: F.lit(0) for n in names.values()})
+    for step in (1 << k for k in reversed(range(bits))):
+        # A look-up behind the last cut point gives NULL, which counts as not reached.
+        df = df.withColumns({
+            n: F.col(n) + F.when(F.col(c) >= F.get(points[c], F.col(n) + (step - 1)), step).otherwise(0)
+            for c, n in names.items() if points[c] is not None
+        })
+    return df, list(names.values())
 
 
 def z_address(buckets: Sequence[Column], bits: int = BITS) -> Column:
@@ -71,9 +78,8 @@ def cluster_by(
         keyed, curve = df, []
     else:
         cuts = cuts or cut_points(df, cols, bits)
-        # The buckets get a projection of their own: the halving is evaluated once per row.
-        named = {f"_bucket_{i}": bucket_of(c, cuts[c]) for i, c in enumerate(cols)}
-        keyed = df.withColumns(named).withColumn("_z", z_address([F.col(n) for n in named], bits)).drop(*named)
+        searched, buckets = with_buckets(df, {c: cuts[c] for c in cols}, bits)
+        keyed = searched.withColumn("_z", z_address([F.col(n) for n in buckets], bits)).drop(*buckets)
         curve = ["_z"]
     keyed = keyed.withColumn("_task", F.spark_partition_id())
     order = [*within, *curve, *cols]

@@ -287,10 +287,14 @@ def test_z_address_interleaves_bits(spark):
     assert [r[0] for r in got] == [0b1001, 0b1111, 0]
 
 
-def test_bucket_of_counts_cut_points(spark):
-    df = spark.createDataFrame([(v,) for v in (None, 1, 2, 3, 9)], "a int")
-    assert [r[0] for r in df.select(layout.bucket_of("a", [2, 3, 5])).collect()] == [0, 0, 1, 2, 3]
-    assert [r[0] for r in df.select(layout.bucket_of("a", [])).collect()] == [0] * 5
+def test_buckets_count_cut_points(spark):
+    df = spark.createDataFrame([(v, f"s{v}") for v in (None, 1, 2, 3, 9)], "a int, b string")
+    got, names = layout.with_buckets(df, {"a": [2, 3, 5], "b": ["s2"]}, 2)
+    assert [tuple(r) for r in got.select(*names).collect()] == [(0, 1), (0, 0), (1, 1), (2, 1), (3, 1)]
+    none, names = layout.with_buckets(df, {"a": []})
+    assert [r[0] for r in none.select(*names).collect()] == [0] * 5
+    full, names = layout.with_buckets(spark.range(64), {"id": list(range(1, 64))})
+    assert [r[0] for r in full.select(*names).collect()] == list(range(64))
 
 
 def test_cluster_by_keeps_rows_and_narrows_files(spark, tmp_path):
