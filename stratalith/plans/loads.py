@@ -130,14 +130,23 @@ def rows_written() -> Column:
 
 
 def load_bronze(wh: Warehouse, table: str) -> Outcome:
-    """Append the delivered rows above the mark; rows without a mark value are kept apart."""
+    """Append the delivered rows above the mark; rows without a mark value are kept apart.
+
+    If the last load did not reach its SUCCESS mark, its rows may be there all the same. Then
+    the stored rows, not the mark, tell where to go on, so none is appended twice.
+    """
     spec, bronze = wh.layout.specs[table], wh.layout.bronze
+    unfinished = wh.status(table) in ("RUNNING", "FAILED") and wh.exists(bronze, f"{table}_raw")
 
     def body(run_id: str) -> Outcome:
         mark_col = F.col(spec.watermark_col)
         delivered = with_source_file(read_csv(wh.spark, spec.source_path, spec.csv_schema()))
         parsed = parse_timestamps(delivered.withColumn("rejected_value", mark_col), spec.timestamp_cols)
-        mark = wh.mark(table)
+        mark, reached = wh.mark(table), None
+        if unfinished:
+            stored = wh.current(bronze, f"{table}_raw")
+            reached = stored.agg(F.max(mark_micros(spec.watermark_col))).first()[0]
+            mark = mark_literal(reached) if reached is not None else mark
         wanted = F.lit(True) if mark is None else mark_col.isNull() | (mark_col > mark)
         batch = parsed.filter(wanted).withColumns({
             "rejected": F.when(mark_col.isNull(), 1).otherwise(0),
@@ -154,7 +163,7 @@ def load_bronze(wh: Warehouse, table: str) -> Outcome:
             ],
         )
         if got["kept"] == 0:
-            return Outcome(0, f"nothing new; rows_rejected={got['rejected']}")
+            return Outcome(0, f"nothing new; rows_rejected={got['rejected']}", reached)
         return Outcome(got["kept"], f"rows_out={got['kept']} rows_rejected={got['rejected']}", got["mark"])
 
     return tracked(wh, bronze, f"{table}_raw", body, mark_name=table)

@@ -98,6 +98,10 @@ class Warehouse:
         ).first()
         return None if row["at"] is None or row["run"] is None else mark_literal(row["at"])
 
+    def status(self, name: str) -> str | None:
+        row = self.marks().filter(F.col("table_name") == name).select("status").first()
+        return None if row is None else row["status"]
+
     # Data tables ----------------------------------------------------------------------------
 
     def _committed(self, layer: str, table: str) -> tuple[int, int]:

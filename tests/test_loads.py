@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from stratalith.plans import gold, loads, reports, upkeep
 from stratalith.plans.enrich import enrich_sales
+from stratalith.sources import control
 from stratalith.sources.metadata import setup_check
 from stratalith.sources.tables import MissingTable, Warehouse
 from stratalith.spec import ENTITIES, Layout
@@ -306,3 +307,19 @@ def test_failed_load_keeps_mark_and_is_repeatable(spark, tmp_path, monkeypatch):
     assert loads.load_bronze(wh, "orders").rows == 2
     assert wh.current("bronze", "orders_raw").count() == 6
     assert mark_of(wh, "orders")[1] == "SUCCESS"
+
+    # A load whose rows are committed but whose mark was never moved is not repeated either.
+    late = {n: [] for n in ENTITIES} | {
+        "orders": [("104", "1", "2023-06-01", "new", "1", "2023-06-01 00:00:00", "2023-06-01 00:00:00")]
+    }
+    deliver(tmp_path, FIRST, SECOND, late)
+    move = control.mark_success
+    monkeypatch.setattr(control, "mark_success", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        loads.load_bronze(wh, "orders")
+    monkeypatch.setattr(control, "mark_success", move)
+    assert wh.current("bronze", "orders_raw").count() == 7
+    assert loads.load_bronze(wh, "orders").rows == 0
+    assert mark_of(wh, "orders") == ("2023-06-01 00:00:00", "SUCCESS")
+    assert loads.load_bronze(wh, "orders").rows == 0
+    assert wh.current("bronze", "orders_raw").count() == 7
