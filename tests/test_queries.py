@@ -6,7 +6,9 @@ import os
 
 import pytest
 
-from __spark_entry__ import SMOKE_DIR, entry, oracle_sql, queries
+from __spark_entry__ import SMOKE_DIR, entry
+from testbed.catalogue import QUERIES
+from testbed.oracle import ORACLE
 from tools.compare import compare, connect
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SMOKE_DIR), reason="test tables are not here")
@@ -18,10 +20,10 @@ def duck():
 
 
 def test_every_query_has_a_twin():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_same_rows_as_sql(spark, duck, name):
     assert compare(spark, duck, SMOKE_DIR, name) is None
 
