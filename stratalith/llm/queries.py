@@ -7,18 +7,44 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from stratalith.llm.near_dedup import near_duplicates
+from stratalith.llm.packing import packed
+from stratalith.llm.token_counts import token_counts
+from stratalith.llm.token_files import read_token_files, write_token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _tokenizer(name: str) -> str:
+    """The path of a public tokenizer's description."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder, manifest = write_token_files(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), end_id=2)
+    return read_token_files(spark, folder, manifest)
+
+
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), size=3, percent=85)
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), limit=2048)
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), end_id=1, length=2048)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_token_files": op3_token_files,
     "op4_near_dedup": op4_near_dedup,
+    "op7_token_counts": op7_token_counts,
+    "op9_packing": op9_packing,
 }
 
 ORACLE: dict[str, str] = {

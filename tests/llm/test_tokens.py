@@ -1,0 +1,132 @@
+"""Encoder, token files, counts and packing against the tokenizers library."""
+
+from __future__ import annotations
+
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from stratalith.llm import encoding, packing, token_counts, token_files
+from stratalith.llm.elias_fano import EliasFano, encode
+
+BYTES, WORDS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
+ODD = [
+    "", " ", "a", "  two  blanks ", "a\n\nb \n c", "tab\tand\rreturn", "end \n", " x", "don't we'll I'M 12345 ½ Ⅷ", "<|endoftext|>", "a<|endoftext|> b <|startoftext|>c",
+    "ΣΑΣ ΟΔΟΣ. Σ", "İstanbul ǅ", "é å ́x", "日本語 テキスト", "😀😀 👨‍👩‍👧", "a b c　d", "x\x1cy\x1f z", "nul\0byte", "a\x85b", "word" * 900, "$%^&*()!!", "é" * 300,
+    "foo  bar   baz    q", "   x", "x \t y", "'s 't ' s", "A̸ ≠",
+]
+
+
+def texts(n=300, seed=5):
+    rng = random.Random(seed)
+    alphabet = "abcdefgh eio \n.,'12éßñ" + "  "
+    made = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(0, 400))) for _ in range(n)]
+    return ODD + made + [a + " " + b for a, b in zip(ODD, reversed(ODD))]
+
+
+@pytest.fixture
+def library():
+    def ids(path, text):
+        return Tokenizer.from_file(path).encode_batch([text], add_special_tokens=False)[0].ids
+
+    loaded = {p: Tokenizer.from_file(p) for p in (BYTES, WORDS)}
+    return lambda path, text: loaded[path].encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_chunks_give_the_ids_of_the_text(library, path, monkeypatch):
+    with open(path, encoding="utf-8") as source:
+        encoder = encoding.Encoder(source.read())
+    assert encoder.chunks is not encoding.whole
+    for span in (1 << 20, 50):
+        monkeypatch.setattr(encoding, "SPAN", span)
+        for text, ids in zip(texts(), encoder.encode(texts())):
+            assert np.frombuffer(ids, "<u4").tolist() == library(path, text), repr(text)
+
+
+def test_counts_are_those_of_the_library(library):
+    with open(WORDS, encoding="utf-8") as source:
+        counter = token_counts.TokenCounter(source.read(), limit=50)
+    for text in texts():
+        assert counter.count(text) == len(library(WORDS, text)), repr(text)
+
+
+@pytest.mark.parametrize("values", [[], [0], [0, 0, 0], [5], [1, 2, 3, 1000, 1000, 70000], [2**40, 2**63]])
+def test_elias_fano_small(values):
+    code = EliasFano(encode(np.array(values, np.uint64)))
+    assert code.values().tolist() == values and [code.select(i) for i in range(len(values))] == values
+
+
+def test_elias_fano_large_and_compact():
+    rng = np.random.default_rng(1)
+    for top in (3000, 10**6, 10**12):
+        values = np.sort(rng.integers(0, top, 5000)).astype(np.uint64)
+        data = encode(values)
+        code = EliasFano(data)
+        assert (code.values() == values).all()
+        assert all(code.select(i) == values[i] for i in range(0, 5000, 7))
+        for x in (0, int(values[17]), top // 2, top):
+            assert code.locate(x) == int(np.searchsorted(values, x, side="right")) - 1
+        assert 8 * len(data) / 5000 < 2.6 + max(0, np.log2(top / 5000))
+    with pytest.raises(ValueError):
+        encode(np.array([2, 1], np.uint64))
+
+
+ROWS = [(k * 3 - 20, t) for k, t in enumerate(texts(120))] + [(None, "no id"), (None, None), (-20, "again"), (7000, None), (2**40, "far")]
+
+
+def test_token_files(spark, library):
+    df = spark.createDataFrame(ROWS, "doc_id long, text string").repartition(6).withColumn("start", F.lit("clash"))
+    folder, manifest = token_files.write_token_files(df, BYTES, 2)
+    found = [tuple(r) for r in token_files.read_token_files(spark, folder).collect()]
+    expected = [(d, np.array(library(BYTES, t or "") + [2], "<u4")) for d, t in ROWS]
+    assert sorted((d is not None, d or 0, n, c) for d, _, n, c in found) == sorted((d is not None, d or 0, len(i), zlib.crc32(i.tobytes())) for d, i in expected)
+    at = 0
+    for d, start, n, _ in sorted(found, key=lambda r: r[1]):
+        assert start == at
+        at += n
+    assert [d is not None and d for d, *_ in sorted(found, key=lambda r: r[1])] == sorted(([d is not None and d for d, _ in ROWS]), key=lambda d: (d is not False, d))
+    # Random access: two selects and one range read.
+    reader = token_files.ShardReader(f"{folder}/{manifest[-1]['file']}")
+    i = reader.n - 1
+    assert reader.doc_id(i) == 2**40 and reader.document(i).tolist() == library(BYTES, "far") + [2]
+
+
+def test_no_documents(spark):
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    folder, manifest = token_files.write_token_files(empty, BYTES, 2)
+    assert manifest == [] and token_files.read_token_files(spark, folder).count() == 0
+    assert token_counts.token_counts(empty, WORDS).count() == 0
+    assert packing.packed(empty, WORDS, 1).count() == 0
+
+
+def test_token_counts(spark, library):
+    df = spark.createDataFrame(ROWS, "doc_id long, text string").withColumn("n_tokens", F.lit("clash"))
+    found = sorted(map(tuple, token_counts.token_counts(df, WORDS, limit=100).collect()), key=repr)
+    assert found == sorted(((d, len((t or "").encode()), n, n > 100) for d, t in ROWS for n in [len(library(WORDS, t or ""))]), key=repr)
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_packing(spark, library, parts, monkeypatch):
+    monkeypatch.setattr(packing, "MERGE", 3)
+    rows = [r for r in ROWS if r[0] is not None and r != (-20, "again")] + [(8000 + k, "ein Wort " * 10 * k) for k in range(150)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts).withColumn("part", F.lit("clash"))
+    found = packing.packed(df, WORDS, 1, length=256).collect()
+    ids = {d: np.array(library(WORDS, t or "") + [1], "<u4") for d, t in rows}
+    covered: dict[int, int] = {}
+    for r in sorted(found, key=lambda r: (r.doc_id, r.start)):
+        assert r.start == covered.get(r.doc_id, 0) and r.length > 0 and r.doc_tokens == len(ids[r.doc_id])
+        assert r.ids_crc32 == zlib.crc32(ids[r.doc_id][r.start : r.start + r.length].tobytes())
+        covered[r.doc_id] = r.start + r.length
+    assert covered == {d: len(i) for d, i in ids.items()}
+    filled: dict[int, int] = {}
+    for r in sorted(found, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == filled.get(r.sequence_id, 0)
+        filled[r.sequence_id] = r.offset + r.length
+    assert max(filled.values()) <= 256
+    assert sum(filled.values()) > 0.97 * 256 * (len(filled) - 1)
