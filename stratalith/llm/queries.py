@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stratalith.llm.near_dedup import near_duplicates
 from stratalith.llm.packing import packed
+from stratalith.llm.suffix_dedup import repeated_bytes
 from stratalith.llm.token_counts import token_counts
 from stratalith.llm.token_files import read_token_files, write_token_files
 
@@ -36,6 +37,10 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), limit=2048)
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_bytes(_table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), end_id=1, length=2048)
 
@@ -44,6 +49,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_files": op3_token_files,
     "op4_near_dedup": op4_near_dedup,
     "op7_token_counts": op7_token_counts,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_packing": op9_packing,
 }
 
