@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stratalith.llm.decontaminate import leaks
 from stratalith.llm.near_dedup import near_duplicates
 from stratalith.llm.packing import packed
 from stratalith.llm.suffix_dedup import repeated_bytes
 from stratalith.llm.token_counts import token_counts
 from stratalith.llm.token_files import read_token_files, write_token_files
+from stratalith.llm.warc_zip import archived
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +26,10 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), size=5, percent=80)
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, manifest = write_token_files(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), end_id=2)
     return read_token_files(spark, folder, manifest)
@@ -33,6 +39,10 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), size=3, percent=85)
 
 
+def op5_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived(_table(spark, sf_dir, "pages")).drop("url")
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), limit=2048)
 
@@ -46,14 +56,34 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontaminate": op1_decontaminate,
     "op3_token_files": op3_token_files,
     "op4_near_dedup": op4_near_dedup,
+    "op5_warc_zip": op5_warc_zip,
     "op7_token_counts": op7_token_counts,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_packing": op9_packing,
 }
 
 ORACLE: dict[str, str] = {
+    # Words are lower-cased runs of ASCII letters, digits and everything beyond ASCII.
+    "op1_decontaminate": r"""
+WITH texts AS (
+    SELECT 0 AS side, doc_id AS id, text FROM documents UNION ALL SELECT 1, item_id, text FROM benchmark
+), words AS (
+    SELECT side, id, regexp_extract_all(lower(coalesce(text, '')), '[^\x00-/:-@\[-`{-\x7F]+') AS w FROM texts
+), shingles AS (
+    SELECT DISTINCT side, id, w[k:k + 4] AS s FROM (SELECT side, id, w, unnest(range(1, len(w) - 3)) AS k FROM words WHERE len(w) >= 5)
+), sizes AS (
+    SELECT id, count(*) AS n FROM shingles WHERE side = 1 GROUP BY id
+), shared AS (
+    SELECT d.id AS doc_id, i.id AS item_id, count(*) AS c
+    FROM (SELECT * FROM shingles WHERE side = 1) i JOIN (SELECT * FROM shingles WHERE side = 0) d ON i.s = d.s
+    GROUP BY ALL
+)
+SELECT doc_id, item_id, n AS item_shingles, c AS shared_shingles, c / n::DOUBLE AS containment
+FROM shared JOIN sizes ON sizes.id = shared.item_id WHERE 100 * c >= 80 * n
+""",
     # Shingles are lists of words; a document with fewer than three words is one shingle.
     "op4_near_dedup": r"""
 WITH RECURSIVE words AS (
@@ -76,5 +106,18 @@ WITH RECURSIVE words AS (
 )
 SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
 FROM documents d LEFT JOIN sizes s USING (doc_id) JOIN (SELECT d AS doc_id, min(r) AS component_id FROM reach GROUP BY d) c USING (doc_id)
+""",
+    "op5_warc_zip": r"""
+WITH payloads AS (
+    SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+), digests AS (
+    SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS payload_digest FROM payloads
+), chiefs AS (
+    SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS chief FROM digests
+)
+SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN payload_bytes >= 1000 AND page_id <> chief THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN payload_bytes >= 1000 AND page_id <> chief THEN chief END AS refers_to
+FROM chiefs
 """,
 }
