@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from stratalith.llm.decontaminate import leaks
+from stratalith.llm.line_quality import line_quality
 from stratalith.llm.near_dedup import near_duplicates
 from stratalith.llm.packing import packed
 from stratalith.llm.suffix_dedup import repeated_bytes
@@ -55,6 +56,10 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), end_id=1, length=2048)
 
 
+def op10_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op3_token_files": op3_token_files,
@@ -63,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_token_counts": op7_token_counts,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_packing": op9_packing,
+    "op10_line_quality": op10_line_quality,
 }
 
 ORACLE: dict[str, str] = {
