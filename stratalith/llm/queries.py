@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stratalith.llm.decontaminate import leaks
+from stratalith.llm.language import languages, prototypes
 from stratalith.llm.line_quality import line_quality
 from stratalith.llm.near_dedup import near_duplicates
 from stratalith.llm.packing import packed
@@ -31,6 +32,12 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), size=5, percent=80)
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").withColumn("held_out", F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False)))
+    known = prototypes(docs.where("not held_out"))
+    return languages(docs, known, extra=("held_out",))
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, manifest = write_token_files(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), end_id=2)
     return read_token_files(spark, folder, manifest)
@@ -62,6 +69,7 @@ def op10_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_language_id": op2_language_id,
     "op3_token_files": op3_token_files,
     "op4_near_dedup": op4_near_dedup,
     "op5_warc_zip": op5_warc_zip,
