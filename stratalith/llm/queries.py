@@ -11,6 +11,7 @@ from stratalith.llm.language import languages, prototypes
 from stratalith.llm.line_quality import line_quality
 from stratalith.llm.near_dedup import near_duplicates
 from stratalith.llm.packing import packed
+from stratalith.llm.pii import personal_data
 from stratalith.llm.suffix_dedup import repeated_bytes
 from stratalith.llm.token_counts import token_counts
 from stratalith.llm.token_files import read_token_files, write_token_files
@@ -51,6 +52,10 @@ def op5_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archived(_table(spark, sf_dir, "pages")).drop("url")
 
 
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(_table(spark, sf_dir, "documents")).drop("base_spans")
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), limit=2048)
 
@@ -73,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_files": op3_token_files,
     "op4_near_dedup": op4_near_dedup,
     "op5_warc_zip": op5_warc_zip,
+    "op6_personal_data": op6_personal_data,
     "op7_token_counts": op7_token_counts,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_packing": op9_packing,
