@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+import corpus_pipeline
 from stratalith.llm.decontaminate import leaks
 from stratalith.llm.language import languages, prototypes
 from stratalith.llm.line_quality import line_quality
@@ -83,9 +84,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_packing": op9_packing,
     "op10_line_quality": op10_line_quality,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE: dict[str, str] = {
+    **({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}),
     # Words are lower-cased runs of ASCII letters, digits and everything beyond ASCII.
     "op1_decontaminate": r"""
 WITH texts AS (

@@ -1,0 +1,90 @@
+"""The whole pipeline against plain Python on a small corpus."""
+
+from __future__ import annotations
+
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from test_decontaminate import brute_force as leaking
+from test_near_dedup import brute_force as grouped
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from stratalith.llm import decontaminate, line_quality, pii
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def corpus():
+    rng = random.Random(9)
+    words = [f"{a}{b}" for a in ("ka", "lo", "mi", "ne", "pu", "ra", "so", "ti") for b in ("", "ba", "de", "fin", "gor", "hul", "jam", "kes", "lun", "mot")]
+    prose = lambda n: ".\n".join(" ".join(rng.choice(words) for _ in range(12)).capitalize() for _ in range(n))
+    texts = [prose(rng.randrange(4, 20)) for _ in range(60)]
+    items = [(k, prose(2)) for k in range(8)]
+    texts += [" | ".join(rng.choice(words) for _ in range(120)) for _ in range(20)]
+    texts += [t.replace(t.split()[9], "changed", 1) for t in texts[:20]] + texts[20:25]
+    texts += [prose(5) + ".\n" + items[k][1] + ".\n" + prose(4) for k in range(5)]
+    texts += [prose(6) + f". Mail me{k}@example.com or +1 (212) 555-{1000 + k}.\n" + prose(3) for k in range(10)]
+    texts += ["", None, "too short", "a " * 300]
+    rows = list(enumerate(texts))
+    rng.shuffle(rows)
+    labels = [(d, int(t is not None and " | " not in t), 0) for d, t in rows if d % 3]
+    return rows, labels, items
+
+
+def expected(spark, sf_dir, rows):
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    field = line_quality.train(docs, labels)
+    rows = [(d, t) for d, t in rows if line_quality.judged(t or "", field)[2]]
+    counts = [len(rows)]
+    kept = {d for d, _, _, first in grouped(rows, 5, 80) if first}
+    rows = [r for r in rows if r[0] in kept]
+    counts.append(len(rows))
+    bad = {r[0] for r in leaking(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet").rdd.map(tuple).collect())}
+    rows = [r for r in rows if r[0] not in bad]
+    counts.append(len(rows))
+    classifier = pii.learn(spark.createDataFrame(rows, "doc_id long, text string"))
+    return {d: pii.replaced(t, pii.spans_of(t, classifier)[1]) for d, t in rows}, counts
+
+
+def test_stages(spark, tmp_path):
+    rows, labels, items = corpus()
+    sf_dir = str(tmp_path)
+    spark.createDataFrame([(d, t, "xx", "s", None if t is None else len(t)) for d, t in rows], DOCS).repartition(3).write.parquet(f"{sf_dir}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{sf_dir}/labels.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{sf_dir}/benchmark.parquet")
+    texts, counts = expected(spark, sf_dir, rows)
+    assert len(rows) > counts[0] > counts[1] > counts[2] > 50 and sum("[EMAIL]" in t and "[PHONE]" in t for t in texts.values()) == 10
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, sf_dir)
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"], name
+    assert {r.doc_id: (r.text, r.n_chars) for r in docs.collect()} == {d: (t, len(t)) for d, t in texts.items()}
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    pieces = corpus_pipeline.run(spark, sf_dir).collect()
+    ids = {d: np.array(library.encode(t, add_special_tokens=False).ids + [1], "<u4") for d, t in texts.items()}
+    reached: dict[int, int] = {}
+    for r in sorted(pieces, key=lambda r: (r.doc_id, r.start)):
+        assert r.start == reached.get(r.doc_id, 0) and r.ids_crc32 == zlib.crc32(ids[r.doc_id][r.start : r.start + r.length].tobytes())
+        reached[r.doc_id] = r.start + r.length
+    assert reached == {d: len(i) for d, i in ids.items()}
+
+
+def test_rows_without_id(spark):
+    long = " ".join(f"w{k}" for k in range(30))
+    docs = spark.createDataFrame([(1, long, "", "", 1), (None, long, "", "", 1), (None, "other text", "", "", 1), (None, "other text", "", "", 1), (None, None, "", "", 1), (1, long, "", "", 1)], DOCS)
+    found = corpus_pipeline.near_duplicates(spark, docs, "").collect()
+    assert sorted(((r.doc_id, r.text) for r in found), key=repr) == sorted([(1, long), (None, "other text"), (None, None)], key=repr)
+
+
+@pytest.mark.parametrize("text", [None, "", "word"])
+def test_empty_and_tiny_tables(spark, tmp_path, text):
+    sf_dir = str(tmp_path)
+    spark.createDataFrame([] if text is None else [(1, text, "xx", "s", len(text))], DOCS).write.parquet(f"{sf_dir}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{sf_dir}/labels.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{sf_dir}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, sf_dir).count() == 0
+    assert decontaminate.leaks(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet")).count() == 0
