@@ -39,6 +39,10 @@ RULES: dict[str, Callable[[Column], Column]] = {
 }
 
 
+# Rules that give NULL for text that does not fit.
+TYPED = ("long", "int", "double")
+
+
 def money_sum(amount: str | Column) -> Column:
     """Exact sum, as decimal."""
     c = F.col(amount) if isinstance(amount, str) else amount

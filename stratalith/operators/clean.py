@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from stratalith.functions.columns import RULES
+from stratalith.functions.columns import RULES, TYPED
 from stratalith.spec import TableSpec
 
 
@@ -48,6 +48,17 @@ def clean(df: DataFrame, spec: TableSpec | None) -> DataFrame:
     return ruled.filter(F.col(spec.key).isNotNull())
 
 
+def cast_failures(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """``column_name, failed``: how many values of each column are no value of its type, in one pass."""
+    typed = parse_timestamps(df.select([F.col(c).alias(f"raw {c}") for c in df.columns] + df.columns), spec.timestamp_cols)
+    typed = _ruled(typed, spec)
+    checked = [c for c, rule in spec.columns.items() if c in df.columns and rule in (*TYPED, "timestamp")]
+    lost = {c: F.count_if(F.col(f"raw {c}").isNotNull() & F.col(c).isNull()) for c in checked}
+    rows = typed.agg(*[n.alias(c) for c, n in lost.items()])
+    told = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("failed")) for c in checked]))
+    return rows.select(told.alias("told")).select("told.*")
+
+
 def reject_reason(spec: TableSpec) -> Column:
     """Why a raw row has no usable key; NULL when it has one."""
     raw, typed_key = F.col(spec.key), RULES[spec.columns[spec.key]](F.col(spec.key))

@@ -1,7 +1,9 @@
 """Merges as joins: ``(target, source) -> new target``.
 
 A source may hold a key once; with ``check=True`` a repeated source key fails the job, as
-it does in a MERGE. NULL keys match nothing, so such rows of both sides are kept.
+it does in a MERGE. NULL keys match nothing, so such rows of both sides are kept. Cleaning
+makes keys non-NULL; where many may be NULL, ``null_keys=True`` spreads them over the tasks,
+which costs a shuffle of its own.
 """
 
 from __future__ import annotations
@@ -10,8 +12,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from stratalith.operators.dedup import latest_per_key
-from stratalith.operators.joins import SALTS, any_null, names_of, spread_join
+from stratalith.operators.joins import any_null, names_of, partitions_of, spread_join
 
 
 def source_keys(source: DataFrame, keys: str | Sequence[str], check: bool) -> DataFrame:
@@ -24,20 +25,24 @@ def source_keys(source: DataFrame, keys: str | Sequence[str], check: bool) -> Da
     return known.filter(F.when(F.col("_n") > 1, F.raise_error(told).cast("boolean")).otherwise(True)).select(*names)
 
 
-def insert_missing(target: DataFrame, source: DataFrame, keys: str | Sequence[str]) -> DataFrame:
+def _join(left: DataFrame, right: DataFrame, names: Sequence[str], how: str, null_keys: bool) -> DataFrame:
+    return spread_join(left, right, names, how) if null_keys else left.join(right, list(names), how)
+
+
+def insert_missing(target: DataFrame, source: DataFrame, keys: str | Sequence[str], *, null_keys: bool = False) -> DataFrame:
     """Add the source rows whose key the target lacks; existing rows stay as they are."""
     names = names_of(keys)
-    return target.unionByName(_unmatched(source, target, names))
+    return target.unionByName(_unmatched(source, target, names, null_keys))
 
 
-def _unmatched(source: DataFrame, target: DataFrame, names: Sequence[str]) -> DataFrame:
+def _unmatched(source: DataFrame, target: DataFrame, names: Sequence[str], null_keys: bool) -> DataFrame:
     """Source rows whose key the target lacks.
 
     The target keys are first reduced to those of the source, so a small source never
     makes the target move.
     """
     common = target.select(*names).join(source.select(*names), names, "left_semi")
-    return spread_join(source, common, names, "left_anti")
+    return _join(source, common, names, "left_anti", null_keys)
 
 
 def upsert(
@@ -47,21 +52,32 @@ def upsert(
     *,
     only_if_newer: str | None = None,
     check: bool = False,
+    null_keys: bool = False,
 ) -> DataFrame:
     """Replace matched rows and add the rest; the batch wins.
 
     The target is filtered with an anti join: a batch whose keys fit in a broadcast leaves
     the target unshuffled. With ``only_if_newer`` a matched row is replaced only by one
-    with a greater value in that column (a NULL counts as oldest).
+    with a greater value in that column (a NULL counts as oldest): the target meets the keys
+    and clocks of the batch, the batch those of the target rows that it names.
+
+    The test of ``check`` sits on the rows of the batch that are returned, so it is made
+    whatever the target holds.
     """
     names = names_of(keys)
-    if only_if_newer is None:
-        return spread_join(target, source_keys(source, names, check), names, "left_anti").unionByName(source)
-
     incoming = _checked(source, names) if check else source
-    both = target.withColumn("_side", F.lit(1)).unionByName(incoming.withColumn("_side", F.lit(0)))
-    newest = latest_per_key(both.filter(~any_null(names)), names, [only_if_newer, "_side"])
-    return newest.unionByName(both.filter(any_null(names))).drop("_side")
+    if only_if_newer is None:
+        return _join(target, source.select(*names), names, "left_anti", null_keys).unionByName(incoming)
+
+    clock = F.col(only_if_newer)
+    offered = source.select(*names, clock.alias("_offered"), F.lit(True).alias("_named"))
+    wins = F.col("_named").isNotNull() & F.col("_offered").isNotNull() & (clock.isNull() | (F.col("_offered") > clock))
+    kept = _join(target, offered, names, "left", null_keys).filter(~wins).select(*target.columns)
+    # Only target rows that the batch names are looked at, so a small batch moves little.
+    held = target.join(source.select(*names), names, "left_semi").select(*names, clock.alias("_held"), F.lit(True).alias("_named"))
+    loses = F.col("_named").isNotNull() & ~(clock.isNotNull() & (F.col("_held").isNull() | (clock > F.col("_held"))))
+    new = _join(incoming, held, names, "left", null_keys).filter(~loses).select(*target.columns)
+    return kept.unionByName(new)
 
 
 def _checked(source: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -78,6 +94,7 @@ def merge_columns(
     insert: Mapping[str, str | Column] | None = None,
     check: bool = False,
     similar_size: bool = False,
+    null_keys: bool = False,
 ) -> DataFrame:
     """Merge that sets only the ``update`` columns of matched rows.
 
@@ -104,14 +121,14 @@ def merge_columns(
                             {c: value(v) for c, v in insert.items()})
     left, right = target.alias("t"), source.withColumn("_matched", F.lit(True)).alias("s")
     matched = F.coalesce(F.col("_matched"), F.lit(False))
-    kept = spread_join(left, right, names, "left").select(*[
+    kept = _join(left, right, names, "left", null_keys).select(*[
         (F.when(matched, value(update[c])).otherwise(F.col(f"t.{c}")) if c in update else F.col(f"t.{c}"))
         .cast(kind).alias(c)
         for c, kind in types.items()
     ])
     if not insert:
         return kept
-    new = _unmatched(source, target, names).alias("s").select(*[
+    new = _unmatched(source, target, names, null_keys).alias("s").select(*[
         (value(insert[c]) if c in insert else F.lit(None)).cast(kind).alias(c) for c, kind in types.items()
     ])
     return kept.unionByName(new)
@@ -127,7 +144,7 @@ def _merge_outer(
 ) -> DataFrame:
     def salted(df: DataFrame, flag: str) -> DataFrame:
         # Rows without a key match nothing and must not meet in one task.
-        spread = F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int")
+        spread = F.pmod(F.xxhash64(*df.columns), F.lit(partitions_of(df))).cast("int")
         return df.withColumns({flag: F.lit(True), "_salt": F.when(any_null(names), spread).otherwise(F.lit(0))})
 
     t, s = salted(target, "_old").alias("t"), salted(source, "_new").alias("s")

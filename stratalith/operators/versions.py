@@ -73,10 +73,21 @@ def keyed_state_touching(
     A row that once belonged to a parent may since have moved away, so every version of a
     touched key is ranked before the parent test is applied to the survivor.
     """
-    touched = only_keys_of(rows, parents, parent_key).select(key)
+    touched = only_keys_of(rows, parents, parent_key).select(key).distinct()
     return only_keys_of(keyed_state(only_keys_of(rows, touched, key), key), parents, parent_key)
 
 
+def changed_keys(rows: DataFrame, keys: str, seen: int | None) -> DataFrame:
+    """Keys that a version above ``seen`` wrote or deleted, each once; all keys if nothing was seen yet."""
+    new = rows if seen is None else rows.filter(F.col("_version") > seen)
+    return new.select(keys).dropna().distinct()
+
+
+def state_of_keys(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """Current state of the ``wanted`` keys only: the filter comes before the rank, so nothing else is moved for it."""
+    return keyed_state(only_keys_of(rows, wanted, key), key)
+
+
 def history(rows: DataFrame) -> DataFrame:
     """One row per kept version: when it was committed and how many rows it wrote."""
     return rows.groupBy("_version").agg(

@@ -23,7 +23,7 @@ class HotKeys:
     product_id: Sequence[Any] = ()
 
     @classmethod
-    def of(cls, orders: DataFrame, order_items: DataFrame, share: float = 0.01) -> HotKeys:
+    def of(cls, orders: DataFrame, order_items: DataFrame, share: float | None = None) -> HotKeys:
         """Found in two passes over three columns, before any join."""
         return cls(
             **hot_keys(orders, ["customer_id"], share),
@@ -100,4 +100,5 @@ def affected_orders(
         ids = ids.unionByName(
             only_keys_of(order_items, changed_since(products, mark, CLOCKS), "product_id").select("order_id")
         )
-    return only_keys_of(orders, ids, "order_id")
+    # Counted down to one row per order before the shuffle: an order may have very many changed items.
+    return only_keys_of(orders, ids.distinct(), "order_id")

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from stratalith.functions.columns import date_parts, money_total
+from stratalith.functions.columns import date_parts, money_sum, money_total
 from stratalith.operators.dedup import latest_per_key
 from stratalith.spec import CUSTOMERS, PRODUCTS, TableSpec
 
@@ -30,12 +30,24 @@ def fact_sales(enriched: DataFrame) -> DataFrame:
     return enriched.withColumns(date_parts("order_date"))
 
 
+def _per_order(sales: DataFrame, *group: str) -> DataFrame:
+    """One row per group, order and customer, with its exact amount.
+
+    Two distinct counts repeat every row that reaches them; here these are orders, not items.
+    """
+    return sales.groupBy(*group, "order_id", "customer_id").agg(money_sum("sales_amount").alias("amount"))
+
+
+def _sums(revenue: str, orders: str, customers: str) -> list[Column]:
+    return [
+        F.round(F.sum("amount"), 2).cast("double").alias(revenue),
+        F.count_distinct("order_id").alias(orders),
+        F.count_distinct("customer_id").alias(customers),
+    ]
+
+
 def revenue_by_state(sales: DataFrame) -> DataFrame:
-    return sales.groupBy("state").agg(
-        money_total("sales_amount").alias("total_revenue"),
-        F.count_distinct("order_id").alias("total_orders"),
-        F.count_distinct("customer_id").alias("total_customers"),
-    )
+    return _per_order(sales, "state").groupBy("state").agg(*_sums("total_revenue", "total_orders", "total_customers"))
 
 
 def top_products(sales: DataFrame) -> DataFrame:
@@ -46,21 +58,14 @@ def top_products(sales: DataFrame) -> DataFrame:
 
 
 def daily_sales(sales: DataFrame) -> DataFrame:
-    days = sales.withColumn("order_date_only", F.to_date("order_date"))
-    return days.groupBy("order_date_only").agg(
-        money_total("sales_amount").alias("daily_revenue"),
-        F.count_distinct("order_id").alias("daily_orders"),
-        F.count_distinct("customer_id").alias("daily_customers"),
-    )
+    days = _per_order(sales.withColumn("order_date_only", F.to_date("order_date")), "order_date_only")
+    return days.groupBy("order_date_only").agg(*_sums("daily_revenue", "daily_orders", "daily_customers"))
 
 
 def monthly_sales(sales: DataFrame) -> DataFrame:
     months = sales.withColumns({"order_year": F.year("order_date"), "order_month": F.month("order_date")})
-    return months.groupBy("order_year", "order_month").agg(
-        money_total("sales_amount").alias("monthly_revenue"),
-        F.count_distinct("order_id").alias("monthly_orders"),
-        F.count_distinct("customer_id").alias("monthly_customers"),
-    )
+    months = _per_order(months, "order_year", "order_month")
+    return months.groupBy("order_year", "order_month").agg(*_sums("monthly_revenue", "monthly_orders", "monthly_customers"))
 
 
 def category_sales(sales: DataFrame) -> DataFrame:

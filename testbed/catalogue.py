@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from stratalith.operators import constraints, incremental, joins, layout, upsert, versions
+from stratalith.operators import clean as cleaning, constraints, incremental, joins, layout, upsert, versions
 from stratalith.operators.clean import parse_timestamps, rejects
 from stratalith.plans import enrich, gold, reports
 from stratalith.sources import control
@@ -181,14 +182,13 @@ def sql_category_revenue(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def merge_insert_only(spark: SparkSession, d: str) -> DataFrame:
-    return upsert.insert_missing(fx.order_batch(spark, d, 0, 1), fx.order_batch(spark, d, 2), "order_id")
+    return upsert.insert_missing(*fx.merge_sides(spark, d), "order_id")
 
 
 @query
 def merge_partial_update(spark: SparkSession, d: str) -> DataFrame:
     return upsert.merge_columns(
-        fx.order_batch(spark, d, 0, 1),
-        fx.order_batch(spark, d, 2),
+        *fx.merge_sides(spark, d),
         "order_id",
         update={"order_status": "order_status", "updated_at": "updated_at"},
         insert={c: c for c in ("order_id", "order_status", "created_at", "updated_at")},
@@ -197,15 +197,13 @@ def merge_partial_update(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def merge_upsert_all(spark: SparkSession, d: str) -> DataFrame:
-    return upsert.upsert(fx.order_batch(spark, d, 0, 1), fx.order_batch(spark, d, 2), "order_id", check=True)
+    return upsert.upsert(*fx.merge_sides(spark, d), "order_id", check=True)
 
 
 @query
 def merge_upsert_newer(spark: SparkSession, d: str) -> DataFrame:
-    """An old batch arrives late: it must not replace rows that are newer."""
-    return upsert.upsert(
-        fx.order_batch(spark, d, 1, 2), fx.order_batch(spark, d, 0), "order_id", only_if_newer="updated_at"
-    )
+    """Rows that are older than what is there replace nothing."""
+    return upsert.upsert(*fx.merge_sides(spark, d), "order_id", only_if_newer="updated_at", null_keys=True)
 
 
 @query
@@ -226,6 +224,13 @@ def incremental_filter(spark: SparkSession, d: str) -> DataFrame:
     return incremental.newer_than(fx.raw(spark, d, "orders"), "updated_at", fx.ntz(MARK))
 
 
+@query
+def incremental_chosen_column(spark: SparkSession, d: str) -> DataFrame:
+    """The same with another mark column, as configured."""
+    spec = replace(ENTITIES["orders"], watermark_col="created_at")
+    return incremental.newer_than(fx.raw(spark, d, "orders"), spec.watermark_col, fx.ntz(MARK))
+
+
 @query
 def unmarked_rows(spark: SparkSession, d: str) -> DataFrame:
     parsed = parse_timestamps(_orders_as_text(spark, d), ["order_date", "updated_at"])
@@ -263,15 +268,24 @@ def last_watermark(spark: SparkSession, d: str) -> DataFrame:
     return without_zone(out)
 
 
-@query
-def mark_lifecycle(spark: SparkSession, d: str) -> DataFrame:
-    """Seeds, two loads that start, one success per other entity, and a later failure."""
+def _worked_marks(spark: SparkSession, d: str) -> DataFrame:
     now = F.lit("2024-01-01 07:00:00").cast("timestamp")
     marks = control.seed_marks(control.empty(spark, control.WATERMARK), control.seeds(spark, ENTITIES, now))
     marks = control.mark_running(marks, control.names(spark, "orders", "silver_orders"), now)
     marks = control.mark_success(marks, _marks(spark, d).filter("table_name <> 'orders'"))
-    marks = control.checked(control.mark_failed(marks, "products", now))
-    return without_zone(reports.mark_state(marks))
+    return control.checked(control.mark_failed(marks, "products", now))
+
+
+@query
+def mark_lifecycle(spark: SparkSession, d: str) -> DataFrame:
+    """Seeds, two loads that start, one success per other entity, and a later failure."""
+    return without_zone(reports.mark_state(_worked_marks(spark, d)))
+
+
+@query
+def silver_marks(spark: SparkSession, d: str) -> DataFrame:
+    """Marks whose name is like a pattern; the bare ``_`` stands for any letter."""
+    return without_zone(reports.mark_state(_worked_marks(spark, d), "%ord_r%"))
 
 
 @query
@@ -321,6 +335,17 @@ def duplicate_keys(spark: SparkSession, d: str) -> DataFrame:
     return out
 
 
+@query
+def cast_failures(spark: SparkSession, d: str) -> DataFrame:
+    """Values of every entity and column that are no value of the column's type."""
+    out = None
+    for name, spec in ENTITIES.items():
+        found = cleaning.cast_failures(fx.as_text(spark, d, name), spec)
+        part = found.select(F.lit(name).alias("table_name"), "column_name", "failed")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @query
 def check_constraint(spark: SparkSession, d: str) -> DataFrame:
     return constraints.violations(
@@ -363,10 +388,23 @@ def as_of_version(spark: SparkSession, d: str) -> DataFrame:
 @query
 def as_of_timestamp(spark: SparkSession, d: str) -> DataFrame:
     rows = fx.order_versions(spark, d)
-    a_day_before = fx.ntz("2024-01-03 12:00:00") - F.expr("INTERVAL 1 DAY")
+    a_day_before = fx.ntz("2024-01-02 12:00:00") - F.expr("INTERVAL 1 DAY")
     return versions.keyed_state(rows, "order_id", versions.version_when(rows, a_day_before))
 
 
+@query
+def current_state(spark: SparkSession, d: str) -> DataFrame:
+    """Without the keys that were deleted last."""
+    return versions.keyed_state(fx.order_versions(spark, d), "order_id")
+
+
+@query
+def version_increment(spark: SparkSession, d: str) -> DataFrame:
+    """Current state of the keys written after version 1; the filter comes before the rank."""
+    rows = fx.order_versions(spark, d)
+    return versions.state_of_keys(rows, "order_id", versions.changed_keys(rows, "order_id", 1))
+
+
 @query
 def version_history(spark: SparkSession, d: str) -> DataFrame:
     return versions.history(fx.order_versions(spark, d))
@@ -377,6 +415,12 @@ def expire_versions(spark: SparkSession, d: str) -> DataFrame:
     return versions.expire_keyed(fx.order_versions(spark, d), "order_id", fx.ntz("2024-01-02 00:00:00"))
 
 
+@query
+def expire_snapshots(spark: SparkSession, d: str) -> DataFrame:
+    """The batches as whole states: the one that stands at the cutoff and later ones stay."""
+    return versions.expire_snapshots(fx.order_versions(spark, d), fx.ntz("2024-01-02 00:00:00"))
+
+
 @query
 def fact_as_of_timestamp(spark: SparkSession, d: str) -> DataFrame:
     """The fact as it stood a day before; it is rebuilt whole at every version of the orders."""

@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from stratalith.operators.clean import clean
 from stratalith.operators.dedup import latest_per_key
-from stratalith.operators.versions import WROTE
+from stratalith.operators.versions import DELETED, WROTE
 from stratalith.plans import enrich
-from stratalith.spec import CUSTOMERS, ENTITIES, ORDER_ITEMS, ORDERS, PRODUCTS, TableSpec
+from stratalith.spec import ENTITIES, ORDERS, TableSpec
 
 T0 = "timestamp_ntz'1995-01-01 00:00:00'"
 # First updated_at of batches 1 and 2, and the commit time of batches 0, 1 and 2.
@@ -34,7 +34,7 @@ def ntz(text: str) -> Column:
 
 
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = read(spark, sf_dir, "customer").filter("c_custkey % 50 <> 49").join(
+    base = read(spark, sf_dir, "customer").join(
         read(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
     )
     # Each customer once, and the copies it has, from a single scan.
@@ -58,7 +58,7 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "part").filter("p_partkey % 50 <> 49").selectExpr(
+    return read(spark, sf_dir, "part").selectExpr(
         "cast(p_partkey as string) AS product_id",
         "' ' || p_name || ' ' AS product_name",
         "lower(p_type) AS category",
@@ -74,7 +74,8 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )))
     return copies.selectExpr(
         "o_orderkey AS order_id",
-        "o_custkey AS customer_id",
+        # Some orders name no customer, or one that does not exist; all rows stay.
+        "CASE WHEN o_orderkey % 53 = 0 THEN NULL WHEN o_orderkey % 47 = 0 THEN -o_custkey ELSE o_custkey END AS customer_id",
         "o_orderdate AS order_date",
         "CASE WHEN newer THEN ' x ' ELSE ' ' || lower(o_orderstatus) END AS order_status",
         "o_totalprice AS total_amount",
@@ -88,7 +89,7 @@ def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "lineitem").selectExpr(
         "l_orderkey * 10 + l_linenumber AS order_item_id",
         "l_orderkey AS order_id",
-        "l_partkey AS product_id",
+        "CASE WHEN l_orderkey % 59 = 0 THEN NULL WHEN l_orderkey % 43 = 0 THEN -l_partkey ELSE l_partkey END AS product_id",
         "l_quantity AS quantity",
         "l_extendedprice AS price",
         "l_shipdate AS created_at",
@@ -137,19 +138,40 @@ def order_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     tagged = cleaned(spark, sf_dir, "orders").withColumn("_version", batch_number())
     reduced = latest_per_key(tagged, ["order_id", "_version"], ORDERS.order_by)
     commit = F.element_at(F.array(*[ntz(t) for t in COMMITS]), F.col("_version") + 1)
-    return reduced.withColumns({"_commit_ts": commit, "_op": F.lit(WROTE)})
+    # The last batch takes some orders away again.
+    op = F.when((F.col("_version") == 2) & (F.col("order_id") % 17 == 0), DELETED).otherwise(WROTE)
+    return reduced.withColumns({"_commit_ts": commit, "_op": op})
+
+
+def merge_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Target and source of the merges: ``(batches 0 and 2, batches 0 and 1)``.
+
+    Half of the common orders are newer in the source and half older, both sides have rows that the
+    other lacks, and both have rows without a key.
+    """
+    keyless = F.when(F.col("order_id") % 101 != 0, F.col("order_id"))
+    moved = F.expr("updated_at + make_dt_interval(CASE WHEN order_id % 2 = 0 THEN 2000 ELSE -2000 END)")
+    target = order_batch(spark, sf_dir, 0, 2).withColumn("order_id", keyless)
+    source = order_batch(spark, sf_dir, 0, 1).withColumns({"updated_at": moved, "order_status": F.lit("S"), "order_id": keyless})
+    return target, source
+
+
+# Columns of each entity that arrive as text, with some values that are none of their type.
+AS_TEXT = {
+    "customers": {"signup_date": "CASE WHEN customer_id LIKE '%7' THEN 'never' ELSE cast(signup_date as string) END"},
+    "products": {"price": "CASE WHEN cast(product_id as bigint) % 13 = 5 THEN 'n/a' ELSE price END"},
+    "orders": {"total_amount": "CASE WHEN order_id % 97 = 5 THEN 'unknown' WHEN order_id % 97 = 6 THEN NULL ELSE cast(total_amount as string) END"},
+    "order_items": {"quantity": "CASE WHEN order_item_id % 31 = 2 THEN 'two' ELSE cast(cast(quantity as int) as string) END"},
+}
 
 
-@lru_cache(maxsize=64)
-def _hot(spark: SparkSession, sf_dir: str) -> enrich.HotKeys:
-    return enrich.HotKeys.of(
-        raw_orders(spark, sf_dir), raw_order_items(spark, sf_dir)
-    )
+def as_text(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return raw(spark, sf_dir, name).withColumns({c: F.expr(e) for c, e in AS_TEXT[name].items()})
 
 
 def hot(spark: SparkSession, sf_dir: str) -> enrich.HotKeys:
-    """Join-key statistics of the tables in ``sf_dir``, taken once per session."""
-    return _hot(spark, sf_dir)
+    """Join-key statistics of the tables in ``sf_dir``, taken anew for every query."""
+    return enrich.HotKeys.of(raw_orders(spark, sf_dir), raw_order_items(spark, sf_dir))
 
 
 def enriched(
@@ -163,9 +185,3 @@ def enriched(
         hot=hot(spark, sf_dir),
         few_orders=few_orders,
     )
-
-
-__all__ = [
-    "CUSTOMERS", "ORDERS", "ORDER_ITEMS", "PRODUCTS", "batch_number", "cleaned", "enriched", "hot", "latest",
-    "ntz", "order_batch", "order_versions", "raw", "read", "silver",
-]

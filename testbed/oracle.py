@@ -21,7 +21,7 @@ cust_base AS (
          lower(n_name) || ' ' AS state,
          {T0} + to_days(CAST(c_custkey % 365 AS INTEGER)) AS signup_date,
          {T0} + to_days(CAST(c_custkey % 365 + c_custkey % 30 AS INTEGER)) AS updated_at
-  FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 50 <> 49),
+  FROM customer JOIN nation ON c_nationkey = n_nationkey),
 raw_customers AS (
   SELECT CAST(k AS VARCHAR) AS customer_id, name, city, state, signup_date, signup_date AS created_at, updated_at
   FROM cust_base
@@ -40,22 +40,24 @@ raw_products AS (
          lower(p_type) AS category, CAST(p_retailprice AS VARCHAR) AS price,
          {T0} + to_days(CAST(p_partkey % 365 AS INTEGER)) AS created_at,
          {T0} + to_days(CAST(p_partkey % 365 + p_partkey % 30 AS INTEGER)) AS updated_at
-  FROM part WHERE p_partkey % 50 <> 49)"""
+  FROM part)"""
 
 _RAW_ORDERS = """
 raw_orders AS (
-  SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_orderdate AS order_date,
+  SELECT o_orderkey AS order_id, CASE WHEN o_orderkey % 53 = 0 THEN NULL WHEN o_orderkey % 47 = 0 THEN -o_custkey ELSE o_custkey END AS customer_id,
+         o_orderdate AS order_date,
          ' ' || lower(o_orderstatus) AS order_status, o_totalprice AS total_amount, o_orderdate AS created_at,
          o_orderdate + to_days(CAST(o_orderkey % 30 AS INTEGER)) AS updated_at
   FROM orders
   UNION ALL
-  SELECT o_orderkey, o_custkey, o_orderdate, ' x ', o_totalprice, o_orderdate,
+  SELECT o_orderkey, CASE WHEN o_orderkey % 53 = 0 THEN NULL WHEN o_orderkey % 47 = 0 THEN -o_custkey ELSE o_custkey END, o_orderdate, ' x ', o_totalprice, o_orderdate,
          o_orderdate + to_days(CAST(o_orderkey % 30 AS INTEGER)) + to_days(40)
   FROM orders WHERE o_orderkey % 10 = 0)"""
 
 _RAW_ITEMS = """
 raw_order_items AS (
-  SELECT l_orderkey * 10 + l_linenumber AS order_item_id, l_orderkey AS order_id, l_partkey AS product_id,
+  SELECT l_orderkey * 10 + l_linenumber AS order_item_id, l_orderkey AS order_id,
+         CASE WHEN l_orderkey % 59 = 0 THEN NULL WHEN l_orderkey % 43 = 0 THEN -l_partkey ELSE l_partkey END AS product_id,
          l_quantity AS quantity, l_extendedprice AS price, l_shipdate AS created_at, l_shipdate AS updated_at
   FROM lineitem)"""
 
@@ -148,7 +150,8 @@ _VERSIONED = [
     _RAW_ORDERS, _CLEAN_ORDERS,
     f"tagged AS (SELECT *, CAST({_BATCH_OF} AS INTEGER) AS _version FROM clean_orders)",
     _latest("reduced", "tagged", "order_id, _version", _BY_ORDER),
-    """versions AS (SELECT *, timestamp '2024-01-01' + to_days(_version) AS _commit_ts, 'WRITE' AS _op FROM reduced)""",
+    """versions AS (SELECT *, timestamp '2024-01-01' + to_days(_version) AS _commit_ts,
+  CASE WHEN _version = 2 AND order_id % 17 = 0 THEN 'DELETE' ELSE 'WRITE' END AS _op FROM reduced)""",
 ]
 
 
@@ -156,6 +159,16 @@ def _batch(name: str, numbers: str) -> str:
     return _latest(name, "tagged", "order_id", _BY_ORDER, f"_version IN ({numbers})")
 
 
+_KEYLESS = "CASE WHEN order_id % 101 <> 0 THEN order_id END AS order_id"
+_MERGE = [
+    *_VERSIONED,
+    _batch("t_all", "0, 2"), _batch("s_all", "0, 1"),
+    f"t AS (SELECT * EXCLUDE (_version) REPLACE ({_KEYLESS}), 1 AS there FROM t_all)",
+    f"""s AS (SELECT * EXCLUDE (_version) REPLACE ({_KEYLESS}, 'S' AS order_status,
+  updated_at + to_days(CASE WHEN order_id % 2 = 0 THEN 2000 ELSE -2000 END) AS updated_at), 1 AS there FROM s_all)""",
+]
+
+
 def _sql(parts: list[str], final: str) -> str:
     return "WITH " + ",".join(p.strip() for p in parts) + "\n" + final
 
@@ -199,6 +212,14 @@ _STATE_1 = f"""SELECT {_O} FROM (
   SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY _version DESC) AS rn FROM versions WHERE _version <= 1)
   WHERE rn = 1"""
 
+_WORKED = """SELECT table_name, last_run_ts, 'run-1' AS last_run_id,
+  CASE table_name WHEN 'products' THEN 'FAILED' ELSE 'SUCCESS' END AS status,
+  CASE table_name WHEN 'products' THEN timestamp '2024-01-01 07:00:00'
+       ELSE timestamp '2024-01-01 06:00:00' END AS updated_at
+  FROM loaded WHERE table_name <> 'orders'
+  UNION ALL SELECT name, timestamp '1900-01-01', NULL, 'RUNNING', timestamp '2024-01-01 07:00:00'
+  FROM (VALUES ('orders'), ('silver_orders')) AS started(name)"""
+
 ORACLE: dict[str, str] = {
     "clean_customers": _sql([_RAW_CUSTOMERS, _CLEAN_CUSTOMERS], "SELECT * FROM clean_customers"),
     "clean_products": _sql([_RAW_PRODUCTS, _CLEAN_PRODUCTS], "SELECT * FROM clean_products"),
@@ -230,33 +251,33 @@ ORACLE: dict[str, str] = {
   round(CAST(sum(CAST(sales_amount AS DECIMAL(24,6))) AS DOUBLE) / count(DISTINCT order_id), 2) AS avg_order_value
   FROM fact GROUP BY order_year, order_month ORDER BY order_year, order_month"""),
     "sql_category_revenue": _sql(_SALES, _CATEGORY + " ORDER BY category_revenue DESC"),
-    "merge_insert_only": _sql([*_VERSIONED, _batch("t", "0, 1"), _batch("s", "2")], f"""SELECT {_O} FROM t
-  UNION ALL SELECT {_O} FROM s WHERE order_id NOT IN (SELECT order_id FROM t)"""),
-    "merge_partial_update": _sql([*_VERSIONED, _batch("t", "0, 1"), _batch("s", "2")], """SELECT
-  coalesce(t.order_id, s.order_id) AS order_id, t.customer_id, t.order_date,
-  CASE WHEN s.order_id IS NULL THEN t.order_status ELSE s.order_status END AS order_status, t.total_amount,
-  CASE WHEN t.order_id IS NULL THEN s.created_at ELSE t.created_at END AS created_at,
-  CASE WHEN s.order_id IS NULL THEN t.updated_at ELSE s.updated_at END AS updated_at
+    "merge_insert_only": _sql(_MERGE, f"""SELECT {_O} FROM t
+  UNION ALL SELECT {_O} FROM s WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.order_id = s.order_id)"""),
+    "merge_partial_update": _sql(_MERGE, """SELECT
+  CASE WHEN t.there IS NULL THEN s.order_id ELSE t.order_id END AS order_id, t.customer_id, t.order_date,
+  CASE WHEN s.there IS NULL THEN t.order_status ELSE s.order_status END AS order_status, t.total_amount,
+  CASE WHEN t.there IS NULL THEN s.created_at ELSE t.created_at END AS created_at,
+  CASE WHEN s.there IS NULL THEN t.updated_at ELSE s.updated_at END AS updated_at
   FROM t FULL JOIN s ON t.order_id = s.order_id"""),
-    "merge_upsert_all": _sql(_ORDERS, "SELECT * FROM orders_s"),
-    "merge_upsert_newer": _sql(_ORDERS, "SELECT * FROM orders_s"),
+    "merge_upsert_all": _sql(_MERGE, f"""SELECT {_O} FROM s
+  UNION ALL SELECT {_O} FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.order_id = t.order_id)"""),
+    "merge_upsert_newer": _sql(_MERGE, f"""SELECT {_O} FROM t
+  WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.order_id = t.order_id AND s.updated_at > t.updated_at)
+  UNION ALL SELECT {_O} FROM s
+  WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.order_id = s.order_id AND s.updated_at <= t.updated_at)"""),
     "conditional_update": _sql(_ORDERS, """SELECT * REPLACE (
     CASE WHEN order_status = 'O' AND updated_at < timestamp '1998-01-01' THEN 'LATE' ELSE order_status END AS order_status,
     CASE WHEN order_status = 'O' AND updated_at < timestamp '1998-01-01' THEN updated_at + to_days(1) ELSE updated_at END AS updated_at)
   FROM orders_s"""),
     "incremental_filter": _sql([_RAW_ORDERS], f"SELECT * FROM raw_orders WHERE updated_at > {_MARK}"),
+    "incremental_chosen_column": _sql([_RAW_ORDERS], f"SELECT * FROM raw_orders WHERE created_at > {_MARK}"),
     "unmarked_rows": _sql([_RAW_ORDERS, _TEXT_ORDERS], "SELECT * FROM text_orders WHERE updated_at IS NULL"),
     "next_watermark": _sql(_VERSIONED[:3], """SELECT _version AS batch,
   greatest(max(created_at), max(updated_at)) AS next_mark FROM tagged GROUP BY _version"""),
     "last_watermark": _sql(_MARKS, """SELECT * FROM loaded
   UNION ALL SELECT 'never_loaded', timestamp '1900-01-01'"""),
-    "mark_lifecycle": _sql(_MARKS, """SELECT table_name, last_run_ts, 'run-1' AS last_run_id,
-  CASE table_name WHEN 'products' THEN 'FAILED' ELSE 'SUCCESS' END AS status,
-  CASE table_name WHEN 'products' THEN timestamp '2024-01-01 07:00:00'
-       ELSE timestamp '2024-01-01 06:00:00' END AS updated_at
-  FROM loaded WHERE table_name <> 'orders'
-  UNION ALL SELECT name, timestamp '1900-01-01', NULL, 'RUNNING', timestamp '2024-01-01 07:00:00'
-  FROM (VALUES ('orders'), ('silver_orders')) AS started(name)"""),
+    "mark_lifecycle": _sql(_MARKS, _WORKED),
+    "silver_marks": _sql(_MARKS, f"SELECT * FROM ({_WORKED}) WHERE table_name LIKE '%ord_r%'"),
     "changed_orders": _sql([*_ORDERS, _CHANGED], "SELECT * FROM changed"),
     "affected_orders": _sql(_ALL, f"""SELECT * FROM orders_s o WHERE {_since("o.")}
   OR EXISTS (SELECT 1 FROM order_items_s i WHERE i.order_id = o.order_id AND {_since("i.")})
@@ -282,6 +303,16 @@ ORACLE: dict[str, str] = {
   UNION ALL SELECT 'orders', order_id, count(*) FROM clean_orders GROUP BY order_id HAVING count(*) > 1
   UNION ALL SELECT 'order_items', order_item_id, count(*) FROM clean_order_items
   GROUP BY order_item_id HAVING count(*) > 1"""),
+    "cast_failures": _sql([_RAW_CUSTOMERS, _RAW_PRODUCTS, _RAW_ORDERS, _RAW_ITEMS], """SELECT * FROM (
+  SELECT 'customers' AS table_name, unnest(['customer_id', 'signup_date', 'created_at', 'updated_at']) AS column_name,
+         unnest([count(*) FILTER (customer_id IS NOT NULL AND TRY_CAST(customer_id AS BIGINT) IS NULL),
+                 count(*) FILTER (customer_id LIKE '%7'), 0, 0]) AS failed FROM raw_customers
+  UNION ALL SELECT 'products', unnest(['product_id', 'price', 'created_at', 'updated_at']),
+         unnest([0, count(*) FILTER (CAST(product_id AS BIGINT) % 13 = 5), 0, 0]) FROM raw_products
+  UNION ALL SELECT 'orders', unnest(['order_id', 'customer_id', 'order_date', 'total_amount', 'created_at', 'updated_at']),
+         unnest([0, 0, 0, count(*) FILTER (order_id % 97 = 5), 0, 0]) FROM raw_orders
+  UNION ALL SELECT 'order_items', unnest(['order_item_id', 'order_id', 'product_id', 'quantity', 'price', 'created_at', 'updated_at']),
+         unnest([0, 0, 0, count(*) FILTER (order_item_id % 31 = 2), 0, 0, 0]) FROM raw_order_items)"""),
     "check_constraint": _sql([_RAW_ORDERS, _CLEAN_ORDERS], """SELECT * FROM clean_orders
   WHERE NOT coalesce(order_status IN ('O', 'F', 'P'), false)"""),
     "recent_runs": _sql([_RUN_LOG], """SELECT * FROM runs WHERE layer_name = 'GOLD'
@@ -289,9 +320,14 @@ ORACLE: dict[str, str] = {
     "recent_layout_runs": _sql([_RUN_LOG], """SELECT * FROM runs WHERE layer_name IN ('OPTIMIZE', 'VACUUM')
   ORDER BY run_start_ts DESC, run_id LIMIT 30"""),
     "as_of_version": _sql(_VERSIONED, _STATE_1),
-    "as_of_timestamp": _sql(_VERSIONED, _STATE_1),
+    "as_of_timestamp": _sql(_VERSIONED, f"SELECT {_O} FROM versions WHERE _version = 0"),
+    "current_state": _sql(_VERSIONED, f"""SELECT {_O} FROM (
+  SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY _version DESC) AS rn FROM versions)
+  WHERE rn = 1 AND _op <> 'DELETE'"""),
+    "version_increment": _sql(_VERSIONED, f"SELECT {_O} FROM versions WHERE _version = 2 AND _op <> 'DELETE'"),
+    "expire_snapshots": _sql(_VERSIONED, f"SELECT {_O}, _version, _commit_ts, _op FROM versions WHERE _version >= 1"),
     "version_history": _sql(_VERSIONED, """SELECT _version AS version, min(_commit_ts) AS commit_ts,
-  count(*) AS rows_written, CAST(0 AS BIGINT) AS rows_deleted FROM versions GROUP BY _version"""),
+  count(*) FILTER (_op = 'WRITE') AS rows_written, count(*) FILTER (_op = 'DELETE') AS rows_deleted FROM versions GROUP BY _version"""),
     "expire_versions": _sql([*_VERSIONED, f"state AS ({_STATE_1})"], f"""SELECT {_O}, CAST(1 AS INTEGER) AS _version,
   timestamp '2024-01-02' AS _commit_ts, 'WRITE' AS _op FROM state
   UNION ALL SELECT {_O}, _version, _commit_ts, _op FROM versions WHERE _version = 2"""),
