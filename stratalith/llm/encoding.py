@@ -1,29 +1,70 @@
 """Ids of texts by the tokenizers library, which is asked once for each distinct chunk of text.
 
 A chunk is a stretch that the tokenizer treats alike alone and in its text; the library gives the
-ids of every chunk, and the ids of a text are those of its chunks in order.
+ids of every chunk, and the ids of a text are those of its chunks in order. A chunk that is one word of
+letters is given to the library's model directly, as its first steps change nothing but the spelling.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os
 import re
-from collections.abc import Iterator
+import sys
+import unicodedata
+from array import array
+from collections.abc import Callable, Iterator
 
 import numpy as np
 
-# A tidy text has no two white-space characters in a row and none but blanks and line ends.
-_UNTIDY = re.compile(r"\s\s|[^\S \n]|\0")
+# Punctuation that ends many words and is a token of its own there.
+_ENDS = frozenset(".,;:!?")
 # A single blank between two other characters begins a new piece of a byte-level text.
 _BLANK = re.compile(r"(?<=\S) (?=\S)")
 # Characters of a text that are cut to chunks at a time.
 SPAN = 1 << 20
 
 
+def byte_symbols() -> list[str]:
+    """The character that stands for each byte: printable ones stand for themselves, the others follow from 256 on."""
+    plain = {*range(ord("!"), ord("~") + 1), *range(ord("\xa1"), ord("\xac") + 1), *range(ord("\xae"), 256)}
+    others = iter(range(256, 512))
+    return [chr(byte if byte in plain else next(others)) for byte in range(256)]
+
+
+_SPELLED = dict(enumerate(byte_symbols()))
+
+
+def byte_level_word(chunk: str) -> str | None:
+    """The spelling of a chunk that is one word of letters, after a blank or not."""
+    word = chunk[1:] if chunk[:1] == " " else chunk
+    if not word.isalpha():
+        return None
+    if not word.isascii():
+        word = word.encode().decode("latin-1").translate(_SPELLED)
+    return _SPELLED[32] + word if chunk[0] == " " else word
+
+
+def plain_word(chunk: str) -> str | None:
+    """The same for a tokenizer that composes and lower-cases, letter by letter, and drops blanks."""
+    if not chunk.isascii():
+        chunk = "".join([x.lower() for x in unicodedata.normalize("NFC", chunk)])
+    if not chunk.isalpha():
+        return None
+    return chunk.lower() if chunk.isascii() else chunk.encode().decode("latin-1").translate(_SPELLED)
+
+
+def tidy(text: str) -> bool:
+    """No two white-space characters in a row, and none but blanks and line ends."""
+    if "\0" in text or any(pair in text for pair in ("  ", " \n", "\n ", "\n\n")):
+        return False
+    return len(text.split()) == text.count(" ") + text.count("\n") + 1 - (text[:1] in (" ", "\n")) - (text[1:] != "" and text[-1] in " \n")
+
+
 def byte_level_chunks(text: str) -> list[str]:
     """A blank goes with the word that follows it."""
-    if _UNTIDY.search(text):
+    if not tidy(text):
         first, *rest = _BLANK.split(text)
         return [first, *(" " + x for x in rest)]
     return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
@@ -38,19 +79,20 @@ def whole(text: str) -> list[str]:
     return [text]
 
 
-def chunker_of(model: dict):
-    """How texts may be cut for a tokenizer, from its description; an unknown kind gets whole texts."""
+def chunker_of(model: dict) -> tuple[Callable[[str], list[str]], Callable[[str], str | None]]:
+    """How texts may be cut for a tokenizer and words be spelled for its model; an unknown kind gets whole texts."""
+    unknown = whole, lambda chunk: None
     normal, before = model.get("normalizer"), model.get("pre_tokenizer") or {}
     if any(re.search(r"\s", x["content"]) or x.get("lstrip") or x.get("rstrip") or x.get("single_word") for x in model.get("added_tokens", [])):
-        return whole
+        return unknown
     if before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space") and not normal:
-        return byte_level_chunks
+        return byte_level_chunks, byte_level_word
     steps = before.get("pretokenizers", [])
     kinds = {x["type"] for x in (normal or {}).get("normalizers", [])}
     if len(steps) == 2 and kinds <= {"NFC", "Replace", "Lowercase"} and steps[0].get("behavior") == "Removed" and steps[0].get("invert") and not steps[1].get("use_regex"):
         if r"[^\s\p{L}\p{N}]+" in steps[0]["pattern"].get("Regex", ""):
-            return word_chunks
-    return whole
+            return word_chunks, plain_word
+    return unknown
 
 
 def spans(text: str) -> Iterator[str]:
@@ -65,56 +107,70 @@ def spans(text: str) -> Iterator[str]:
     yield text[start:]
 
 
-class Encoder:
-    """``encode`` gives the ids of texts as little-endian unsigned numbers of ``dtype``."""
+class Encoder(dict):
+    """``encode`` gives the ids of texts as little-endian unsigned numbers of ``dtype``.
 
-    # Chunks whose ids are remembered; when it is full the memory starts anew.
-    LIMIT = 150_000
+    As a mapping it holds the packed ids of the chunks seen so far; a new chunk is looked up on access.
+    When it is full it starts anew, which changes no ids.
+    """
+
+    LIMIT = 600_000
 
     def __init__(self, description: str, dtype: str = "<u4"):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(description)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        self.chunks = chunker_of(json.loads(description))
-        self.dtype = dtype
-        self.known: dict[str, bytes] = {}
-
-    def _learn(self, chunks: set[str]) -> None:
-        if len(self.known) + len(chunks) > self.LIMIT:
-            self.known.clear()
-        new = [x for x in chunks if x not in self.known]
-        for chunk, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.known[chunk] = np.array(found.ids, self.dtype).tobytes()
+        self.chunks, self.spelled = chunker_of(json.loads(description))
+        # The model's own memory is small and soon full; looking into it only costs time.
+        self.model = self.tokenizer.model
+        self.model._resize_cache(0)
+        self.code = {2: "H", 4: "I"}[np.dtype(dtype).itemsize]
+        self.ends = {x: self._asked(x) for x in _ENDS}
+
+    def _packed(self, ids: list[int]) -> bytes:
+        packed = array(self.code, ids)
+        if sys.byteorder != "little":
+            packed.byteswap()
+        return packed.tobytes()
+
+    def _asked(self, text: str) -> bytes:
+        return self._packed(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids)
+
+    def _word(self, spelled: str) -> bytes:
+        return self._packed([x.id for x in self.model.tokenize(spelled)])
+
+    def __missing__(self, chunk: str) -> bytes:
+        if (spelled := self.spelled(chunk)) is not None:
+            ids = self._word(spelled)
+        elif chunk[-1:] in _ENDS and (spelled := self.spelled(chunk[:-1])) is not None:
+            ids = (self.get(chunk[:-1]) or self._word(spelled)) + self.ends[chunk[-1]]
+        else:
+            ids = self._asked(chunk)
+        if len(self) >= self.LIMIT:
+            self.clear()
+        self[chunk] = ids
+        return ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Memory follows the largest text, not their number: they are taken about SPAN characters at a time."""
-        out: list[bytes] = []
-        parts: list[list[list[str]]] = []
-        held = 0
-
-        def settle() -> None:
-            nonlocal held
-            self._learn({x for text in parts for span in text for x in span})
-            out.extend(b"".join(self.known[x] for span in text for x in span) for text in parts)
-            parts.clear()
-            held = 0
-
-        for text in texts:
-            if len(text) > SPAN and self.chunks is not whole:
-                settle()
-                pieces = []
-                for span in spans(text):
-                    cut = self.chunks(span)
-                    self._learn(set(cut))
-                    pieces.append(b"".join(map(self.known.__getitem__, cut)))
-                out.append(b"".join(pieces))
-                continue
-            parts.append([self.chunks(text)])
-            held += len(text)
-            if held > SPAN:
-                settle()
-        settle()
-        return out
+        """One after another; a long text is cut to chunks in stretches."""
+        ids = self.__getitem__
+        if self.chunks is whole:
+            return [self._asked(text) for text in texts]
+        return [b"".join([b"".join(map(ids, self.chunks(span))) for span in spans(text)]) for text in texts]
+
+
+_encoders: dict[tuple[str, str], Encoder] = {}
+
+
+def encoder_for(description: str, dtype: str = "<u4") -> Encoder:
+    """The encoder of this process: a worker that runs several tasks goes on with what it knows."""
+    key = (hashlib.sha256(description.encode()).hexdigest(), dtype)
+    if key not in _encoders:
+        # One at a time, as a memory is large.
+        _encoders.clear()
+        _encoders[key] = Encoder(description, dtype)
+    return _encoders[key]

@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from stratalith.llm.common import settled, ship_package
-from stratalith.llm.encoding import Encoder
+from stratalith.llm.encoding import encoder_for
 
 LENGTH = 2048
 OPEN = 32
@@ -126,7 +126,8 @@ def packed(docs: DataFrame, tokenizer: str, end_id: int, length: int = LENGTH, n
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, packer = None, Packer(TaskContext.get().partitionId(), 0, length, n_open)
         for batch in batches:
-            encoder = encoder or Encoder(sent.value)
+            if encoder is None:
+                encoder = encoder_for(sent.value)
             for k in range(0, batch.num_rows, WRITE_DOCS):
                 part = batch.slice(k, WRITE_DOCS)
                 for doc_id, ids in zip(part.column(0).to_pylist(), encoder.encode([x or "" for x in part.column(1).to_pylist()])):

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stratalith.llm.common import new_folder, ship_package, spread
 from stratalith.llm.elias_fano import EliasFano, encode
-from stratalith.llm.encoding import Encoder
+from stratalith.llm.encoding import encoder_for
 
 MAGIC = b"EFTOKENS"
 FOOTER = struct.Struct("<8sQQQqQQQ")  # magic, documents, documents without id, tokens, smallest id, width, bytes of boundaries, bytes of ids
@@ -125,7 +125,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, folder: str
         for batch in batches:
             for k in range(0, batch.num_rows, WRITE_DOCS):
                 if writer is None:
-                    encoder, writer = Encoder(sent.value, f"<u{width}"), ShardWriter(folder, f"shard-{shard:06d}", width)
+                    encoder, writer = encoder_for(sent.value, f"<u{width}"), ShardWriter(folder, f"shard-{shard:06d}", width)
                 part = batch.slice(k, WRITE_DOCS)
                 for doc_id, ids in zip(part.column(0).to_pylist(), encoder.encode([x or "" for x in part.column(1).to_pylist()])):
                     writer.add(doc_id, ids + end)
