@@ -28,6 +28,13 @@ def parse_timestamps(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.withColumns(parsed) if parsed else df
 
 
+def unreadable(raw: DataFrame, cols: Sequence[str]) -> Column:
+    """The text of every listed column that is no timestamp, as ``column=text``; NULL where all can be read."""
+    text = [c for c in cols if isinstance(raw.schema[c].dataType, T.StringType)]
+    lost = [F.when(F.try_to_timestamp(F.col(c)).isNull(), F.concat(F.lit(f"{c}="), F.col(c))) for c in text]
+    return F.nullif(F.concat_ws("; ", *lost), F.lit(""))
+
+
 def _ruled(df: DataFrame, spec: TableSpec | None) -> DataFrame:
     if spec is None:
         return df

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
@@ -10,15 +11,16 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from stratalith.functions.columns import mark_literal, mark_micros
 from stratalith.operators import versions
-from stratalith.operators.clean import clean, parse_timestamps, reject_reason, rejects
+from stratalith.operators.clean import cast_failures, clean, parse_timestamps, reject_reason, rejects, unreadable
 from stratalith.operators.dedup import latest_per_key
 from stratalith.operators.incremental import newer_than
+from stratalith.operators.joins import only_keys_of, spread_join
 from stratalith.plans import gold
-from stratalith.plans.enrich import CLOCKS, HotKeys, affected_orders, enrich_sales
+from stratalith.plans.enrich import CLOCKS, HotKeys, enrich_sales
 from stratalith.sources import control
-from stratalith.sources.csv_files import read_csv, with_source_file
+from stratalith.sources.csv_files import SOURCE_FILE, read_by_header
 from stratalith.sources.metadata import create_namespace, create_view
-from stratalith.sources.tables import Warehouse
+from stratalith.sources.tables import REJECT_COLUMNS, REJECTS, Warehouse
 from stratalith.spec import ENRICHED
 
 # Order in which the entities are loaded.
@@ -27,11 +29,15 @@ ENTITY_ORDER = ("customers", "products", "orders", "order_items")
 
 @dataclass(frozen=True)
 class Outcome:
-    """What a load did. ``mark`` is in microseconds; None leaves the stored mark alone."""
+    """What a load did. ``mark`` is in microseconds; None leaves the stored mark alone.
+
+    ``stored`` counts all rows that were written, rejected ones too; a load is visible if there are any.
+    """
 
     rows: int
     message: str
     mark: int | None = None
+    stored: int | None = None
 
 
 def _now() -> datetime:
@@ -107,7 +113,7 @@ def tracked(
             one = control.names(wh.spark, mark_name)
             wh.change_marks(lambda marks: control.mark_running(marks, one, F.current_timestamp()))
         done = body(run_id)
-        log("SUCCESS", done.rows, done.message)
+        log("SUCCESS", done.rows if done.stored is None else done.stored, done.message)
         if mark_name:
             moved = one.select(
                 "table_name",
@@ -129,48 +135,73 @@ def rows_written() -> Column:
     return F.count(F.lit(1)).alias("rows")
 
 
+BRONZE_COLUMNS = (*REJECT_COLUMNS, "unreadable", "ingestion_timestamp", "pipeline_run_id", "load", *versions.VERSION_COLUMNS)
+
+
 def load_bronze(wh: Warehouse, table: str) -> Outcome:
-    """Append the delivered rows above the mark; rows without a mark value are kept apart.
+    """Append the delivered rows above the mark; rows without a mark value are kept apart, each once.
 
     If the last load did not reach its SUCCESS mark, its rows may be there all the same. Then
-    the stored rows, not the mark, tell where to go on, so none is appended twice.
+    the stored rows, not the mark, tell where to go on, so none is appended twice. A row without a mark
+    value is new if no stored one is equal to it in all delivered columns. Timestamps that cannot be
+    read become NULL; their text stays in ``unreadable``.
     """
     spec, bronze = wh.layout.specs[table], wh.layout.bronze
-    unfinished = wh.status(table) in ("RUNNING", "FAILED") and wh.exists(bronze, f"{table}_raw")
 
     def body(run_id: str) -> Outcome:
+        name = f"{table}_raw"
+        there = wh.exists(bronze, name)
         mark_col = F.col(spec.watermark_col)
-        delivered = with_source_file(read_csv(wh.spark, spec.source_path, spec.csv_schema()))
-        parsed = parse_timestamps(delivered.withColumn("rejected_value", mark_col), spec.timestamp_cols)
+        delivered = read_by_header(wh.spark, spec.source_path, spec, BRONZE_COLUMNS)
+        content = [c for c in delivered.columns if c != SOURCE_FILE]
+        noted = delivered.withColumns({
+            "rejected_value": mark_col,
+            "unreadable": unreadable(delivered, spec.timestamp_cols),
+            "rejected_hash": F.xxhash64(*[F.coalesce(f"`{c}`", F.lit("\0")) for c in content]),
+        })
+        parsed = parse_timestamps(noted, spec.timestamp_cols)
         mark, reached = wh.mark(table), None
-        if unfinished:
-            stored = wh.current(bronze, f"{table}_raw")
+        if unfinished and there:
+            stored = wh.current(bronze, name)
             reached = stored.agg(F.max(mark_micros(spec.watermark_col))).first()[0]
             mark = mark_literal(reached) if reached is not None else mark
-        wanted = F.lit(True) if mark is None else mark_col.isNull() | (mark_col > mark)
+        unmarked = mark_col.isNull()
+        wanted = F.lit(True) if mark is None else unmarked | (mark_col > mark)
         batch = parsed.filter(wanted).withColumns({
-            "rejected": F.when(mark_col.isNull(), 1).otherwise(0),
-            "rejected_value": F.when(mark_col.isNull(), F.col("rejected_value")),
+            "rejected": F.when(unmarked, 1).otherwise(0),
+            "rejected_value": F.when(unmarked, F.col("rejected_value")),
+            "rejected_hash": F.when(unmarked, F.col("rejected_hash")),
             "ingestion_timestamp": F.current_timestamp(),
             "pipeline_run_id": F.lit(run_id),
         })
+        if there:
+            known = wh.rows(bronze, name).filter(F.col("rejected") == 1).select("rejected_hash").distinct()
+            batch = spread_join(batch, known, "rejected_hash", "left_anti")
         got = wh.write_load(
-            bronze, f"{table}_raw", batch, partition_by=["rejected"],
+            bronze, name, batch, partition_by=["rejected"],
             observe=[
                 F.count_if(F.col("rejected") == 0).alias("kept"),
                 F.count_if(F.col("rejected") == 1).alias("rejected"),
                 F.max(mark_micros(mark_col)).alias("mark"),
             ],
         )
+        told, stored = f"rows_rejected={got['rejected']}", got["kept"] + got["rejected"]
         if got["kept"] == 0:
-            return Outcome(0, f"nothing new; rows_rejected={got['rejected']}", reached)
-        return Outcome(got["kept"], f"rows_out={got['kept']} rows_rejected={got['rejected']}", got["mark"])
+            return Outcome(0, f"nothing new; {told}", reached, stored)
+        return Outcome(got["kept"], f"rows_out={got['kept']} {told}", got["mark"], stored)
 
+    # Asked before the run sets its own status.
+    unfinished = wh.status(table) in ("RUNNING", "FAILED")
     return tracked(wh, bronze, f"{table}_raw", body, mark_name=table)
 
 
 def load_silver(wh: Warehouse, table: str) -> Outcome:
-    """Clean the bronze rows above the mark and upsert the latest of each key."""
+    """Clean the bronze rows above the mark and upsert the latest of each key.
+
+    Rows without a usable key go to ``<table>_rejects`` as part of the same load: they become visible
+    with it, and a repeated load writes them again in the same place. Values that are none of their
+    column's type are counted by column in the run log.
+    """
     spec, bronze, silver = wh.layout.specs[table], wh.layout.bronze, wh.layout.silver
     mark_name = f"silver_{table}"
 
@@ -186,64 +217,93 @@ def load_silver(wh: Warehouse, table: str) -> Outcome:
         ).first()
         if size["rows"] == 0:
             return Outcome(0, "nothing new")
+        bad = rejects(batch, spec).withColumn("silver_run_id", F.lit(run_id))
         if size["rejected"]:
-            _keep_rejects(wh, table, rejects(batch, spec), run_id)
+            wh.write_load(silver, f"{table}{REJECTS}", bad, observe=[rows_written()])
         latest = latest_per_key(clean(batch, spec), spec.key, spec.order_by)
         latest = latest.withColumns({"silver_run_id": F.lit(run_id), "silver_load_ts": F.current_timestamp()})
         written = wh.write_load(silver, table, latest, observe=[rows_written()])["rows"]
         told = f"rows_in={size['rows']} rows_rejected={size['rejected']} rows_out={written}"
-        return Outcome(written, told, size["mark"])
+        lost = {r["column_name"]: r["failed"] for r in cast_failures(batch, spec).collect() if r["failed"] and r["column_name"] != spec.key}
+        told += f" unreadable={json.dumps(lost)}" if lost else ""
+        return Outcome(written, told, size["mark"], written + size["rejected"])
 
     return tracked(wh, silver, table, body, mark_name=mark_name)
 
 
-def _keep_rejects(wh: Warehouse, table: str, bad: DataFrame, run_id: str) -> None:
-    silver, name = wh.layout.silver, f"{table}_rejects"
+def _seen(wh: Warehouse) -> dict[str, int]:
+    """The last load of each input that the enrichment has taken in, as its last run told."""
+    told = wh.last_message(wh.layout.silver, ENRICHED) or ""
+    return json.loads(told.partition("seen=")[2] or "{}")
 
-    def body(_: str) -> Outcome:
-        kept = bad.withColumn("silver_run_id", F.lit(run_id))
-        return Outcome(wh.write_load(silver, name, kept, observe=[rows_written()])["rows"], "rejected rows kept")
 
-    tracked(wh, silver, name, body)
+def _touched_orders(wh: Warehouse, seen: dict[str, int], inputs: Sequence[str]) -> DataFrame:
+    """Ids of the orders that loads above ``seen`` touch, each once.
+
+    Changes are found by load number, not by their own time, so a late one is not missed. Only keys that
+    changed are looked at further; a row that moved touches the order it left as well.
+    """
+    rows = {t: wh.rows(wh.layout.silver, t) for t in ENTITY_ORDER}
+
+    def changed(table: str) -> DataFrame:
+        return versions.changed_keys(rows[table], wh.key(table), seen.get(table))
+
+    ids = changed("orders")
+    if "order_items" in inputs:
+        ids = ids.union(only_keys_of(rows["order_items"], changed("order_items"), "order_item_id").select("order_id"))
+    if "customers" in inputs:
+        ids = ids.union(only_keys_of(rows["orders"], changed("customers"), "customer_id").select("order_id"))
+    if "products" in inputs:
+        ids = ids.union(only_keys_of(rows["order_items"], changed("products"), "product_id").select("order_id"))
+    return ids.dropna().distinct()
 
 
 def load_enriched(wh: Warehouse, propagate: Sequence[str] = ()) -> Outcome:
     """Enrich the orders changed since the last time and upsert their items.
 
     ``propagate`` may name ``order_items``, ``customers`` and ``products``: then orders whose
-    items, customer or products changed are enriched again too.
+    items, customer or products changed are enriched again too. What is new is told by load
+    numbers, which the run log keeps for every input that was followed.
     """
     silver, mark_name = wh.layout.silver, f"silver_{ENRICHED}"
 
     def body(run_id: str) -> Outcome:
         if not all(wh.exists(silver, t) for t in ENTITY_ORDER):
             return Outcome(0, "not every entity is loaded yet")
-        mark = wh.mark(mark_name)
-        also = {t: wh.current(silver, t) for t in propagate}
-        if "products" in also:
-            also.setdefault("order_items", wh.current(silver, "order_items"))
-        picked = affected_orders(wh.current(silver, "orders"), mark, **also)
+        seen, inputs = _seen(wh), ["orders", *propagate]
+        upto = {t: wh.loads(silver, t) - 1 for t in inputs}
+        now = f"seen={json.dumps(seen | upto)}"
+        rows = {t: wh.rows(silver, t) for t in ENTITY_ORDER}
+        first = "orders" not in seen
+        if first:
+            picked = versions.keyed_state(rows["orders"], "order_id")
+        elif all(upto[t] == seen.get(t) for t in inputs):
+            return Outcome(0, f"no changed orders {now}")
+        else:
+            ids = wh.settled(_touched_orders(wh, seen, inputs), f"touched_orders/{run_id}")
+            picked = versions.state_of_keys(rows["orders"], "order_id", ids)
         changed = wh.settled(picked, f"changed_orders/{run_id}")
         top = changed.agg(
             F.count(F.lit(1)).alias("rows"),
             F.greatest(*[F.max(mark_micros(c)) for c in CLOCKS]).alias("mark"),
         ).first()
         if top["rows"] == 0:
-            return Outcome(0, "no changed orders")
-        item_rows = wh.rows(silver, "order_items")
-        if mark is None:
-            items = versions.keyed_state(item_rows, "order_item_id")
+            return Outcome(0, f"no changed orders {now}")
+        if first:
+            items = versions.keyed_state(rows["order_items"], "order_item_id")
+            customers, products = (wh.current(silver, t) for t in ("customers", "products"))
         else:
-            touched = versions.keyed_state_touching(item_rows, "order_item_id", changed, "order_id")
-            items = item_rows = wh.settled(touched, f"changed_items/{run_id}")
-        rows = enrich_sales(
-            items, changed, wh.current(silver, "customers"), wh.current(silver, "products"),
-            hot=HotKeys.of(changed, item_rows),
-        ).withColumns({"silver_run_id": F.lit(run_id), "silver_load_ts": F.current_timestamp()})
-        written = wh.write_load(silver, ENRICHED, rows, observe=[rows_written()])["rows"]
+            touched = versions.keyed_state_touching(rows["order_items"], "order_item_id", changed, "order_id")
+            items = wh.settled(touched, f"changed_items/{run_id}")
+            customers = versions.state_of_keys(rows["customers"], "customer_id", changed.select("customer_id").distinct())
+            products = versions.state_of_keys(rows["products"], "product_id", items.select("product_id").distinct())
+        made = enrich_sales(items, changed, customers, products, hot=HotKeys.of(changed, items))
+        made = made.withColumns({"silver_run_id": F.lit(run_id), "silver_load_ts": F.current_timestamp()})
+        written = wh.write_load(silver, ENRICHED, made, observe=[rows_written()])["rows"]
         # The mark follows the orders that were looked at, also when none of them has items.
         # It may lag the stored one when other tables brought older orders along.
-        return Outcome(written, f"changed_orders={top['rows']} rows_out={written}", _forward(wh, mark_name, top["mark"]))
+        told = f"changed_orders={top['rows']} rows_out={written} {now}"
+        return Outcome(written, told, _forward(wh, mark_name, top["mark"]))
 
     return tracked(wh, silver, ENRICHED, body, mark_name=mark_name)
 
@@ -290,4 +350,6 @@ def run_all(wh: Warehouse, propagate: Sequence[str] = ()) -> dict[str, Outcome]:
     done = {f"bronze.{t}": o for t, o in run_layer(load_bronze, wh).items()}
     done |= {f"silver.{t}": o for t, o in run_layer(load_silver, wh).items()}
     done[f"silver.{ENRICHED}"] = load_enriched(wh, propagate)
-    return done | {f"gold.{t}": o for t, o in build_gold(wh).items()}
+    done |= {f"gold.{t}": o for t, o in build_gold(wh).items()}
+    publish(wh)
+    return done

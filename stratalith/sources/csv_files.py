@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from stratalith.spec import TableSpec
+
+SOURCE_FILE = "source_file_name"
+
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Read CSV with a header. Types come from ``schema``; only without one are they inferred,
@@ -12,6 +18,26 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None)
     return (reader.schema(schema) if schema is not None else reader.option("inferSchema", True)).csv(path)
 
 
+def read_by_header(spark: SparkSession, path: str, spec: TableSpec, reserved: Sequence[str] = ()) -> DataFrame:
+    """A delivery as text, bound by the names in its header, with the file each row came from.
+
+    Columns the spec does not list are kept (renamed where their name is ``reserved``), listed ones that
+    are absent are NULL; without the key or the mark column the delivery is refused. Every file is
+    checked against the header of the first, so a file with another order fails instead of being misread.
+    """
+    found = with_source_file(spark.read.option("header", True).option("enforceSchema", False).csv(path))
+    lacking = [c for c in (spec.key, spec.watermark_col) if c not in found.columns]
+    if lacking:
+        raise ValueError(f"{path} has no column {', '.join(lacking)}")
+    given = [c for c in found.columns if c in spec.columns or c == SOURCE_FILE]
+    extra = [c for c in found.columns if c not in given]
+    return found.select(
+        *[F.col(c) if c in given else F.lit(None).cast("string").alias(c) for c in spec.columns],
+        *[F.col(f"`{c}`").alias(f"delivered_{c}" if c in reserved else c) for c in extra],
+        SOURCE_FILE,
+    )
+
+
 def with_source_file(df: DataFrame) -> DataFrame:
     """Add the file each row came from; must sit directly on a file scan."""
-    return df.withColumn("source_file_name", F.col("_metadata.file_path"))
+    return df.withColumn(SOURCE_FILE, F.col("_metadata.file_path"))

@@ -24,8 +24,11 @@ from stratalith.sources import control
 from stratalith.spec import ENRICHED, Layout
 
 MARK_SLOTS = 8
+# What a bronze row carries if it has no readable mark.
+REJECT_COLUMNS = ("rejected", "rejected_value", "rejected_hash")
 MARK_STATE = T.StructType([*control.WATERMARK.fields, T.StructField("change", T.LongType())])
 LAYOUT_LAYERS = ("OPTIMIZE", "VACUUM")
+REJECTS = "_rejects"
 
 
 class MissingTable(LookupError):
@@ -106,6 +109,10 @@ class Warehouse:
 
     def _committed(self, layer: str, table: str) -> tuple[int, int]:
         """How many loads, and how many rewrites, of a table succeeded and wrote something."""
+        owner = table.removesuffix(REJECTS)
+        if owner != table:
+            # Rejects are written and become visible with the load of their table.
+            return self._committed(layer, owner)[0], 0
         found = self._read_if_there(f"{self._log_path}/target={layer}.{table}", control.RUN_LOG)
         if found is None:
             return 0, 0
@@ -118,8 +125,26 @@ class Warehouse:
     def loads(self, layer: str, table: str) -> int:
         return self._committed(layer, table)[0]
 
+    def last_message(self, layer: str, table: str) -> str | None:
+        """What the last successful load of a table told."""
+        found = self._read_if_there(f"{self._log_path}/target={layer}.{table}", control.RUN_LOG)
+        if found is None:
+            return None
+        done = found.filter((F.col("run_status") == "SUCCESS") & ~F.col("layer_name").isin(*LAYOUT_LAYERS))
+        return done.agg(F.max_by("message", "run_end_ts")).first()[0]
+
+    def _files(self, layer: str, path: str) -> DataFrame | None:
+        """Deliveries may bring columns along that earlier ones did not have."""
+        try:
+            return self.spark.read.option("mergeSchema", layer != self.layout.gold).parquet(path)
+        except AnalysisException as e:
+            if e.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
+
     def exists(self, layer: str, table: str) -> bool:
-        return self.loads(layer, table) > 0
+        loads, generation = self._committed(layer, table)
+        return loads > 0 and (not table.endswith(REJECTS) or self._files(layer, self._base(layer, table, generation)) is not None)
 
     def _base(self, layer: str, table: str, generation: int) -> str:
         return f"{self.layout.root}/{layer}/{table}/gen={generation}"
@@ -167,7 +192,9 @@ class Warehouse:
         loads, generation = self._committed(layer, table)
         if loads == 0:
             raise MissingTable(f"{layer}.{table} has no committed load")
-        found = self.spark.read.parquet(self._base(layer, table, generation))
+        found = self._files(layer, self._base(layer, table, generation))
+        if found is None:
+            raise MissingTable(f"{layer}.{table} has no rows")
         return found.filter(F.col("load") < loads).drop("load")
 
     def key(self, table: str) -> str:
@@ -183,7 +210,7 @@ class Warehouse:
             return versions.snapshot_state(rows, version)
         appended = rows if version is None else rows.filter(F.col("_version") <= version)
         if "rejected" in appended.columns:
-            appended = appended.filter(F.col("rejected") == 0).drop("rejected", "rejected_value")
+            appended = appended.filter(F.col("rejected") == 0).drop(*REJECT_COLUMNS)
         return versions.unstamp(appended)
 
     def current(self, layer: str, table: str) -> DataFrame:
@@ -213,7 +240,7 @@ class Warehouse:
         if loads == 0:
             raise MissingTable(f"{layer}.{table} has no committed load")
         base = self._base(layer, table, generation)
-        hidden = {*versions.VERSION_COLUMNS, "load", "rejected", "rejected_value"}
+        hidden = {*versions.VERSION_COLUMNS, "load", *REJECT_COLUMNS}
         cols = ", ".join(f"`{c}`" for c in self.spark.read.parquet(base).columns if c not in hidden)
         files, seen = f"parquet.`{base}`", f"load < {loads}"
         if self.is_keyed(layer, table):

@@ -5,8 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import types as T
-
 
 @dataclass(frozen=True)
 class TableSpec:
@@ -33,10 +31,6 @@ class TableSpec:
     def order_by(self) -> tuple[str, ...]:
         return self.recency + self.tie_breakers
 
-    def csv_schema(self) -> T.StructType:
-        """Everything arrives as text; cleaning decides the types and keeps what fails."""
-        return T.StructType([T.StructField(c, T.StringType()) for c in self.columns])
-
 
 CUSTOMERS = TableSpec(
     name="customers",
