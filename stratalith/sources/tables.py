@@ -23,7 +23,6 @@ from stratalith.operators.layout import by_partition
 from stratalith.sources import control
 from stratalith.spec import ENRICHED, Layout
 
-MARK_SLOTS = 8
 # What a bronze row carries if it has no readable mark.
 REJECT_COLUMNS = ("rejected", "rejected_value", "rejected_hash")
 MARK_STATE = T.StructType([*control.WATERMARK.fields, T.StructField("change", T.LongType())])
@@ -71,28 +70,25 @@ class Warehouse:
         found = self._read_if_there(self._mark_path, MARK_STATE)
         return None if found is None else found.agg(F.max("change")).first()[0]
 
-    def _mark_slot(self, change: int) -> str:
-        return f"{self._mark_path}/slot={change % MARK_SLOTS}"
-
-    def _marks_at(self, change: int | None) -> DataFrame:
-        if change is None:
-            return control.empty(self.spark, control.WATERMARK)
-        return self.spark.read.schema(control.WATERMARK).parquet(self._mark_slot(change))
-
     def marks(self) -> DataFrame:
-        """The control table of stored marks, as last written."""
-        return self._marks_at(self._last_change())
+        """The control table of stored marks: the last state of each."""
+        found = self._read_if_there(self._mark_path, MARK_STATE)
+        if found is None:
+            return control.empty(self.spark, control.WATERMARK)
+        names = control.WATERMARK.fieldNames()
+        last = found.groupBy("table_name").agg(F.max_by(F.struct(*names), "change").alias("last")).select("last.*")
+        return last.select(*[F.col(f.name).alias(f.name, metadata=f.metadata) for f in control.WATERMARK.fields])
 
     def change_marks(self, change: Callable[[DataFrame], DataFrame]) -> None:
-        """Replace the control table by ``change`` of it.
+        """Add the rows that ``change`` of the control table makes different, in a directory of their own.
 
-        The new state goes to the next directory of a small ring, so the state it was made
-        from stays whole until the new one is complete.
+        Nothing is overwritten, and loads of different tables write different rows, so they may run at the
+        same time without losing each other's marks.
         """
-        last = self._last_change()
-        number = 0 if last is None else last + 1
-        state = control.checked(change(self._marks_at(last))).withColumn("change", F.lit(number).cast("long"))
-        state.coalesce(1).write.mode("overwrite").parquet(self._mark_slot(number))
+        last, before = self._last_change(), self.marks()
+        state = control.checked(change(before)).select(*control.WATERMARK.fieldNames()).exceptAll(before)
+        state = state.withColumn("change", F.lit(0 if last is None else last + 1).cast("long"))
+        state.coalesce(1).write.mode("errorifexists").parquet(f"{self._mark_path}/part={control.new_run_id()}")
 
     def mark(self, name: str) -> Column | None:
         """The stored mark as a literal; None while nothing was loaded."""
@@ -258,9 +254,12 @@ class Warehouse:
             return f"SELECT {', '.join(schema.fieldNames())} FROM parquet.`{path}`"
 
         texts = {"pipeline_run_log": text(control.RUN_LOG, self._log_path)}
-        last = self._last_change()
-        if last is not None:
-            texts["pipeline_watermark"] = text(control.WATERMARK, self._mark_slot(last))
+        if self._last_change() is not None:
+            cols = ", ".join(control.WATERMARK.fieldNames())
+            texts["pipeline_watermark"] = (
+                f"SELECT {cols} FROM (SELECT *, row_number() OVER (PARTITION BY table_name ORDER BY change DESC) AS _rank "
+                f"FROM parquet.`{self._mark_path}`) WHERE _rank = 1"
+            )
         return texts
 
     def settled(self, df: DataFrame, name: str) -> DataFrame:

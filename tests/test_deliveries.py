@@ -10,6 +10,7 @@ from conftest import rows_of
 from pyspark.sql import functions as F
 
 from stratalith.plans import loads
+from stratalith.sources import control
 from stratalith.plans.enrich import enrich_sales
 from stratalith.sources.tables import Warehouse
 from stratalith.spec import ENTITIES, Layout
@@ -124,3 +125,21 @@ def test_changes_that_arrive_late_are_propagated(spark, tmp_path):
     assert run().message.startswith("no changed orders")
     plan = kept.filter(F.lit(True))._jdf.queryExecution().executedPlan().toString()
     assert "load" in plan
+
+
+def test_loads_of_two_tables_keep_both_marks(spark, tmp_path):
+    wh = open_warehouse(spark, tmp_path)
+    published = wh.control_view_texts()["pipeline_watermark"]
+
+    def start(name, during=None):
+        def change(marks):
+            if during:
+                during()
+            return control.mark_running(marks, control.names(spark, name), F.current_timestamp())
+        wh.change_marks(change)
+
+    start("orders", during=lambda: start("customers"))
+    assert wh.status("orders") == wh.status("customers") == "RUNNING" and wh.status("products") == "INIT"
+    assert wh.marks().count() == 4
+    # A view made before sees what is true now.
+    assert rows_of(spark.sql(published).select("table_name", "status")) == rows_of(wh.marks().select("table_name", "status"))
