@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from typing import Any
 
@@ -48,6 +49,15 @@ def with_buckets(df: DataFrame, cuts: dict[str, Sequence[Any]], bits: int = BITS
     return df, list(names.values())
 
 
+def files_needed(df: DataFrame) -> int:
+    """How many files of the session's advisory partition size the rows fill, by the optimizer's estimate of their bytes."""
+    target = df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        df.sparkSession.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    )
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(1, math.ceil(size / target))
+
+
 def z_address(buckets: Sequence[Column], bits: int = BITS) -> Column:
     """Interleave the bits of the buckets, most significant first (Morton order)."""
     width = len(buckets)
@@ -64,26 +74,32 @@ def cluster_by(
     cols: Sequence[str],
     *,
     within: Sequence[str] = (),
-    bits: int = BITS,
+    bits: int | None = None,
     cuts: dict[str, list[Any]] | None = None,
+    files: int | None = None,
 ) -> DataFrame:
     """The same rows, range-partitioned and sorted along a Z-curve over ``cols``.
 
+    There are as many partitions as ``files``, by default what the bytes of the table fill, and so many
+    cut points per column that the curve has several cells for each.
+
     ``within`` columns come first, for tables stored in partitions. The raw columns refine
     the order inside a Z-cell and the task number splits rows that agree on everything, so
     a value that holds a third of the table is spread over many files. The task number is
     the same when a lost task is run again, unlike a random or running number.
     """
+    files = files_needed(df) if files is None else files
+    bits = max(BITS, math.ceil(math.log2(files) / len(cols)) + 2) if bits is None else bits
     if len(cols) == 1:
         keyed, curve = df, []
     else:
-        cuts = cuts or cut_points(df, cols, bits)
+        cuts = cuts or cut_points(df, cols, bits, max(SAMPLE_ROWS, 64 << bits))
         searched, buckets = with_buckets(df, {c: cuts[c] for c in cols}, bits)
         keyed = searched.withColumn("_z", z_address([F.col(n) for n in buckets], bits)).drop(*buckets)
         curve = ["_z"]
     keyed = keyed.withColumn("_task", F.spark_partition_id())
     order = [*within, *curve, *cols]
-    return keyed.repartitionByRange(*order, "_task").sortWithinPartitions(*order).drop("_z", "_task")
+    return keyed.repartitionByRange(files, *order, "_task").sortWithinPartitions(*order).drop("_z", "_task")
 
 
 def by_partition(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -305,7 +305,13 @@ def load_enriched(wh: Warehouse, propagate: Sequence[str] = ()) -> Outcome:
         told = f"changed_orders={top['rows']} rows_out={written} {now}"
         return Outcome(written, told, _forward(wh, mark_name, top["mark"]))
 
-    return tracked(wh, silver, ENRICHED, body, mark_name=mark_name)
+    def cleared(run_id: str) -> Outcome:
+        try:
+            return body(run_id)
+        finally:
+            wh.discard(*(f"{name}/{run_id}" for name in ("touched_orders", "changed_orders", "changed_items")))
+
+    return tracked(wh, silver, ENRICHED, cleared, mark_name=mark_name)
 
 
 def _forward(wh: Warehouse, mark_name: str, new: int | None) -> int | None:

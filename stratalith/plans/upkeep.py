@@ -78,7 +78,7 @@ def vacuum(
 ) -> dict[str, Outcome | Exception]:
     """Drop rows that were superseded longer ago than the retention time.
 
-    A table with fewer than two versions that old has nothing to drop and is not
+    What a rewrite replaced is deleted once the rewrite is committed. A table with fewer than two versions that old has nothing to drop and is not
     rewritten; bronze rows are never superseded.
     """
     targets = list(CLUSTERING) if targets is None else targets
@@ -97,4 +97,10 @@ def vacuum(
 
         return Outcome(wh.rewrite(layer, table, kept, _partitions(wh, layer, table)), f"retain {hours} hours: rewritten")
 
-    return _each(wh, "VACUUM", targets, on_error, body)
+    done = _each(wh, "VACUUM", targets, on_error, body)
+    for layer, table in targets:
+        told = done.get(f"{layer}.{table}")
+        if isinstance(told, Outcome) and told.rows:
+            # Only now is the rewrite committed, and what it replaced can go.
+            wh.drop_old_generations(layer, table)
+    return done

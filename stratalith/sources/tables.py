@@ -262,13 +262,32 @@ class Warehouse:
             )
         return texts
 
+    def _delete(self, path: str) -> None:
+        """Remove a directory of this store, wherever it is kept."""
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        there = jvm.org.apache.hadoop.fs.Path(path)
+        there.getFileSystem(conf).delete(there, True)
+
+    def drop_old_generations(self, layer: str, table: str) -> None:
+        """Free what committed rewrites have replaced; views that name the old files are to be published again."""
+        for generation in range(self._committed(layer, table)[1]):
+            self._delete(self._base(layer, table, generation))
+
+    def _settled_path(self, name: str) -> str:
+        shared = self.spark.conf.get("spark.checkpoint.dir", None) or f"{self.layout.root}/{self.layout.control}/settled"
+        return f"{shared.rstrip('/')}/{name}"
+
+    def discard(self, *names: str) -> None:
+        """Remove settled results that no one reads any more."""
+        for name in names:
+            self._delete(self._settled_path(name))
+
     def settled(self, df: DataFrame, name: str) -> DataFrame:
         """Write an intermediate result that several jobs read, and read it back.
 
         It goes to the shared folder of ``spark.checkpoint.dir``, or below the root where
         the session names none, so a lost executor costs no recomputation.
         """
-        shared = self.spark.conf.get("spark.checkpoint.dir", None) or f"{self.layout.root}/{self.layout.control}/settled"
-        path = f"{shared.rstrip('/')}/{name}"
+        path = self._settled_path(name)
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)

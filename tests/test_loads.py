@@ -70,6 +70,10 @@ def open_warehouse(spark, folder) -> Warehouse:
     return Warehouse(spark, Layout(root=str(folder / "store"), specs=specs))
 
 
+def bytes_in(folder) -> int:
+    return sum(p.stat().st_size for p in folder.rglob("*") if p.is_file())
+
+
 def mark_of(wh, name):
     row = wh.marks().filter(F.col("table_name") == name).first()
     return None if row is None else (row["last_run_ts"].isoformat(sep=" "), row["status"])
@@ -248,10 +252,13 @@ def test_upkeep_keeps_the_rows(story, spark, tmp_path):
 
     # Nothing is old yet; later both old versions are, and one base version is left.
     assert upkeep.vacuum(wh, tables)["silver.orders"].rows == 0
+    size = bytes_in(tmp_path / "store/silver/orders")
     later = F.current_timestamp() + F.expr("INTERVAL 200 HOURS")
     current = rows_of(wh.current("silver", "orders"))
     done = upkeep.vacuum(wh, tables, now=later)
     assert done["silver.orders"].rows == 4 and done["bronze.customers_raw"].rows == 0
+    assert bytes_in(tmp_path / "store/silver/orders") < size and bytes_in(tmp_path / "store/gold/fact_sales") > 0
+    assert bytes_in(tmp_path / "store/control/settled") == 0
     assert rows_of(wh.current("silver", "orders")) == current
     assert [r["version"] for r in wh.history("silver", "orders").collect()] == [1]
     with pytest.raises(Exception, match="version 0 is not kept"):

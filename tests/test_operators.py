@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import math
+
 from datetime import datetime
 
 import pytest
@@ -300,14 +302,11 @@ def test_buckets_count_cut_points(spark):
 def test_cluster_by_keeps_rows_and_narrows_files(spark, tmp_path):
     df = spark.range(20000).selectExpr("id", "pmod(hash(id), 1000) a", "pmod(hash(id, 1), 1000) b", "'s' || id % 7 s")
     out = str(tmp_path / "z")
-    clustered = layout.cluster_by(df, ["a", "b"], cuts=layout.cut_points(df, ["a", "b"]))
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    clustered = layout.cluster_by(df, ["a", "b"], files=16, cuts=layout.cut_points(df, ["a", "b"]))
     clustered.write.parquet(out)
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    spark.conf.set("spark.sql.shuffle.partitions", "4")
     back = spark.read.parquet(out)
-    assert rows_of(back) == rows_of(df)
+    assert rows_of(back) == rows_of(df) and len(back.inputFiles()) == 16
+    assert layout.files_needed(back) == 1 and layout.files_needed(spark.range(10**9)) == math.ceil(8 * 10**9 / (128 << 20))
     for c in ("a", "b"):
         width = back.groupBy(F.input_file_name()).agg((F.max(c) - F.min(c)).alias("w")).agg(F.avg("w")).first()[0]
         assert width < 500, (c, width)
@@ -319,7 +318,7 @@ def test_cluster_by_spreads_a_value_that_fills_the_table(spark):
     df = spark.range(16000).repartition(8).selectExpr("1 a", "'x' b", "1L id")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        sizes = layout.cluster_by(df, ["a", "b"]).groupBy(F.spark_partition_id()).count().collect()
+        sizes = layout.cluster_by(df, ["a", "b"], files=8).groupBy(F.spark_partition_id()).count().collect()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert len(sizes) > 1 and sum(r[1] for r in sizes) == 16000
