@@ -8,6 +8,7 @@ words and of stretches between blanks are remembered in bounded memories.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import unicodedata
 from collections.abc import Iterator
@@ -18,6 +19,7 @@ import regex
 from pyspark.sql import DataFrame, functions as F
 
 from stratalith.llm.common import ship_package
+from stratalith.llm.encoding import byte_symbols
 
 # White space in the sense of the tokenizer's pattern.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -25,19 +27,6 @@ SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^" + SPACE + r"\p{L}\p{N}]+"
 
 
-def byte_symbols() -> list[str]:
-    """The character that stands for each byte: printable ones stand for themselves, the others follow from 256 on."""
-    plain = [*range(ord("!"), ord("~") + 1), *range(ord("\xa1"), ord("\xac") + 1), *range(ord("\xae"), 256)]
-    table, extra = [""] * 256, 256
-    for byte in range(256):
-        if byte in plain:
-            table[byte] = chr(byte)
-        else:
-            table[byte] = chr(extra)
-            extra += 1
-    return table
-
-
 class _Memory(dict):
     """A bounded memory of a function; when it is full it starts anew."""
 
@@ -53,8 +42,13 @@ class _Memory(dict):
         return value
 
 
+# Bits of a symbol's number, and of a place in a word; rank, symbol and place share one number in the heap.
+_SYMBOL_BITS, _PLACE_BITS = 20, 40
+_SYMBOL, _PLACE = (1 << _SYMBOL_BITS) - 1, (1 << _PLACE_BITS) - 1
+
+
 class TokenCounter:
-    def __init__(self, description: str, limit: int = 150_000):
+    def __init__(self, description: str, limit: int = 400_000):
         model = json.loads(description)
         bpe = model["model"]
         if bpe["type"] != "BPE" or bpe.get("dropout") or bpe.get("ignore_merges") or bpe.get("continuing_subword_prefix"):
@@ -62,13 +56,16 @@ class TokenCounter:
         steps = (model.get("pre_tokenizer") or {}).get("pretokenizers", [])
         if [x["type"] for x in (model.get("normalizer") or {}).get("normalizers", [])] != ["NFC", "Replace", "Lowercase"] or [x["type"] for x in steps] != ["Split", "ByteLevel"]:
             raise ValueError("this tokenizer cuts texts in another way")
-        self.suffix = bpe.get("end_of_word_suffix") or ""
-        pairs = (x.split(" ") if isinstance(x, str) else x for x in bpe["merges"])
-        self.ranks = {(a, b): rank for rank, (a, b) in enumerate(pairs)}
-        self.symbols = byte_symbols()
-        missing = [x for x in self.symbols if x not in bpe["vocab"] or x + self.suffix not in bpe["vocab"]]
-        if missing:
+        vocabulary, suffix = bpe["vocab"], bpe.get("end_of_word_suffix") or ""
+        spelled = byte_symbols()
+        if missing := [x for x in spelled if x not in vocabulary or x + suffix not in vocabulary]:
             raise ValueError(f"symbols without an entry: {missing[:5]}")
+        self.inner, self.last = [vocabulary[x] for x in spelled], [vocabulary[x + suffix] for x in spelled]
+        # A pair of symbols to its rank and the symbol that it becomes, in one number.
+        self.pairs = {}
+        for rank, pair in enumerate(bpe["merges"]):
+            a, b = pair.split(" ") if isinstance(pair, str) else pair
+            self.pairs[(vocabulary[a] << _SYMBOL_BITS) | vocabulary[b]] = (rank << _SYMBOL_BITS) | vocabulary[a + b]
         special = [x["content"] for x in model.get("added_tokens", [])]
         self.special = regex.compile("(" + "|".join(map(regex.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
         self.starts = {x[0] for x in special}
@@ -77,42 +74,57 @@ class TokenCounter:
         self.of_chunk = _Memory(self.count_chunk, limit)
 
     def count_word(self, word: str) -> int:
-        parts = [self.symbols[x] for x in word.encode()]
-        parts[-1] += self.suffix
-        n = len(parts)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        ranks = self.ranks
-        heap = [(rank, k) for k in range(n - 1) if (rank := ranks.get((parts[k], parts[k + 1]))) is not None]
+        data = word.encode()
+        n = len(data)
+        if n == 1:
+            return 1
+        inner, known = self.inner, self.pairs.get
+        parts = [inner[x] for x in data]
+        parts[-1] = self.last[data[-1]]
+        # What the pair that begins at each place would become; -1 where it has no merge or is gone.
+        pair = [known((a << _SYMBOL_BITS) | b, -1) for a, b in zip(parts, parts[1:])]
+        heap = [(p << _PLACE_BITS) | k for k, p in enumerate(pair) if p >= 0]
         heapify(heap)
-        merges = 0
+        pair.append(-1)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        count = n
         while heap:
-            rank, k = heappop(heap)
-            left = parts[k]
-            follow = after[k]
-            if left is None or follow >= n or ranks.get((left, parts[follow])) != rank:
+            lowest = heappop(heap)
+            k = lowest & _PLACE
+            if pair[k] != lowest >> _PLACE_BITS:
                 continue
-            parts[k] = left + parts[follow]
-            parts[follow] = None
-            merges += 1
-            after[k] = beyond = after[follow]
-            if beyond < n:
-                before[beyond] = k
-                rank = ranks.get((parts[k], parts[beyond]))
-                if rank is not None:
-                    heappush(heap, (rank, k))
+            parts[k] = merged = pair[k] & _SYMBOL
+            count -= 1
+            gone = after[k]
+            pair[gone] = pair[k] = -1
+            after[k] = follow = after[gone]
+            if follow < n:
+                before[follow] = k
+                pair[k] = p = known((merged << _SYMBOL_BITS) | parts[follow], -1)
+                if p >= 0:
+                    heappush(heap, (p << _PLACE_BITS) | k)
             previous = before[k]
             if previous >= 0:
-                rank = ranks.get((parts[previous], parts[k]))
-                if rank is not None:
-                    heappush(heap, (rank, previous))
-        return n - merges
+                pair[previous] = p = known((parts[previous] << _SYMBOL_BITS) | merged, -1)
+                if p >= 0:
+                    heappush(heap, (p << _PLACE_BITS) | previous)
+        return count
 
     def count_plain(self, text: str) -> int:
         if text.isascii():
             text = text.lower()
+            if text.isalpha():
+                return self.of_word[text]
+            if text[:-1].isalpha() and not text[-1].isalnum():
+                return self.of_word[text[:-1]] + self.count_rest(text[-1])
         else:
             # Letter by letter: the tokenizer knows no final sigma.
             text = "".join([x.lower() for x in unicodedata.normalize("NFC", text)])
+            if text.isalpha():
+                return self.of_word[text]
+        return self.count_rest(text)
+
+    def count_rest(self, text: str) -> int:
         return sum(map(self.of_word.__getitem__, self.words.findall(text)))
 
     def count_chunk(self, chunk: str) -> int:
@@ -132,6 +144,18 @@ class TokenCounter:
         return total + sum(map(self.of_chunk.__getitem__, text[start:].replace("\n", " ").split(" ")))
 
 
+_counters: dict[str, TokenCounter] = {}
+
+
+def counter_for(description: str) -> TokenCounter:
+    """The counter of this process: a worker that runs several tasks goes on with what it knows."""
+    key = hashlib.sha256(description.encode()).hexdigest()
+    if key not in _counters:
+        _counters.clear()
+        _counters[key] = TokenCounter(description)
+    return _counters[key]
+
+
 def token_counts(docs: DataFrame, tokenizer: str, limit: int = 2048, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_bytes, n_tokens, over_limit`` for every row of ``docs``.
 
@@ -149,7 +173,7 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = 2048, id_col: str
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = None
         for batch in batches:
-            counter = counter or TokenCounter(sent.value)
+            counter = counter or counter_for(sent.value)
             sizes, counts = [], []
             for text in batch.column(1):
                 text = text.as_py() or ""
