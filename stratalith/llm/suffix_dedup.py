@@ -281,6 +281,7 @@ def _stretches_to_compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
     """``gram, splits, ord, d64, start, count, body`` of stretches with a repeated gram.
 
     Of equal stretches of one buffer only the earliest carries its bytes; the others are repeats already.
+    Those that touch each other become one row, which any shard can pass on.
     """
     for batch in batches:
         ords, keys = batch.column("ord").to_pylist(), batch.column("d64").to_pylist()
@@ -306,6 +307,7 @@ def _stretches_to_compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
                     elif row[2:5] > rows[seen][2:5]:
                         row[6] = None
                 rows.append(row)
+            rows = [r for r in rows if r[6] is not None] + _joined_repeats([r for r in rows if r[6] is None])
             for k in range(0, len(rows), 10_000):
                 part = list(zip(*rows[k : k + 10_000]))
                 yield pa.RecordBatch.from_arrays(
@@ -314,6 +316,20 @@ def _stretches_to_compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
                 )
 
 
+def _joined_repeats(rows: list[list]) -> list[list]:
+    out: list[list] = []
+    end = 0
+    for _, _, order, key, start, count, _ in sorted(rows, key=lambda r: r[2:5]):
+        if out and out[-1][2:4] == [order, key] and start <= end:
+            end = max(end, start + count + WINDOW - 1)
+            out[-1][5] = end - out[-1][4] - WINDOW + 1
+        else:
+            end = start + count + WINDOW - 1
+            # No gram decides where it goes: repeats of a frequent one must not meet.
+            out.append([hash((order, key, start)), 1, order, key, start, count, None])
+    return out
+
+
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """What is left of each text without its marked bytes."""
     for batch in batches:
