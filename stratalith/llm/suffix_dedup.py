@@ -65,8 +65,8 @@ def stretches(data: np.ndarray, ends: np.ndarray | None = None) -> tuple[np.ndar
     return first, count, grams[at[first]]
 
 
-def batches_of_texts(texts: list[bytes]) -> Iterator[tuple[np.ndarray, list[tuple[int, int]], np.ndarray | None]]:
-    """Buffers of about SPAN bytes: the bytes, ``(index of text, place in it)`` by start in the buffer, and text ends."""
+def batches_of_texts(texts: list[bytes], span: int) -> Iterator[tuple[np.ndarray, list[tuple[int, int]], np.ndarray | None]]:
+    """Buffers of about ``span`` bytes: the bytes, ``(index of text, place in it)`` by start in the buffer, and text ends."""
     held: list[int] = []
     size = 0
 
@@ -78,12 +78,12 @@ def batches_of_texts(texts: list[bytes]) -> Iterator[tuple[np.ndarray, list[tupl
     for k, text in enumerate(texts):
         if len(text) < WINDOW:
             continue
-        if len(text) > SPAN:
-            for start in range(0, len(text) - WINDOW + 1, SPAN):
-                data = np.frombuffer(text, np.uint8)[start : start + SPAN + WINDOW - 1]
+        if len(text) > span:
+            for start in range(0, len(text) - WINDOW + 1, span):
+                data = np.frombuffer(text, np.uint8)[start : start + span + WINDOW - 1]
                 yield data, [k], np.array([0, len(data)]), start
             continue
-        if held and size + len(text) > SPAN:
+        if held and size + len(text) > span:
             yield (*joined(), 0)
             held, size = [], 0
         held.append(k)
@@ -92,9 +92,9 @@ def batches_of_texts(texts: list[bytes]) -> Iterator[tuple[np.ndarray, list[tupl
         yield (*joined(), 0)
 
 
-def found_stretches(texts: list[bytes]) -> Iterator[tuple[np.ndarray, list[int], np.ndarray, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+def found_stretches(texts: list[bytes], span: int) -> Iterator[tuple[np.ndarray, list[int], np.ndarray, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """For each buffer: bytes, texts, their bounds, place of the first, and the stretches with the number of their text."""
-    for data, held, bounds, start in batches_of_texts(texts):
+    for data, held, bounds, start in batches_of_texts(texts, span):
         ends = np.repeat(bounds[1:], np.diff(bounds))
         first, count, gram = stretches(data, ends)
         yield data, held, bounds, start, first, count, gram, np.searchsorted(bounds, first, side="right") - 1
@@ -261,60 +261,67 @@ def _bytes_of(column: pa.Array) -> list[bytes]:
     return column.cast(pa.binary()).to_pylist()
 
 
-def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``gram, d64, twice`` for every distinct gram of each text."""
-    for batch in batches:
-        keys = batch.column(1).to_numpy()
-        for _, held, _, _, _, _, gram, text in found_stretches(_bytes_of(batch.column(0))):
-            order = np.lexsort((text, gram))
-            gram, text = gram[order], text[order]
-            fresh = np.ones(len(gram), bool)
-            fresh[1:] = (gram[1:] != gram[:-1]) | (text[1:] != text[:-1])
-            at = np.flatnonzero(fresh)
-            twice = np.diff(np.append(at, len(gram))) > 1
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(gram[at].view(np.int64)), pa.array(keys[np.array(held, np.int64)[text[at]]]), pa.array(twice)], ["gram", "d64", "twice"]
-            )
-
-
-def _stretches_to_compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``gram, splits, ord, d64, start, count, body`` of stretches with a repeated gram.
-
-    Of equal stretches of one buffer only the earliest carries its bytes; the others are repeats already.
-    Those that touch each other become one row, which any shard can pass on.
-    """
-    for batch in batches:
-        ords, keys = batch.column("ord").to_pylist(), batch.column("d64").to_pylist()
-        listed = batch.column("grams")
-        for data, held, bounds, start, first, count, gram, text in found_stretches(_bytes_of(batch.column("text"))):
-            some = pa.concat_arrays([listed[k].values for k in held if listed[k].values is not None])
-            known, index = np.unique(some.field("gram").to_numpy().view(U64), return_index=True)
-            splits = some.field("splits").to_numpy()[index]
-            place = np.minimum(np.searchsorted(known, gram), len(known) - 1)
-            hit = np.flatnonzero(known[place] == gram)
-            raw = data.tobytes()
-            rows: list[list] = []
-            earliest: dict[bytes, int] = {}
-            for f, c, g, s, t in zip(first[hit].tolist(), count[hit].tolist(), gram[hit].view(np.int64).tolist(), splits[place[hit]].tolist(), text[hit].tolist()):
-                body = raw[f : f + c + WINDOW - 1]
-                k = held[t]
-                row = [g, s, ords[k], keys[k], f - int(bounds[t]) + start, c, body]
-                seen = earliest.setdefault(body, len(rows))
-                if seen != len(rows):
-                    if row[2:5] < rows[seen][2:5]:
-                        rows[seen][6] = None
-                        earliest[body] = len(rows)
-                    elif row[2:5] > rows[seen][2:5]:
-                        row[6] = None
-                rows.append(row)
-            rows = [r for r in rows if r[6] is not None] + _joined_repeats([r for r in rows if r[6] is None])
-            for k in range(0, len(rows), 10_000):
-                part = list(zip(*rows[k : k + 10_000]))
+def _grams(span: int):
+    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """``gram, d64, buffer, twice`` for every distinct gram of each text, or of each buffer of a text that is cut; ``buffer`` is where that starts."""
+        for batch in batches:
+            keys = batch.column(1).to_numpy()
+            for _, held, _, start, _, _, gram, text in found_stretches(_bytes_of(batch.column(0)), span):
+                order = np.lexsort((text, gram))
+                gram, text = gram[order], text[order]
+                fresh = np.ones(len(gram), bool)
+                fresh[1:] = (gram[1:] != gram[:-1]) | (text[1:] != text[:-1])
+                at = np.flatnonzero(fresh)
+                twice = np.diff(np.append(at, len(gram))) > 1
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(x, t) for x, t in zip(part, [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()])],
-                    ["gram", "splits", "ord", "d64", "start", "count", "body"],
+                    [pa.array(gram[at].view(np.int64)), pa.array(keys[np.array(held, np.int64)[text[at]]]), pa.array(np.full(len(at), start, np.int64)), pa.array(twice)],
+                    ["gram", "d64", "buffer", "twice"],
                 )
 
+    return grams
+
+
+def _stretches_to_compare(span: int):
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """``gram, splits, ord, d64, start, count, body`` of stretches with a repeated gram.
+
+        Of equal stretches of one buffer only the earliest carries its bytes; the others are repeats already.
+        Those that touch each other become one row, which any shard can pass on.
+        """
+        for batch in batches:
+            ords, keys = batch.column("ord").to_pylist(), batch.column("d64").to_pylist()
+            listed = batch.column("grams")
+            for data, held, bounds, start, first, count, gram, text in found_stretches(_bytes_of(batch.column("text")), span):
+                some = pa.concat_arrays([listed[k].values for k in held if listed[k].values is not None])
+                known, index = np.unique(some.field("gram").to_numpy().view(U64), return_index=True)
+                splits = some.field("splits").to_numpy()[index]
+                place = np.minimum(np.searchsorted(known, gram), len(known) - 1)
+                hit = np.flatnonzero(known[place] == gram)
+                raw = data.tobytes()
+                rows: list[list] = []
+                earliest: dict[bytes, int] = {}
+                for f, c, g, s, t in zip(first[hit].tolist(), count[hit].tolist(), gram[hit].view(np.int64).tolist(), splits[place[hit]].tolist(), text[hit].tolist()):
+                    body = raw[f : f + c + WINDOW - 1]
+                    k = held[t]
+                    row = [g, s, ords[k], keys[k], f - int(bounds[t]) + start, c, body]
+                    seen = earliest.setdefault(body, len(rows))
+                    if seen != len(rows):
+                        if row[2:5] < rows[seen][2:5]:
+                            rows[seen][6] = None
+                            earliest[body] = len(rows)
+                        elif row[2:5] > rows[seen][2:5]:
+                            row[6] = None
+                    rows.append(row)
+                rows = [r for r in rows if r[6] is not None] + _joined_repeats([r for r in rows if r[6] is None])
+                for k in range(0, len(rows), 10_000):
+                    part = list(zip(*rows[k : k + 10_000]))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(x, t) for x, t in zip(part, [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()])],
+                        ["gram", "splits", "ord", "d64", "start", "count", "body"],
+                    )
+
+    return compared
+
 
 def _joined_repeats(rows: list[list]) -> list[list]:
     out: list[list] = []
@@ -368,16 +375,19 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("ord"), text.alias("text"))
     base = base.withColumns({"d64": F.xxhash64("text"), "sha": F.sha2(F.col("text").cast("binary"), 256), "n_bytes": F.octet_length("text").cast("long")})
     firsts = base.groupBy("sha").agg(F.min("ord").alias("first"), F.first("d64").alias("d64"))
-    grams = settled(base.where(f"n_bytes >= {WINDOW}").select("text", "d64").mapInArrow(_grams, "gram long, d64 long, twice boolean"), "grams")
-    often = grams.groupBy("gram").agg(F.min("d64").alias("low"), F.max("d64").alias("high"), F.max("twice").alias("twice"), F.count(F.lit(1)).alias("n"))
-    often = often.where("low < high or twice").select("gram", F.ceil(F.col("n") / HOT).cast("int").alias("splits"))
+    grams = settled(base.where(f"n_bytes >= {WINDOW}").select("text", "d64").mapInArrow(_grams(SPAN), "gram long, d64 long, buffer long, twice boolean"), "grams")
+    # Copies of one text agree in text and buffer and count once; a text may also repeat a gram in another of its buffers.
+    often = grams.groupBy("gram").agg(
+        F.min("d64").alias("low"), F.max("d64").alias("high"), F.min("buffer").alias("begin"), F.max("buffer").alias("end"), F.max("twice").alias("twice"), F.count(F.lit(1)).alias("n")
+    )
+    often = often.where("low < high or begin < end or twice").select("gram", F.ceil(F.col("n") / HOT).cast("int").alias("splits"))
     listed = grams.select("gram", "d64").join(often, "gram").groupBy("d64").agg(F.collect_set(F.struct("gram", "splits")).alias("grams"))
     listed = settled(firsts.join(listed, "d64").select("d64", F.col("first").alias("ord"), "grams"), "listed")
     total, split = listed.agg(F.sum(F.size("grams")), F.max(F.array_max(F.transform("grams", lambda g: g["splits"])))).first()
     shards = max(1, -(-(total or 0) * (WINDOW + 34) // SHARD_BYTES))
     texts = base.select("ord", "d64", "text")
     compared = texts.join(listed, ["d64", "ord"]).select("ord", "d64", "text", "grams").mapInArrow(
-        _stretches_to_compare, "gram long, splits int, ord long, d64 long, start long, count long, body binary"
+        _stretches_to_compare(SPAN), "gram long, splits int, ord long, d64 long, start long, count long, body binary"
     )
     salt = F.pmod(F.xxhash64("ord"), F.col("splits"))
     shard: Column = F.pmod(F.xxhash64("gram", salt), F.lit(shards))

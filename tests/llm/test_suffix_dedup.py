@@ -66,6 +66,33 @@ def test_small_shards_spans_and_hot_grams(spark, monkeypatch):
     assert result(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)) == brute_force(rows)
 
 
+def test_repeat_between_buffers_of_one_text(spark):
+    """The only repeat of a text lies in two of the buffers that it is cut into."""
+    rng = np.random.default_rng(5)
+    letters = lambda n: bytes(rng.integers(97, 123, n).astype(np.uint8)).decode()
+    span, passage = suffix_dedup.SPAN, letters(150)
+    text = "".join([letters(1000), "<", passage, ">", letters(2 * span), "[", passage, "]", letters(500)])
+    at = text.rindex(passage)
+    rows = [(1, letters(3000)), (2, text), (3, letters(400)), (4, text)]
+    found = {r.doc_id: r for r in suffix_dedup.repeated_bytes(spark.createDataFrame(rows, "doc_id long, text string").repartition(2)).collect()}
+    assert (found[2].n_removed, found[2].spans) == (150, [at, at + 150])
+    assert found[2].kept_sha256 == hashlib.sha256((text[:at] + text[at + 150 :]).encode()).hexdigest()
+    assert [found[k].n_removed for k in (1, 3, 4)] == [0, 0, len(text)]
+
+
+def test_long_texts_in_small_spans(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "SPAN", 300)
+    rng = random.Random(6)
+    letters = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    rows = []
+    for k in range(12):
+        passage = letters(rng.choice((100, 130, 420)))
+        text = letters(200) + passage + letters(rng.randrange(150, 900)) + passage + letters(rng.randrange(200))
+        rows += [(k, text), (k + 100, text)][: 1 + k % 2]
+    assert sum(r[2] > 0 for r in brute_force(rows)) == len(rows)
+    assert result(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)) == brute_force(rows)
+
+
 def test_nothing_repeats_and_empty_table(spark):
     assert result(spark.createDataFrame([(1, "a" * 99), (2, None)], "doc_id long, text string")) == brute_force([(1, "a" * 99), (2, None)])
     assert result(spark.createDataFrame([], "doc_id long, text string")) == []
