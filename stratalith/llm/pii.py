@@ -5,11 +5,13 @@ reported. Wider patterns propose further candidates. On every candidate several
 against it or abstain: patterns, gazetteers (top-level domains, country codes, card prefixes, reserved
 networks) and words of context. Expectation-maximisation estimates from the agreement of the votes,
 without labels, how far each labeler can be trusted. Its posteriors then train the span classifier, a
-logistic regression on votes and shape, which decides on the candidates beyond the base.
+logistic regression on votes and shape, which decides on the candidates beyond the base that have a
+valid form: one whose pattern labeler or checksum votes against it is not reported, whatever its probability.
 """
 
 from __future__ import annotations
 
+import ipaddress
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -59,6 +61,11 @@ CUES = {
 }
 AGAINST = frozenset("version isbn issn order invoice sku no number id page chapter section total price build release date year figure table".split())
 _WORD = re.compile(r"[^\W_][\w-]*")
+# Networks of IPv6 that are given out: translated, global, of a site, of a link, groups.
+NETWORKS = tuple(map(ipaddress.IPv6Network, ("64:ff9b::/96", "2000::/3", "fc00::/7", "fe80::/10", "ff00::/8")))
+# Numbers without country code: three groups of 3, 3 and 4 digits, or an area code with its leading zero and any groups,
+# or five pairs.
+_NATIONAL = re.compile(r"[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}|0[1-9][0-9]{1,3}(?:[ ./-][0-9]{2,5}){1,4}|0[1-9](?:[ .-][0-9]{2}){4}")
 
 LABELERS = ("base rule", "pattern", "gazetteer", "checksum", "cue before", "other before", "edges", "variety")
 
@@ -83,6 +90,13 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def ipv6(text: str) -> ipaddress.IPv6Address | None:
+    try:
+        return ipaddress.IPv6Address(text)
+    except ValueError:
+        return None
+
+
 def _digits(text: str) -> str:
     return "".join(c for c in text if "0" <= c <= "9")
 
@@ -135,10 +149,15 @@ def _votes(text: str, span: Span, base: bool) -> tuple[int, ...]:
         plain = re.sub(_DOT, ".", re.sub(_AT, "@", body, count=1, flags=re.I), flags=re.I)
         pattern = 1 if re.fullmatch(r"[\w.%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", plain) else -1
         gazetteer = 1 if plain.rpartition(".")[2].lower() in DOMAINS else -1
+    elif span.kind == "ip" and ":" in body:
+        address = ipv6(body)
+        gazetteer = 1 if address and any(address in n for n in NETWORKS) else -1 if "::" in body else 0
+        # Names of programs such as "face::bed" have the form too, so a compressed address must also be of a network.
+        pattern = 1 if address and gazetteer >= 0 else -1
     elif span.kind == "ip":
-        parts = re.findall(r"[0-9]+", body) if ":" not in body else []
-        pattern = 1 if (len(parts) == 4 and all(int(p[:9]) <= 255 and (p == "0" or p[0] != "0") for p in parts)) or body.count(":") == 7 else -1
-        gazetteer = 0 if not parts else -1 if parts[0] in ("0", "255") or (len(parts) == 4 and all(len(p) == 1 for p in parts)) else 1
+        parts = re.findall(r"[0-9]+", body)
+        pattern = 1 if (len(parts) == 4 and all(int(p[:9]) <= 255 and (p == "0" or p[0] != "0") for p in parts)) else -1
+        gazetteer = -1 if parts[0] in ("0", "255") or (len(parts) == 4 and all(len(p) == 1 for p in parts)) else 1
     elif span.kind == "card":
         groups = [len(x) for x in re.split(r"[^0-9]", body) if x]
         pattern = 1 if groups in ([4, 4, 4, 4], [16], [15], [4, 6, 5], [4, 4, 4, 4, 3], [19], [14], [4, 6, 4]) else -1
@@ -146,7 +165,7 @@ def _votes(text: str, span: Span, base: bool) -> tuple[int, ...]:
         checksum = 1 if 14 <= len(digits) <= 19 and luhn(digits) else -1
     else:
         foreign = body.startswith(("+", "00"))
-        pattern = 1 if 9 <= len(digits) <= 15 and (foreign or "(" in body or re.fullmatch(r"[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}", body)) else -1
+        pattern = 1 if 9 <= len(digits) <= 15 and (foreign or "(" in body or _NATIONAL.fullmatch(body)) else -1
         gazetteer = 0 if not foreign else 1 if digits.removeprefix("00" if body[0] == "0" else "").startswith(COUNTRIES) else -1
         checksum = 0 if re.fullmatch(r"[0-9]{1,4}[./-][0-9]{1,2}[./-][0-9]{1,4}", body) is None else -1
     around = text[span.start - 1 : span.start] + text[span.end : span.end + 1]
@@ -265,7 +284,7 @@ def spans_of(text: str, classifier: Classifier, least: float = LEAST) -> tuple[l
     """Base spans, and all spans."""
     found = candidates(text)
     base = [c.span for c in found if c.base]
-    # A candidate beyond the base needs a pattern that fits it and no failed checksum, whatever else speaks for it.
+    # A candidate beyond the base needs a valid form and no failed checksum; of those the probability decides.
     more = [c.span for c in found if not c.base and c.votes[1] > 0 and c.votes[3] >= 0 and classifier.probability(c.span.kind, c.votes, c.shape) >= least]
     return sorted(base, key=_order), sorted(base + more, key=_order)
 

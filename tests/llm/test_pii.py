@@ -97,5 +97,18 @@ def test_neighbours_that_hide_base_spans():
         assert [tuple(s) for s in pii.spans_of(text, classifier)[1]] == spans, text
 
 
+def test_compressed_addresses_and_national_numbers():
+    texts = TEXTS + ["host 2001:db8::1 is up", "call the phone 0171 234 5678 now"]
+    classifier = pii.trained([(c.span.kind, c.votes, c.shape, 1) for t in texts for c in pii.candidates(t)])
+    found = lambda t: [(s.kind, t[s.start : s.end]) for s in pii.spans_of(t, classifier)[1]]
+    for address in ("2001:db8::1", "fe80::1:2", "2001:db8:0:1:1:1:1:1", "2001:DB8:1::ab9:C0A8:102"):
+        assert found(f"host {address} is up") == [("ip", address)], address
+    for other in ("1:2:3:4:5:6::1:2:3", "face::bed", "12::30"):
+        assert found(f"host {other} is up") == [], other
+    for number in ("0171 234 5678", "030/1234 5678", "01 42 68 53 00"):
+        assert found(f"call the phone {number} now") == [("phone", number)], number
+    assert found("on 01.02.2003 12:30 and 2020-01-02") == []
+
+
 def test_replacement_of_spans_that_overlap():
     assert pii.replaced("0123456789", [Span("ip", 1, 4), Span("phone", 3, 6), Span("card", 8, 9)]) == "0[IP]67[CARD]9"
