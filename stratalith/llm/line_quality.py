@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from stratalith.llm.common import ship_package
+from stratalith.llm.common import settled, ship_package
 
 # Base rules.
 LEAST_WORDS, MOST_REPEATED = 50, 50
@@ -25,8 +25,8 @@ SPACES = " \t\n\x0b\x0c\r"
 _SYMBOL, _DIGIT, _ENDS = re.compile(f"[{SYMBOLS}]"), re.compile(r"\d"), frozenset(".!?:;")
 # Labelled documents that the field is trained on, at most; those with the smallest hash of id are taken.
 TRAIN_DOCS = 3000
-# Lines of one training document that count, at most.
-TRAIN_LINES = 150
+# Lines of all training documents together, at most; documents that do not fit are left out whole.
+TRAIN_LINES = 450_000
 # A document is kept if at least this share of its words' bytes is in content lines.
 LEAST_CONTENT = 0.5
 CONTENT, BOILERPLATE = 0, 1
@@ -151,44 +151,50 @@ class Field:
     def trained(documents: list[tuple[list[int], int]], rounds: int = 100, rate: float = 0.1, ridge: float = 1e-3) -> Field:
         """Maximum likelihood with a ridge, by gradient steps with adaptive rates (Adam).
 
-        ``documents``: line features and the label of all lines. All sequences are padded to one length
-        and go through the forward and backward recursions side by side.
+        ``documents``: line features and the label of all lines. The sequences go through the forward and
+        backward recursions side by side, the longest first: line ``t`` of all that have one lies from
+        ``at[t]`` to ``at[t + 1]``, so nothing is padded.
         """
-        documents = [d for d in documents if d[0]]
+        documents = sorted((d for d in documents if d[0]), key=lambda d: -len(d[0]))
         if not documents:
             return Field()
-        n, longest = len(documents), max(len(b) for b, _ in documents)
-        bits, there, label = np.zeros((n, longest), np.int64), np.zeros((n, longest), bool), np.array([y for _, y in documents])
+        n, lengths, label = len(documents), np.array([len(b) for b, _ in documents]), np.array([y for _, y in documents])
+        longest = int(lengths[0])
+        alive = np.searchsorted(-lengths, -np.arange(longest), side="left")
+        at = np.concatenate([[0], np.cumsum(alive)])
+        bits, whose = np.zeros(at[-1], np.int64), np.zeros(at[-1], np.int64)
         for k, (b, _) in enumerate(documents):
-            bits[k, : len(b)], there[k, : len(b)] = b, True
+            bits[at[: len(b)] + k], whose[at[: len(b)] + k] = b, k
         # Good and bad documents weigh alike, each line of a document the same.
-        share = np.where(label == 1, 0.5 / max(1, (label == 1).sum()), 0.5 / max(1, (label == 0).sum())) / there.sum(axis=1)
+        share = np.where(label == 1, 0.5 / max(1, (label == 1).sum()), 0.5 / max(1, (label == 0).sum())) / lengths
         # Lines with the same features are multiplied once.
         kinds, kind = np.unique(bits, return_inverse=True)
-        kind = kind.reshape(bits.shape)
         features = matrix(kinds)
+        # Each line but the first ones, and the line before it.
+        later = np.arange(n, at[-1])
+        before = later - np.repeat(alive[:-1], alive[1:])
+        ends = at[lengths - 1] + np.arange(n)
+        truth = np.zeros((len(bits), 2))
+        truth[np.arange(len(bits)), label[whose]] = share[whose]
         field, state = Field(), [np.zeros((N_FEATURES + 2, 2)) for _ in range(2)]
         for step in range(1, rounds + 1):
             score = (features @ field.weights)[kind]
             forward, backward = np.zeros_like(score), np.zeros_like(score)
-            forward[:, 0] = score[:, 0]
+            forward[:n] = score[:n]
             for t in range(1, longest):
-                forward[:, t] = np.logaddexp(forward[:, t - 1, :1] + field.moves[0], forward[:, t - 1, 1:] + field.moves[1]) + score[:, t]
+                last = forward[at[t - 1] : at[t - 1] + alive[t]]
+                forward[at[t] : at[t + 1]] = np.logaddexp(last[:, :1] + field.moves[0], last[:, 1:] + field.moves[1]) + score[at[t] : at[t + 1]]
             for t in range(longest - 2, -1, -1):
-                after = score[:, t + 1] + backward[:, t + 1]
-                value = np.logaddexp(field.moves[:, 0] + after[:, :1], field.moves[:, 1] + after[:, 1:])
-                backward[:, t] = np.where(there[:, t + 1, None], value, 0)
-            ends = there.sum(axis=1) - 1
-            total = np.logaddexp.reduce(forward[np.arange(n), ends], axis=1)
-            belief = np.exp(forward + backward - total[:, None, None]) * there[..., None] * share[:, None, None]
-            truth = np.zeros_like(belief)
-            truth[np.arange(n), :, label] = there * share[:, None]
-            per_kind = np.stack([np.bincount(kind.ravel(), (truth - belief)[..., y].ravel(), len(kinds)) for y in range(2)], axis=1)
+                after = score[at[t + 1] : at[t + 2]] + backward[at[t + 1] : at[t + 2]]
+                backward[at[t] : at[t] + alive[t + 1]] = np.logaddexp(field.moves[:, 0] + after[:, :1], field.moves[:, 1] + after[:, 1:])
+            total = np.logaddexp.reduce(forward[ends], axis=1)[whose]
+            belief = np.exp(forward + backward - total[:, None]) * share[whose, None]
+            per_kind = np.stack([np.bincount(kind, (truth - belief)[:, y], len(kinds)) for y in range(2)], axis=1)
             gradient = features.T @ per_kind
-            pair = forward[:, :-1, :, None] + field.moves + (score + backward)[:, 1:, None, :] - total[:, None, None, None]
-            expected = (np.exp(np.where(there[:, 1:, None, None], pair, -np.inf)) * share[:, None, None, None]).sum(axis=(0, 1))
+            pair = forward[before][:, :, None] + field.moves + (score + backward)[later][:, None, :] - total[later, None, None]
+            expected = (np.exp(pair) * share[whose[later], None, None]).sum(axis=0)
             moved = np.zeros((2, 2))
-            np.add.at(moved, (label, label), (there.sum(axis=1) - 1) * share)
+            np.add.at(moved, (label, label), (lengths - 1) * share)
             slope = np.concatenate([gradient, moved - expected]) - ridge * np.concatenate([field.weights, field.moves])
             state[0] = 0.9 * state[0] + 0.1 * slope
             state[1] = 0.999 * state[1] + 0.001 * slope**2
@@ -197,8 +203,11 @@ class Field:
         return field
 
 
-def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS, id_col: str = "doc_id", text_col: str = "text") -> Field:
-    """A field from at most ``most`` labelled documents, chosen by a hash of their ids; without any, a field that calls all content."""
+def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS, id_col: str = "doc_id", text_col: str = "text", most_lines: int = TRAIN_LINES) -> Field:
+    """A field from all lines of at most ``most`` labelled documents, chosen by a hash of their ids; without any, a field that calls all content.
+
+    ``most_lines`` bounds the lines of all of them; each quality has half. A document that does not fit into what is left is left out whole.
+    """
     known = labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     # Half of each quality, so that the rarer one is not drowned.
     chosen = known.where("quality = 0").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most // 2)
@@ -206,12 +215,19 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS, id_col: st
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lines = [line_features(t.as_py() or "")[0][:TRAIN_LINES] for t in batch.column(1)]
+            lines = [line_features(t.as_py() or "")[0] for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lines, pa.list_(pa.int64())), batch.column(2)], ["doc_id", "lines", "quality"])
 
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = texts.join(chosen.select("doc_id", F.col("quality").cast("long")), "doc_id").mapInArrow(describe, "doc_id long, lines array<long>, quality long")
-    found = sorted((r.doc_id, list(r.lines), r.quality) for r in rows.collect())
+    rows = texts.join(chosen.select(F.col("doc_id").cast("long"), F.col("quality").cast("long")), "doc_id").mapInArrow(describe, "doc_id long, lines array<long>, quality long")
+    rows = settled(rows, "training-lines")
+    sizes = rows.groupBy("doc_id", "quality").agg(F.sum(F.size("lines")).alias("n")).orderBy(F.xxhash64("doc_id"), "doc_id").collect()
+    left, taken = {True: most_lines // 2, False: most_lines // 2}, []
+    for r in sizes:
+        if r.n <= left[bool(r.quality)]:
+            left[bool(r.quality)] -= r.n
+            taken.append(r.doc_id)
+    found = sorted((r.doc_id, list(r.lines), r.quality) for r in rows.where(F.col("doc_id").isin(taken)).collect()) if taken else []
     return Field.trained([(lines, CONTENT if quality else BOILERPLATE) for _, lines, quality in found])
 
 

@@ -70,6 +70,21 @@ def test_rows(spark):
     assert line_quality.line_quality(docs.limit(0), none).count() == 0
 
 
+def test_training_reads_whole_documents(spark):
+    """Two kinds of documents that differ behind their 150th line only; one that is too long is left out whole."""
+    same = "A sentence of plain words here.\n" * 200
+    good, bad = same + "Another sentence of plain words.\n" * 40, same + "x | y\n" * 40
+    rows = [(k, bad if k % 2 else good) for k in range(20)]
+    docs = spark.createDataFrame([*rows, (100, "x | y\n" * 5000)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, 1 - k % 2, 0) for k, _ in rows], "doc_id long, quality int, toxic int")
+    field = line_quality.train(docs, labels)
+    assert set(field.viterbi(line_quality.line_features("x | y\n" * 40)[0])) == {1}
+    known = labels.union(spark.createDataFrame([(100, 1, 0)], labels.schema))
+    assert np.allclose(line_quality.train(docs, known, most_lines=6000).weights, field.weights)
+    assert not np.allclose(line_quality.train(docs, known).weights, field.weights)
+    assert not line_quality.train(docs, known, most_lines=2).weights.any()
+
+
 @pytest.mark.skipif(not os.path.isdir(TABLES), reason="test tables are not here")
 def test_held_out_accuracy(spark, monkeypatch):
     """Trained on few of the labelled documents, judged on the others."""
