@@ -68,6 +68,20 @@ class EliasFano:
         window = int.from_bytes(self.lows[first // 8 : -(-last // 8)].tobytes(), "little")
         return (high << self.low) | ((window >> (first % 8)) & ((1 << self.low) - 1))
 
+    def run(self, first: int, last: int) -> np.ndarray:
+        """The numbers at indices ``first`` to ``last``; only the bits between their directory entries are decoded."""
+        if last <= first:
+            return np.empty(0, np.uint64)
+        begin, after = int(self.directory[first // STRIDE]), (last - 1) // STRIDE + 1
+        end = int(self.directory[after]) if after < len(self.directory) else 8 * len(self.high)
+        byte = begin // 8
+        at = np.flatnonzero(np.unpackbits(self.high[byte : -(-end // 8)], bitorder="little")[begin - 8 * byte :]) + begin
+        high = (at[first % STRIDE :][: last - first] - np.arange(first, last)).astype(np.uint64)
+        bit = first * self.low
+        lows = np.unpackbits(self.lows[bit // 8 : -(-last * self.low // 8)], bitorder="little")[bit % 8 :][: (last - first) * self.low]
+        lows = lows.reshape(last - first, self.low).astype(np.uint64)
+        return (high << np.uint64(self.low)) | (lows << np.arange(self.low, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
+
     def values(self) -> np.ndarray:
         """All numbers."""
         at = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[: self.n]

@@ -87,16 +87,16 @@ class ShardReader:
         return self.ids(self.boundaries.select(i), self.boundaries.select(i + 1))
 
     def __iter__(self) -> Iterator[tuple[int | None, int, np.ndarray]]:
-        """``(doc_id, start, ids)`` of every document, reading about READ_TOKENS ids at a time."""
-        bounds = self.boundaries.values().astype(np.int64)
-        numbers = self.numbers.values().astype(np.int64)
+        """``(doc_id, start, ids)`` of every document, reading about READ_TOKENS ids at a time; selects find the end of each run."""
         first = 0
         while first < self.n:
-            last = max(first + 1, int(np.searchsorted(bounds, bounds[first] + READ_TOKENS, side="right")) - 1)
-            ids = self.ids(int(bounds[first]), int(bounds[last]))
-            for i in range(first, last):
-                known = None if i < self.n_null else self.smallest + int(numbers[i - self.n_null])
-                yield known, int(bounds[i]), ids[bounds[i] - bounds[first] : bounds[i + 1] - bounds[first]]
+            last = max(first + 1, self.boundaries.locate(self.boundaries.select(first) + READ_TOKENS))
+            bounds = self.boundaries.run(first, last + 1).tolist()
+            numbers = self.numbers.run(max(0, first - self.n_null), max(0, last - self.n_null)).tolist()
+            ids = self.ids(bounds[0], bounds[-1])
+            known = [None] * (last - first - len(numbers)) + [self.smallest + x for x in numbers]
+            for doc_id, begin, end in zip(known, bounds, bounds[1:]):
+                yield doc_id, begin, ids[begin - bounds[0] : end - bounds[0]]
             first = last
 
 

@@ -97,6 +97,26 @@ def test_token_files(spark, library):
     assert reader.doc_id(i) == 2**40 and reader.document(i).tolist() == library(BYTES, "far") + [2]
 
 
+def test_runs_are_decoded_alone(tmp_path, monkeypatch):
+    """Reading a shard decodes the boundaries and ids of one run at a time, never all of them."""
+    rng = np.random.default_rng(8)
+    for values in (np.sort(rng.integers(0, 10**9, 2000)), np.zeros(700), np.arange(600), np.array([0] * 300 + [10**12] * 300)):
+        values = values.astype(np.uint64)
+        code = EliasFano(encode(values))
+        for a, b in [(0, len(values)), (5, 5), (255, 257), (256, 512), (len(values) - 1, len(values)), *(sorted(rng.integers(0, len(values), 2).tolist()) for _ in range(20))]:
+            assert code.run(a, b).tolist() == values[a:b].tolist()
+    rows = [(None, 3), (None, 1), (-(2**63), 4), (-5, 0), (0, 9), (2**63 - 1, 2), *((2**63 - 1, k % 7) for k in range(600))]
+    writer = token_files.ShardWriter(f"file://{tmp_path}", "shard", 2)
+    for doc_id, n in rows:
+        writer.add(doc_id, np.arange(n + 1, dtype="<u2").tobytes())
+    writer.close()
+    monkeypatch.setattr(token_files, "READ_TOKENS", 50)
+    monkeypatch.delattr(EliasFano, "values")
+    found = list(token_files.ShardReader(f"file://{tmp_path}/shard"))
+    assert [(d, len(ids) - 1) for d, _, ids in found] == rows
+    assert [s for _, s, _ in found] == np.cumsum([0, *(n + 1 for _, n in rows)])[:-1].tolist()
+
+
 def test_no_documents(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     folder, manifest = token_files.write_token_files(empty, BYTES, 2)
