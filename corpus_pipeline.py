@@ -6,7 +6,7 @@ every stage's result to the shared folder as Parquet and reads it again.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from stratalith.llm import decontaminate, line_quality, near_dedup, packing, pii
 from stratalith.llm.common import settled
@@ -27,19 +27,22 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, the one with the smallest id.
 
-    Documents without words are near nothing and stay. Of rows that repeat an id one stays. Rows without
-    an id cannot be named by a group: one of each text stays, unless a row with an id has the same text.
+    Documents without words are near nothing and stay. Where ids repeat or are missing, every pair of id
+    and text is a document of its own, in the order of ids (missing ones last) and then of the texts'
+    hashes; of rows with equal id and text one stays, the first by the other columns.
     """
-    groups = near_dedup.near_duplicates(docs, size=SIZE, percent=PERCENT)
-    known = docs.join(groups.where("kept and doc_id is not null").select("doc_id").distinct(), "doc_id", "left_semi")
-    # Texts are compared by value only among rows of one id.
-    known = known.dropDuplicates(["doc_id"]).select(*docs.columns)
-    nameless = docs.where("doc_id is null")
-    if nameless.isEmpty():
-        return known
-    named = docs.where("doc_id is not null").select("text").distinct().withColumnRenamed("text", "own text")
-    alone = nameless.dropDuplicates(["text"]).join(named, F.col("text").eqNullSafe(F.col("own text")), "left_anti")
-    return known.union(alone.select(*docs.columns))
+    if docs.groupBy("doc_id").count().where("count > 1 or doc_id is null").isEmpty():
+        groups = near_dedup.near_duplicates(docs, size=SIZE, percent=PERCENT)
+        return docs.join(groups.where("kept").select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
+    sha = F.sha2(F.col("text").cast("binary"), 256)
+    keys = docs.select(F.col("doc_id").alias("own_id"), sha.alias("own_sha")).distinct().orderBy(F.col("own_id").asc_nulls_last(), "own_sha")
+    keys = settled(keys.withColumn("own_key", F.monotonically_increasing_id()), "keys")
+    keyed = docs.join(keys, F.col("doc_id").eqNullSafe(F.col("own_id")) & sha.eqNullSafe(F.col("own_sha"))).select(*docs.columns, "own_key")
+    groups = near_dedup.near_duplicates(keyed, size=SIZE, percent=PERCENT, id_col="own_key")
+    kept = keyed.join(groups.where("kept").select(F.col("doc_id").alias("own_key")), "own_key", "left_semi")
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    first = F.row_number().over(Window.partitionBy("own_key").orderBy(*others or ["own_key"]))
+    return kept.withColumn("own_number", first).where("own_number = 1").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

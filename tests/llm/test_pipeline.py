@@ -80,6 +80,14 @@ def test_rows_without_id(spark):
     assert sorted(((r.doc_id, r.text) for r in found), key=repr) == sorted([(1, long), (None, "other text"), (None, None)], key=repr)
 
 
+def test_rows_that_share_an_id(spark):
+    a, b = (" ".join(f"{x}{k}" for k in range(40)) for x in "ab")
+    rows = [(7, b), (7, a), (3, b), (None, a + " more"), (None, "only here " * 9), (None, None)]
+    for order in (rows, rows[::-1]):
+        found = corpus_pipeline.near_duplicates(spark, spark.createDataFrame([(d, t, "", "", 1) for d, t in order], DOCS), "").collect()
+        assert sorted(((r.doc_id, r.text) for r in found), key=repr) == sorted([(3, b), (7, a), rows[4], rows[5]], key=repr)
+
+
 @pytest.mark.parametrize("text", [None, "", "word"])
 def test_empty_and_tiny_tables(spark, tmp_path, text):
     sf_dir = str(tmp_path)
