@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
 from stratalith.llm.decontaminate import leaks
+from stratalith.llm.fill_in_middle import fill_in_middle, restored
 from stratalith.llm.language import languages, prototypes
 from stratalith.llm.line_quality import line_quality
 from stratalith.llm.near_dedup import near_duplicates
 from stratalith.llm.packing import packed
+from stratalith.llm.pair_index import decoded, encoded
 from stratalith.llm.pii import personal_data
 from stratalith.llm.suffix_dedup import repeated_bytes
+from stratalith.llm.token_alignment import aligned
 from stratalith.llm.token_counts import token_counts
 from stratalith.llm.token_files import read_token_files, write_token_files
 from stratalith.llm.warc_zip import archived
@@ -73,6 +76,22 @@ def op10_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op11_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = _tokenizer("word_bpe_49k.json")
+    rows = decoded(encoded(_table(spark, sf_dir, "documents"), tokenizer), tokenizer)
+    return rows.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = restored(fill_in_middle(_table(spark, sf_dir, "documents")))
+    digests = [F.sha2(F.col(x).cast("binary"), 256).alias(f"{x}_sha256") for x in ("output", "restored")]
+    return rows.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aligned(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), _tokenizer("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_language_id": op2_language_id,
@@ -84,6 +103,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_packing": op9_packing,
     "op10_line_quality": op10_line_quality,
+    "op11_bpe_round_trip": op11_bpe_round_trip,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_token_alignment": op13_token_alignment,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -142,5 +164,24 @@ SELECT page_id, payload_bytes, payload_digest,
     CASE WHEN payload_bytes >= 1000 AND page_id <> chief THEN 'revisit' ELSE 'response' END AS record_type,
     CASE WHEN payload_bytes >= 1000 AND page_id <> chief THEN chief END AS refers_to
 FROM chiefs
+""",
+    # Draws are the first digits of a hash of the id; texts are cut after code points.
+    "op12_fill_in_middle": r"""
+WITH digests AS (
+    SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || doc_id) AS h FROM documents
+), draws AS (
+    SELECT doc_id, t, length(t) AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2, ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4
+    FROM digests
+), cuts AS (
+    SELECT doc_id, t, n, least(h1 % (n + 1), h2 % (n + 1)) AS c, greatest(h1 % (n + 1), h2 % (n + 1)) AS d,
+        CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+    FROM draws
+), parts AS (
+    SELECT *, substring(t, 1, c) AS prefix, substring(t, c + 1, d - c) AS middle, substring(t, d + 1, n - d) AS suffix FROM cuts
+)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN c::BIGINT END AS prefix_chars, CASE WHEN form <> 'plain' THEN (d - c)::BIGINT END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+    sha256(t) AS restored_sha256
+FROM parts
 """,
 }
