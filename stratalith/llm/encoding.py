@@ -22,6 +22,8 @@ import numpy as np
 _ENDS = frozenset(".,;:!?")
 # A single blank between two other characters begins a new piece of a byte-level text.
 _BLANK = re.compile(r"(?<=\S) (?=\S)")
+# White space of ASCII but blanks and line ends.
+_OTHER_SPACE = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f"
 # Characters of a text that are cut to chunks at a time.
 SPAN = 1 << 20
 
@@ -59,6 +61,8 @@ def tidy(text: str) -> bool:
     """No two white-space characters in a row, and none but blanks and line ends."""
     if "\0" in text or any(pair in text for pair in ("  ", " \n", "\n ", "\n\n")):
         return False
+    if text.isascii():
+        return not any([x in text for x in _OTHER_SPACE])
     return len(text.split()) == text.count(" ") + text.count("\n") + 1 - (text[:1] in (" ", "\n")) - (text[1:] != "" and text[-1] in " \n")
 
 
@@ -110,14 +114,16 @@ def spans(text: str) -> Iterator[str]:
 class Encoder(dict):
     """``encode`` gives the ids of texts as little-endian unsigned numbers of ``dtype``.
 
-    As a mapping it holds the packed ids of the chunks seen so far; a new chunk is looked up on access.
-    When it is full it starts anew, which changes no ids.
+    As a mapping it holds the packed ids of the chunks seen lately; a new chunk is looked up on access.
+    When it is full it starts anew and what it held becomes the older memory, from which chunks that are met again come back, so
+    frequent ones stay. This changes no ids.
     """
 
     LIMIT = 600_000
 
     def __init__(self, description: str, dtype: str = "<u4"):
         super().__init__()
+        self.older: dict[str, bytes] = {}
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -144,17 +150,22 @@ class Encoder(dict):
         return self._packed([x.id for x in self.model.tokenize(spelled)])
 
     def __missing__(self, chunk: str) -> bytes:
-        if (spelled := self.spelled(chunk)) is not None:
-            ids = self._word(spelled)
-        elif chunk[-1:] in _ENDS and (spelled := self.spelled(chunk[:-1])) is not None:
-            ids = (self.get(chunk[:-1]) or self._word(spelled)) + self.ends[chunk[-1]]
-        else:
-            ids = self._asked(chunk)
+        if (ids := self.older.get(chunk)) is None:
+            ids = self._looked_up(chunk)
         if len(self) >= self.LIMIT:
+            self.older = dict(self)
             self.clear()
         self[chunk] = ids
         return ids
 
+    def _looked_up(self, chunk: str) -> bytes:
+        if (spelled := self.spelled(chunk)) is not None:
+            return self._word(spelled)
+        if chunk[-1:] in _ENDS and (spelled := self.spelled(chunk[:-1])) is not None:
+            # What ends a word is a token of its own.
+            return (self.get(chunk[:-1]) or self.older.get(chunk[:-1]) or self._word(spelled)) + self.ends[chunk[-1]]
+        return self._asked(chunk)
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """One after another; a long text is cut to chunks in stretches."""
         ids = self.__getitem__

@@ -49,6 +49,17 @@ def test_chunks_give_the_ids_of_the_text(library, path, monkeypatch):
             assert np.frombuffer(ids, "<u4").tolist() == library(path, text), repr(text)
 
 
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_a_full_memory_changes_no_ids(library, path, monkeypatch):
+    monkeypatch.setattr(encoding.Encoder, "LIMIT", 7)
+    with open(path, encoding="utf-8") as source:
+        encoder = encoding.Encoder(source.read())
+    made = [" ".join(f"w{chr(97 + k % 5)}ord{'.,'[k % 2]}" for k in range(j, j + 9)) for j in range(60)]
+    for text, ids in zip(made, encoder.encode(made)):
+        assert np.frombuffer(ids, "<u4").tolist() == library(path, text)
+    assert encoder.older and len(encoder) <= 7
+
+
 def test_counts_are_those_of_the_library(library):
     with open(WORDS, encoding="utf-8") as source:
         counter = token_counts.TokenCounter(source.read(), limit=50)
@@ -117,6 +128,22 @@ def test_runs_are_decoded_alone(tmp_path, monkeypatch):
     assert [s for _, s, _ in found] == np.cumsum([0, *(n + 1 for _, n in rows)])[:-1].tolist()
 
 
+def test_packing_of_rows_that_share_an_id(spark, library):
+    """Each row is packed by itself: the pieces of an id are those of all its rows together."""
+    rows = [(7, "one text of some words " * 30), (7, "another one " * 200), (7, "one text of some words " * 30), (None, "no id " * 50), (None, None), (8, "x")]
+    found = packing.packed(spark.createDataFrame(rows, "doc_id long, text string").repartition(2), WORDS, 1, length=64).collect()
+    for doc_id in (7, 8, None):
+        sizes = sorted(len(library(WORDS, t or "")) + 1 for d, t in rows if d == doc_id)
+        own = [r for r in found if r.doc_id == doc_id]
+        assert sum(r.length for r in own) == sum(sizes) and {r.doc_tokens for r in own} == set(sizes)
+        for size in set(sizes):
+            starts = sorted((r.start, r.start + r.length) for r in own if r.doc_tokens == size)
+            covered = np.zeros(size, int)
+            for a, b in starts:
+                covered[a:b] += 1
+            assert (covered == sizes.count(size)).all()
+
+
 def test_no_documents(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     folder, manifest = token_files.write_token_files(empty, BYTES, 2)
