@@ -5,17 +5,23 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import weakref
 import zipfile
+from collections.abc import Iterator
 
 import numpy as np
-import xxhash
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 U64 = np.uint64
+# Shingles that are hashed together for block minima.
+MINIMA_STEP = 1 << 15
 # Odd multipliers that mix 64-bit hashes; any fixed odd numbers would do.
 MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 _local_folders: dict[str, str] = {}
 _shipped: set[str] = set()
+# Where each settled result lies, as long as someone holds it.
+_settled: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -63,7 +69,31 @@ def settled(df: DataFrame, name: str) -> DataFrame:
     """Write a result that later steps read more than once, and read it back: lost executors cost no recomputation."""
     path = new_folder(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    read = df.sparkSession.read.schema(df.schema).parquet(path)
+    _settled[read] = path
+    return read
+
+
+def release(spark: SparkSession, *frames: DataFrame) -> None:
+    """Delete settled results that nothing reads any more."""
+    for df in frames:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_settled.pop(df))
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def hot_among(counts: DataFrame, key: str, n: str = "n") -> list:
+    """The keys of ``counts(key, n)`` that hold more than half of what a shuffle partition should hold of all rows.
+
+    They are twice as many as there are partitions at most. They steer placement only: see ``spread_join``.
+    """
+    total = counts.agg(F.sum(n)).first()[0] or 0
+    floor = total / (2 * int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return [r[0] for r in counts.where((F.col(n) > floor) & F.col(key).isNotNull()).select(key).collect()]
+
+
+def hot_in(rows: DataFrame, key: str) -> list:
+    """The same of ``rows``, which are counted by key with partial aggregation."""
+    return hot_among(rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")), key)
 
 
 def spread(df: DataFrame) -> int:
@@ -80,19 +110,114 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> U64(32))
 
 
-class WordHashes(dict):
-    """64-bit hashes of words. The cache is emptied when it is full, which changes no hash."""
-
-    LIMIT = 200_000
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.LIMIT:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), dtype=U64, count=len(words))
+# Characters of texts that are looked at together.
+PART_CHARS = 1 << 18
+# Bytes of texts whose words are hashed together.
+HASH_BYTES = 1 << 18
+_BYTE = mixed(np.arange(1, 257, dtype=U64) * U64(MIX[0])) | U64(1)
+_UP = np.cumprod(np.concatenate([np.ones(1, U64), np.full(HASH_BYTES, MIX[1], U64)]))
+_DOWN = np.cumprod(np.concatenate([np.ones(1, U64), np.full(HASH_BYTES, pow(MIX[1], -1, 1 << 64), U64)]))
+
+
+def word_hashes(texts: list[bytes], cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all texts, one text after another, and where each text begins among them; and the end.
+
+    ``cuts`` tells of each byte whether it separates words; the line end must. A word's hash is a mix of the sum of its bytes'
+    random numbers, each times a power for its place, so all words come from one running sum, with no step per word.
+    """
+    hashes, counts = [], np.zeros(len(texts), np.int64)
+    held: list[int] = []
+    size = 0
+    for k, text in enumerate(texts):
+        if held and size + len(text) >= HASH_BYTES:
+            _add_words([texts[j] for j in held], held, cuts, hashes, counts)
+            held, size = [], 0
+        held.append(k)
+        size += len(text) + 1
+    if held:
+        _add_words([texts[j] for j in held], held, cuts, hashes, counts)
+    starts = np.concatenate([[0], np.cumsum(counts)])
+    return np.concatenate(hashes) if hashes else np.empty(0, U64), starts
+
+
+def _add_words(texts: list[bytes], held: list[int], cuts: np.ndarray, hashes: list[np.ndarray], counts: np.ndarray) -> None:
+    data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
+    inside = np.concatenate([[False], ~cuts[data]])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    bounds = np.cumsum([0, *(len(x) + 1 for x in texts)])
+    at = np.searchsorted(starts, bounds)
+    counts[held] = np.diff(at)
+    if len(data) <= HASH_BYTES:
+        sums = np.concatenate([np.zeros(1, U64), np.cumsum(_BYTE[data] * _UP[: len(data)])])
+        hashes.append(mixed((sums[ends] - sums[starts]) * _DOWN[starts]))
+        return
+    # A long text, in pieces; what a word has in each piece is added up, times the power of the place where it goes on.
+    total = np.zeros(len(starts), U64)
+    for begin in range(0, len(data), HASH_BYTES):
+        part = data[begin : begin + HASH_BYTES]
+        sums = np.concatenate([np.zeros(1, U64), np.cumsum(_BYTE[part] * _UP[: len(part)])])
+        lo, hi = np.searchsorted(ends, begin, side="right"), np.searchsorted(starts, begin + len(part))
+        first, last = starts[lo:hi], ends[lo:hi]
+        here = np.maximum(first - begin, 0)
+        found = (sums[np.minimum(last - begin, len(part))] - sums[here]) * _DOWN[here]
+        # Only the word that is cut by the border goes on; its bytes before it are the power.
+        if len(first) and first[0] < begin:
+            found[:1] *= U64(pow(MIX[1], int(begin - first[0]), 1 << 64))
+        total[lo:hi] += found
+    hashes.append(mixed(total))
+
+
+def separators(words: str | None = None) -> np.ndarray:
+    """A table of :func:`word_hashes`: white space of ASCII separates; with ``words``, all of ASCII but these."""
+    table = np.zeros(256, bool)
+    if words is None:
+        table[list(b" \t\n\x0b\x0c\r")] = True
+    else:
+        table[:128] = True
+        table[list(words.encode())] = False
+    return table
+
+
+def shingles_of(texts: list[bytes], cuts: np.ndarray, size: int, short: bool) -> list[np.ndarray]:
+    """The window hashes of each text, in order. With ``short`` a text of fewer than ``size`` words has one of them all, else none."""
+    hashes, starts = word_hashes(texts, cuts)
+    windows = window_hashes(hashes, size) if len(hashes) >= size else np.empty(0, U64)
+    out = []
+    for a, b in zip(starts[:-1].tolist(), starts[1:].tolist()):
+        if b - a >= size:
+            out.append(windows[a : b - size + 1])
+        else:
+            out.append(window_hashes(hashes[a:b], size) if short else np.empty(0, U64))
+    return out
+
+
+def block_minima(shingles: list[np.ndarray], seeds: tuple[np.ndarray, np.ndarray], length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Minhashes of every block of ``length`` shingles of each text: ``seeds x blocks``, and where each text's blocks begin; and the end.
+
+    The last block of a text may be shorter. Blocks lie side by side, their k-th shingles together, so that a
+    minimum over blocks is taken row by row over long rows.
+    """
+    flip, odd = seeds
+    sizes = np.array([len(x) for x in shingles], np.int64)
+    blocks = -(-sizes // length)
+    starts = np.concatenate([[0], np.cumsum(blocks)])
+    out = np.empty((len(flip), int(starts[-1])), np.uint32)
+    if not starts[-1]:
+        return out, starts
+    flat = (np.concatenate(shingles) >> U64(32)).astype(np.uint32)
+    firsts = np.concatenate([[0], np.cumsum(sizes)])
+    whose = np.repeat(np.arange(len(sizes)), blocks)
+    base = firsts[whose] + (np.arange(int(starts[-1])) - starts[whose]) * length
+    last = firsts[whose + 1] - 1
+    # A short block repeats its text's last shingle, which changes no minimum.
+    step = max(1, MINIMA_STEP // length)
+    for at in range(0, len(base), step):
+        to = min(at + step, len(base))
+        laid = flat[np.minimum(base[None, at:to] + np.arange(length)[:, None], last[None, at:to])]
+        for k in range(len(flip)):
+            out[k, at:to] = ((laid ^ flip[k]) * odd[k]).min(axis=0)
+    return out, starts
 
 
 def window_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
@@ -108,6 +233,14 @@ def window_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
     return mixed(total)
 
 
-def shingle_set(hashes: np.ndarray, size: int) -> np.ndarray:
-    """The distinct window hashes, sorted."""
-    return np.unique(window_hashes(hashes, size))
+def parts_of(column: pa.Array) -> Iterator[tuple[int, list[str | None]]]:
+    """Texts of a column a few at a time, about PART_CHARS together, with the place of the first."""
+    first, held, size = 0, [], 0
+    for k, text in enumerate(column):
+        held.append(text.as_py())
+        size += len(held[-1] or "")
+        if size >= PART_CHARS:
+            yield first, held
+            first, held, size = k + 1, [], 0
+    if held:
+        yield first, held

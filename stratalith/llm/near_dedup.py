@@ -16,8 +16,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from stratalith.llm.common import MIX, U64, WordHashes, mixed, settled, ship_package, shingle_set
+from stratalith.llm.common import MIX, U64, block_minima, hot_among, hot_in, mixed, parts_of, release, separators, settled, shingles_of, ship_package
 from stratalith.llm.components import components
+from stratalith.operators.joins import spread_join
 
 HALF = 4
 MISS = 1e-4
@@ -25,29 +26,27 @@ MISS = 1e-4
 BLOCK = 512
 # Columns of the incidence matrix that are multiplied at a time.
 COLUMNS = 4096
-# Elements of a set that are hashed at a time.
-STEP = 1 << 14
+# Shingles whose least hashes are taken side by side.
+LANE = 16
+_CUTS = separators()
 
 
 def bands_needed(threshold: float, half: int = HALF, miss: float = MISS) -> int:
     return math.ceil(math.log(miss / 2) / math.log(1 - threshold**half))
 
 
-def words_of(text: str | None) -> list[bytes]:
-    """Words ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased; bytes.split cuts at exactly these six."""
-    return text.encode().lower().split() if text else []
+def shingles(texts: list[str | None], size: int) -> list[np.ndarray]:
+    """The distinct window hashes of each text, ascending. Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased."""
+    return [np.unique(x) for x in shingles_of([x.encode().lower() if x else b"" for x in texts], _CUTS, size, short=True)]
 
 
-def half_bands(shingles: np.ndarray, m: int, half: int) -> np.ndarray:
-    """``2 m`` band hashes of a set; the first ``m`` are the left collection."""
+def half_bands(sets: list[np.ndarray], m: int, half: int) -> np.ndarray:
+    """``2 m`` band hashes of each set that is not empty, a column each; the first ``m`` are the left collection."""
     seeds = mixed(np.arange(1, 2 * m * half + 1, dtype=U64) * U64(MIX[0]))
-    flip, odd = (seeds >> U64(32)).astype(np.uint32)[:, None], (seeds.astype(np.uint32) | np.uint32(1))[:, None]
-    low = np.full(2 * m * half, 0xFFFFFFFF, dtype=np.uint32)
-    short = (shingles >> U64(32)).astype(np.uint32)
-    for k in range(0, len(short), STEP):
-        np.minimum(low, ((short[None, k : k + STEP] ^ flip) * odd).min(axis=1), out=low)
-    rows = low.astype(U64).reshape(2 * m, half)
-    bands = np.arange(1, 2 * m + 1, dtype=U64) * U64(MIX[1])
+    seeds = (seeds >> U64(32)).astype(np.uint32)[:, None], (seeds.astype(np.uint32) | np.uint32(1))[:, None]
+    least, starts = block_minima(sets, seeds, LANE)
+    rows = np.minimum.reduceat(least, starts[:-1], axis=1).astype(U64).reshape(2 * m, half, len(sets))
+    bands = np.repeat((np.arange(1, 2 * m + 1, dtype=U64) * U64(MIX[1]))[:, None], len(sets), axis=1)
     for k in range(half):
         bands = mixed(bands * U64(MIX[0]) + rows[:, k])
     return bands
@@ -57,23 +56,19 @@ def sketches(docs: DataFrame, size: int, m: int, half: int, id_col: str, text_co
     """``doc_id, n_shingles, digest, bands``; bands are null for documents without words."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = WordHashes()
         for batch in batches:
-            counts, digests, bands = [], [], []
-            for text in batch.column(1):
-                found = shingle_set(cache.of(words_of(text.as_py())), size)
-                counts.append(len(found))
-                if len(found):
-                    with np.errstate(over="ignore"):
-                        digests.append(mixed(found).sum(dtype=U64).astype(np.int64).tobytes() + np.bitwise_xor.reduce(mixed(found + U64(1))).tobytes())
-                    bands.append(half_bands(found, m, half).view(np.int64))
-                else:
-                    digests.append(None)
-                    bands.append(None)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(digests, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
-                ["doc_id", "n_shingles", "digest", "bands"],
-            )
+            for first, texts in parts_of(batch.column(1)):
+                sets = shingles(texts, size)
+                some = [s for s in sets if len(s)]
+                bands = iter(half_bands(some, m, half).T.view(np.int64) if some else [])
+                digests = (mixed(s).sum(dtype=U64).tobytes() + np.bitwise_xor.reduce(mixed(s + U64(1))).tobytes() for s in some)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(first, len(texts)), pa.array(list(map(len, sets)), pa.int64()),
+                        pa.array([next(digests) if len(s) else None for s in sets], pa.binary()), pa.array([next(bands) if len(s) else None for s in sets], pa.list_(pa.int64())),
+                    ],
+                    ["doc_id", "n_shingles", "digest", "bands"],
+                )
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
         sketch, "doc_id long, n_shingles long, digest binary, bands array<long>"
@@ -84,19 +79,17 @@ def set_rows(docs: DataFrame, size: int) -> DataFrame:
     """``node, shingles``: the whole set of each document as packed 64-bit hashes."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = WordHashes()
         for batch in batches:
-            # In slices, as packed sets take several times the room of the texts.
-            for k in range(0, batch.num_rows, 1000):
-                part = batch.slice(k, 1000)
-                sets = [shingle_set(cache.of(words_of(text.as_py())), size).tobytes() for text in part.column(1)]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], ["node", "shingles"])
+            # A few at a time, as packed sets take several times the room of the texts.
+            for first, texts in parts_of(batch.column(1)):
+                sets = [s.tobytes() for s in shingles(texts, size)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(texts)), pa.array(sets, pa.binary())], ["node", "shingles"])
 
     return docs.mapInArrow(pack, "node long, shingles binary")
 
 
 def linked_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` whose full sets reach the similarity."""
+    """The settled pairs ``(a, b)`` whose full sets reach the similarity. The set of an ``a`` with very many pairs goes to several tasks."""
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -113,7 +106,8 @@ def linked_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(confirm, "a long, b long")
+    met = spread_join(pairs, left, "a", "inner", row_id="b", hot=hot_in(pairs, "a"))
+    return met.join(right, "b").select("a", "b", "left", "right").mapInArrow(confirm, "a long, b long")
 
 
 def block_links(percent: int):
@@ -183,14 +177,15 @@ def near_duplicates(
     all ids of a group of equal sets are null, the component is null and the rows are kept. Other
     columns are ignored. Empty tables give no rows.
     """
-    ship_package(docs.sparkSession)
+    spark = docs.sparkSession
+    ship_package(spark)
     m = bands_needed(percent / 100, half, miss)
     sketch = settled(sketches(docs, size, m, half, id_col, text_col), "sketches")
-    nodes = sketch.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands"))
+    nodes = sketch.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands"), F.count(F.lit(1)).alias("n"))
     nodes = settled(nodes, "nodes")
     bands = nodes.where("node is not null").select("node", F.posexplode("bands").alias("slot", "band"))
-    common = bands.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band")
-    bands = settled(bands.join(common, "band"), "bands")
+    common = settled(bands.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "common-bands")
+    bands = settled(spread_join(bands, common.select("band"), "band", "inner", row_id="node", hot=hot_among(common, "band")), "bands")
     tables = (
         bands.groupBy("node")
         .agg(F.collect_list(F.when(F.col("slot") < m, F.col("band"))).alias("left"), F.collect_list(F.when(F.col("slot") >= m, F.col("band"))).alias("right"))
@@ -198,38 +193,49 @@ def near_duplicates(
         .select("node", "left", F.explode("right").alias("right"))
         .select("node", F.xxhash64("left", "right").alias("table"))
     )
-    heads = tables.groupBy("table").agg(F.min("node").alias("head"), F.max("node").alias("tail")).where("head < tail").select("table", "head")
-    tables = settled(tables.join(heads, "table"), "tables")
+    heads = tables.groupBy("table").agg(F.min("node").alias("head"), F.max("node").alias("tail"), F.count(F.lit(1)).alias("n"))
+    heads = settled(heads.where("head < tail").select("table", "head", "n"), "heads")
+    hot_tables = hot_among(heads, "table")
+    tables = settled(spread_join(tables, heads.select("table", "head"), "table", "inner", row_id="node", hot=hot_tables), "tables")
+    release(spark, common, heads)
+    hot_heads = hot_in(tables, "head")
     # Full sets of the nodes that meet another one in some table.
     wanted = tables.select("node").distinct()
     texts = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text"))
-    sets = settled(set_rows(texts.join(wanted, "node", "left_semi").select("node", "text"), size).distinct(), "sets")
+    # Rows that repeat an id and its text are dropped before the sets are made, which are larger.
+    sets = settled(set_rows(texts.join(wanted, "node", "left_semi").select("node", "text").distinct(), size), "sets")
 
     def of_components(links: DataFrame) -> DataFrame:
         return components(links.select("a", "b"))
 
-    first = tables.where("node <> head").groupBy(F.col("node").alias("b")).agg(F.min("head").alias("a")).select("a", "b")
+    first = settled(tables.where("node <> head").groupBy(F.col("node").alias("b")).agg(F.min("head").alias("a")).select("a", "b"), "pairs")
     named = of_components(linked_pairs(first, sets, percent))
     for step in ("heads", "blocks"):
         placed = tables.join(named, "node", "left").withColumn("component", F.coalesce("component", "node"))
         if step == "heads":
             at_head = named.select(F.col("node").alias("head"), F.col("component").alias("at_head"))
-            apart = placed.join(at_head, "head", "left").where(F.col("component") != F.coalesce("at_head", "head"))
-            more = linked_pairs(apart.select(F.col("head").alias("a"), F.col("node").alias("b")).distinct(), sets, percent)
+            apart = spread_join(placed, at_head, "head", "left", row_id="node", hot=hot_heads).where(F.col("component") != F.coalesce("at_head", "head"))
+            more = linked_pairs(settled(apart.select(F.col("head").alias("a"), F.col("node").alias("b")).distinct(), "pairs"), sets, percent)
         else:
             open_tables = placed.groupBy("table").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("table")
-            open_nodes = settled(placed.join(open_tables, "table", "left_semi").select("node", "component").distinct(), "open")
+            open_nodes = spread_join(placed, open_tables, "table", "left_semi", row_id="node", hot=hot_tables)
+            open_nodes = settled(open_nodes.select("node", "component").distinct(), "open")
             more = _open_links(open_nodes, bands.where(F.col("slot") < m), sets, percent)
         joined = named.select("node", "component")
         more = settled(more, "links")
-        edges = more.join(joined.withColumnsRenamed({"node": "a", "component": "ca"}), "a", "left").join(joined.withColumnsRenamed({"node": "b", "component": "cb"}), "b", "left")
+        edges = more.join(joined.withColumnsRenamed({"node": "b", "component": "cb"}), "b", "left")
+        edges = spread_join(edges, joined.withColumnsRenamed({"node": "a", "component": "ca"}), "a", "left", row_id="b", hot=hot_in(more, "a"))
         merged = of_components(edges.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
         above = merged.select(F.col("node").alias("component"), F.col("component").alias("above"))
-        kept_names = named.join(above, "component", "left").select("node", F.coalesce("above", "component").alias("component"))
+        kept_names = spread_join(named, above, "component", "left", row_id="node", hot=hot_in(named, "component")).select("node", F.coalesce("above", "component").alias("component"))
         fresh = merged.join(named, "node", "left_anti").select("node", "component")
-        named = settled(kept_names.union(fresh), "named")
+        now = settled(kept_names.union(fresh), "named")
+        release(spark, named, merged, more)
+        named = now
+    release(spark, tables, bands, sets)
     labelled = nodes.select("digest", "node").join(named, "node", "left").select("digest", F.coalesce("component", "node").alias("named"))
-    result = sketch.select("doc_id", "n_shingles", "digest").join(labelled, "digest", "left")
+    rows = sketch.select("doc_id", "n_shingles", "digest")
+    result = spread_join(rows, labelled, "digest", "left", row_id="doc_id", hot=hot_among(nodes, "digest"))
     component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("named"))
     return result.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
@@ -238,7 +244,8 @@ def _open_links(open_nodes: DataFrame, left_bands: DataFrame, sets: DataFrame, p
     members = left_bands.join(open_nodes, "node").select("band", "node", "component")
     sized = members.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    dealt = members.join(sized.select("band", blocks.alias("blocks")), "band").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    sized = settled(sized, "open-bands")
+    dealt = spread_join(members, sized.select("band", blocks.alias("blocks")), "band", "inner", row_id="node", hot=hot_among(sized, "band")).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     met = met.select("band", "node", "component", "block", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"))
     return met.join(sets, "node").groupBy("band", "x", "y").applyInArrow(block_links(percent), "a long, b long")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from stratalith.llm import decontaminate
 
 
 def shingles(text):
-    words = decontaminate.words_of(text)
+    words = re.findall(r"[a-z0-9\x80-\U0010ffff]+", (text or "").lower())
     return {tuple(words[k : k + 5]) for k in range(len(words) - 4)}
 
 
@@ -81,8 +82,23 @@ def test_empty_tables(spark):
     assert decontaminate.without_leaks(some, items).count() == 0
 
 
-def test_block_minima_do_not_depend_on_the_step(monkeypatch):
-    data = np.random.default_rng(1).integers(0, 2**63, 1000).astype(np.uint64)
-    whole = decontaminate.block_minima(data, 7, 16)
-    monkeypatch.setattr(decontaminate, "STEP", 64)
-    assert (decontaminate.block_minima(data, 7, 16) == whole).all()
+def test_items_in_blocks_leave_the_same_documents(spark, monkeypatch):
+    docs, items = tables(3)
+    d = spark.createDataFrame(docs, "doc_id long, text string").withColumn("n", F.lit(1))
+    i = spark.createDataFrame(items, "item_id long, text string")
+    whole = result(decontaminate.without_leaks(d, i))
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 8000)
+    assert result(decontaminate.without_leaks(d, i)) == whole and 0 < len(whole) < len(docs)
+
+
+def test_many_items_alike_and_a_very_long_document(spark):
+    """Copies of an item are one set, each of which is reported; the passage lies in the second million bytes."""
+    rng = random.Random(5)
+    passage = " ".join(f"p{rng.randrange(900)}" for _ in range(40))
+    long = " ".join(f"w{rng.randrange(50_000)}" for _ in range(200_000))
+    docs = [(1, long + " " + passage.upper() + ". " + long), (2, long), (3, "x" * 1_500_000 + " " + passage)]
+    items = [(k, passage) for k in range(300)] + [(900, "never " * 3 + "seen at all anywhere")]
+    d, i = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.leaks(d, i).collect()
+    assert sorted((r.doc_id, r.item_id) for r in found) == sorted((x, k) for x in (1, 3) for k in range(300))
+    assert [r.doc_id for r in decontaminate.without_leaks(d, i).collect()] == [2]
