@@ -17,7 +17,7 @@ import sys
 import unicodedata
 from array import array
 from collections.abc import Iterator
-from heapq import heapify, heappop, heappush
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +30,7 @@ from stratalith.llm.encoding import byte_symbols
 from stratalith.llm.token_counts import PATTERN
 
 # Characters of the texts that are encoded together.
-BLOCK_CHARS = 1 << 21
+BLOCK_CHARS = 1 << 20
 _BITS = 20
 
 
@@ -51,18 +51,20 @@ class PairIndexEncoder:
         spelled = byte_symbols()
         if missing := [x for x in spelled if x not in vocabulary or x + suffix not in vocabulary]:
             raise ValueError(f"symbols without an entry: {missing[:5]}")
-        self.inner, self.last = [vocabulary[x] for x in spelled], [vocabulary[x + suffix] for x in spelled]
-        # A pair of symbols to its rank and the symbol that it becomes, in one number; and back by rank.
-        self.pairs, self.merges, needed = {}, [], {}
+        self.inner, self.last = (np.array([vocabulary[x + end] for x in spelled], np.int64) for end in ("", suffix))
+        # Pairs of symbols in one number, ascending, with their ranks; and by rank the pair and the symbol that it becomes.
+        pairs, self.merges, needed = {}, [], {}
         for rank, pair in enumerate(bpe["merges"]):
             a, b = pair.split(" ") if isinstance(pair, str) else pair
             left, right, made = vocabulary[a], vocabulary[b], vocabulary[a + b]
             needed.setdefault(left, rank)
             needed.setdefault(right, rank)
-            self.pairs[(left << _BITS) | right] = (rank << _BITS) | made
+            pairs[(left << _BITS) | right] = rank
             self.merges.append((left, right, made))
         if any(needed.get(made, rank) < rank for rank, (_, _, made) in enumerate(self.merges)):
             raise ValueError("a merge makes a symbol that an earlier merge needs")
+        self.keys = np.array(sorted(pairs), np.int64)
+        self.rank_of = np.array([pairs[x] for x in sorted(pairs)], np.int64)
         added = {x["content"]: x["id"] for x in model.get("added_tokens", [])}
         if any(regex.search(r"\s", x["content"]) or x.get("lstrip") or x.get("rstrip") or x.get("single_word") or x.get("normalized") for x in model.get("added_tokens", [])):
             raise ValueError("only literal added tokens without white space are known")
@@ -83,83 +85,114 @@ class PairIndexEncoder:
             out.byteswap()
         return out.tobytes()
 
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The rank of each pair of symbols; -1 where it has no merge, or where one of them is none."""
+        wanted = (left << _BITS) | right
+        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+        return np.where(self.keys[at] == wanted, self.rank_of[at], -1)
+
     def merged(self, words: list[str]) -> list[bytes]:
         """The ids of each word, by one pair index over all of them."""
-        known, inner, last = self.pairs.get, self.inner, self.last
-        symbols: list[int] = []
-        ends = []
-        for word in words:
-            data = word.encode()
-            symbols += [inner[x] for x in data]
-            symbols[-1] = last[data[-1]]
-            # A place between words: its symbol is in no pair.
-            symbols.append(-1)
-            ends.append(len(symbols) - 1)
-        n = len(symbols)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        index: dict[int, list[int]] = {}
-        for k in range(n - 1):
-            if symbols[k] >= 0 <= symbols[k + 1] and (found := known((symbols[k] << _BITS) | symbols[k + 1])) is not None:
-                index.setdefault(found >> _BITS, []).append(k)
-        active = list(index)
-        heapify(active)
+        if not words:
+            return []
+        data = [x.encode() for x in words]
+        ends = np.cumsum(np.fromiter(map(len, data), np.int64, len(data)))
+        places = np.frombuffer(b"".join(data), np.uint8)
+        n = len(places)
+        # Place n stands for the end of every word; its symbol is in no pair.
+        symbols = np.append(self.inner[places], -1)
+        symbols[ends - 1] = self.last[places[ends - 1]]
+        after, before = np.arange(1, n + 2), np.arange(-1, n)
+        after[ends - 1] = after[n] = n
+        before[0], before[ends[:-1]] = n, n
+        index: dict[int, list[np.ndarray]] = {}
+        active: list[int] = []
+
+        def note(at: np.ndarray) -> None:
+            """Add places to the lists of the pairs that stand there now."""
+            ranks = self._ranks(symbols[at], symbols[after[at]])
+            some = np.flatnonzero(ranks >= 0)
+            if not len(some):
+                return
+            some = some[np.argsort(ranks[some], kind="stable")]
+            at, ranks = at[some], ranks[some]
+            first = np.flatnonzero(np.diff(ranks, prepend=-1))
+            for rank, start, end in zip(ranks[first].tolist(), first.tolist(), [*first[1:].tolist(), len(at)]):
+                if rank in index:
+                    index[rank].append(at[start:end])
+                else:
+                    index[rank] = [at[start:end]]
+                    heappush(active, rank)
+
+        note(np.arange(n))
         while active:
             rank = heappop(active)
             left, right, made = self.merges[rank]
-            places = index.pop(rank)
+            lists = index.pop(rank)
+            at = lists[0] if len(lists) == 1 else np.concatenate(lists)
+            gone = after[at]
+            there = (symbols[at] == left) & (symbols[gone] == right)
+            at = at[there]
             if left == right:
-                # Only here may places overlap; the first of a run comes first.
-                places.sort()
-            for k in places:
-                gone = after[k]
-                if symbols[k] != left or symbols[gone] != right:
-                    continue
-                symbols[k], symbols[gone] = made, -2
-                after[k] = follow = after[gone]
-                before[follow] = k
-                if symbols[follow] >= 0 and (found := known((made << _BITS) | symbols[follow])) is not None:
-                    if (new := found >> _BITS) in index:
-                        index[new].append(k)
-                    else:
-                        index[new] = [k]
-                        heappush(active, new)
-                previous = before[k]
-                if previous >= 0 and symbols[previous] >= 0 and (found := known((symbols[previous] << _BITS) | made)) is not None:
-                    if (new := found >> _BITS) in index:
-                        index[new].append(previous)
-                    else:
-                        index[new] = [previous]
-                        heappush(active, new)
-        flat = np.array(symbols, np.int64)
-        left = np.concatenate([[0], np.cumsum(flat >= 0)])
-        ids = flat[flat >= 0].astype("<u4").tobytes()
-        bounds = (4 * left[np.array([0, *ends])]).tolist()
+                at = self._apart(np.unique(at), after)
+                gone = after[at]
+            else:
+                gone = gone[there]
+            if not len(at):
+                continue
+            symbols[at], symbols[gone] = made, -2
+            follow = after[gone]
+            after[at], before[follow] = follow, at
+            note(np.concatenate([at, before[at]]))
+        kept = symbols[:n] >= 0
+        ids = symbols[:n][kept].astype("<u4").tobytes()
+        bounds = [0, *(4 * np.cumsum(kept)[ends - 1]).tolist()]
         return [ids[a:b] for a, b in zip(bounds, bounds[1:])]
 
-    def words_of(self, chunk: str) -> list[str | bytes]:
-        """The words of a chunk without blanks, normalised; special tokens come as their ids."""
-        if self.special and not self.starts.isdisjoint(chunk):
-            out: list[str | bytes] = []
-            for part in self.special.split(chunk):
-                out += [self.added[part]] if part in self.added else self._plain(part)
-            return out
-        return self._plain(chunk)
-
-    def _plain(self, text: str) -> list[str]:
+    @staticmethod
+    def _apart(at: np.ndarray, after: np.ndarray) -> np.ndarray:
+        """Of places of a pair of equal symbols those that do not overlap, the first of a run first."""
+        out, gone = [], -1
+        for k, follow in zip(at.tolist(), after[at].tolist()):
+            if k != gone:
+                out.append(k)
+                gone = follow
+        return np.array(out, np.int64)
+
+    def words_of(self, text: str) -> list[str]:
+        """The words of a text without special tokens and blanks."""
         if text.isascii():
             text = text.lower()
         else:
-            # Letter by letter: the tokenizer knows no final sigma.
-            text = "".join([x.lower() for x in unicodedata.normalize("NFC", text)])
+            text = unicodedata.normalize("NFC", text)
+            # Letter by letter where it matters: the tokenizer knows no final sigma.
+            text = text.lower() if "Σ" not in text else "".join([x.lower() for x in text])
         return [text] if text.isalpha() else self.split(text)
 
     def learn(self, chunks: set[str]) -> None:
         """Encode chunks that are not remembered; their new words share one pair index."""
-        parts = {chunk: self.words_of(chunk) for chunk in chunks}
-        new = list({x for words in parts.values() for x in words if isinstance(x, str)} - self.words.keys())
-        self.words.update(zip(new, self.merged(new)))
-        for chunk, words in parts.items():
-            self.chunks[chunk] = b"".join([x if isinstance(x, bytes) else self.words[x] for x in words])
+        starts = tuple(self.starts)
+        single: dict[str, str] = {}
+        several: dict[str, list[str]] = {}
+        special: dict[str, list[list[str] | bytes]] = {}
+        for chunk in chunks:
+            if any([x in chunk for x in starts]):
+                special[chunk] = [self.added[x] if x in self.added else self.words_of(x) for x in self.special.split(chunk)]
+            elif chunk.isalpha() and chunk.isascii():
+                single[chunk] = chunk.lower()
+            else:
+                several[chunk] = self.words_of(chunk)
+        new = set(single.values()).union(*several.values(), *[x for parts in special.values() for x in parts if isinstance(x, list)])
+        new.difference_update(self.words)
+        listed = list(new)
+        words, held = self.words, self.chunks
+        words.update(zip(listed, self.merged(listed)))
+        for chunk, word in single.items():
+            held[chunk] = words[word]
+        for chunk, parts in several.items():
+            held[chunk] = words[parts[0]] if len(parts) == 1 else b"".join([words[x] for x in parts])
+        for chunk, mixed in special.items():
+            held[chunk] = b"".join([x if isinstance(x, bytes) else b"".join([words[w] for w in x]) for x in mixed])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers. White space belongs to no token and separates words."""
@@ -189,24 +222,26 @@ def encoder_for(description: str) -> PairIndexEncoder:
     return _encoders[key]
 
 
-def _blocks(batch: pa.RecordBatch, sizes: list[int], limit: int) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch of about ``limit`` together, of one row at least."""
-    first = held = 0
-    for k, size in enumerate(sizes):
-        if k > first and held + size > limit:
-            yield batch.slice(first, k - first)
-            first, held = k, 0
-        held += size
-    if len(sizes) > first:
-        yield batch.slice(first)
+def _blocks(column: pa.Array, limit: int) -> Iterator[tuple[int, list]]:
+    """The values of a column a few at a time, about ``limit`` long together, with the place of the first."""
+    first, held, size = 0, [], 0
+    for k, value in enumerate(column):
+        held.append(value.as_py())
+        size += len(held[-1] or "")
+        if size >= limit:
+            yield first, held
+            first, held, size = k + 1, [], 0
+    if held:
+        yield first, held
 
 
-def encoded(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encoded(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", decode: bool = False) -> DataFrame:
     """``doc_id, n_tokens, ids`` for every row of ``docs``; ids are packed as little-endian unsigned 32-bit numbers.
 
     ``tokenizer`` is the path of a description with white-space-free words (lower case, end-of-word
     suffix), read on the driver and sent to the tasks. Ids are those of the library without
     padding, truncation or added special tokens; strings of special tokens inside a text become their ids.
+    With ``decode`` the text of the ids follows as ``decoded``, see :func:`decoded`.
     Null texts count as empty: no ids. Texts are encoded whole, however long. Rows are not combined or
     dropped, other columns are ignored; an empty table gives no rows. Nothing is shuffled.
     """
@@ -218,14 +253,15 @@ def encoded(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: s
         encoder = None
         for batch in batches:
             encoder = encoder or encoder_for(sent.value)
-            texts = [x or "" for x in batch.column(1).to_pylist()]
-            at = 0
-            for block in _blocks(batch, list(map(len, texts)), BLOCK_CHARS):
-                ids = encoder.encode(texts[at : at + block.num_rows])
-                at += block.num_rows
-                yield pa.RecordBatch.from_arrays([block.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())], ["doc_id", "n_tokens", "ids"])
+            for first, texts in _blocks(batch.column(1), BLOCK_CHARS):
+                ids = encoder.encode([x or "" for x in texts])
+                columns = [batch.column(0).slice(first, len(ids)), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())]
+                if decode:
+                    columns.append(pa.array([encoder.decode(x) for x in ids], pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids", "decoded"][: len(columns)])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(encode, "doc_id long, n_tokens long, ids binary")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    return rows.mapInArrow(encode, "doc_id long, n_tokens long, ids binary" + ", decoded string" * decode)
 
 
 def decoded(rows: DataFrame, tokenizer: str, ids_col: str = "ids") -> DataFrame:
@@ -243,9 +279,9 @@ def decoded(rows: DataFrame, tokenizer: str, ids_col: str = "ids") -> DataFrame:
         encoder = None
         for batch in batches:
             encoder = encoder or encoder_for(sent.value)
-            ids = batch.column(batch.schema.get_field_index(ids_col))
-            for block in _blocks(batch, [len(x.as_py() or b"") for x in ids], 4 * BLOCK_CHARS):
-                texts = [None if x is None else encoder.decode(x) for x in block.column(block.schema.get_field_index(ids_col)).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*block.columns, pa.array(texts, pa.string())], [*block.schema.names, "decoded"])
+            for first, ids in _blocks(batch.column(batch.schema.get_field_index(ids_col)), 4 * BLOCK_CHARS):
+                texts = pa.array([None if x is None else encoder.decode(x) for x in ids], pa.string())
+                block = batch.slice(first, len(ids))
+                yield pa.RecordBatch.from_arrays([*block.columns, texts], [*block.schema.names, "decoded"])
 
     return rows.mapInArrow(decode, StructType([*rows.schema.fields, StructField("decoded", StringType())]))

@@ -13,7 +13,7 @@ from stratalith.llm.language import languages, prototypes
 from stratalith.llm.line_quality import line_quality
 from stratalith.llm.near_dedup import near_duplicates
 from stratalith.llm.packing import packed
-from stratalith.llm.pair_index import decoded, encoded
+from stratalith.llm.pair_index import encoded
 from stratalith.llm.pii import personal_data
 from stratalith.llm.suffix_dedup import repeated_bytes
 from stratalith.llm.token_alignment import aligned
@@ -77,8 +77,7 @@ def op10_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op11_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tokenizer = _tokenizer("word_bpe_49k.json")
-    rows = decoded(encoded(_table(spark, sf_dir, "documents"), tokenizer), tokenizer)
+    rows = encoded(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), decode=True)
     return rows.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 

@@ -55,8 +55,8 @@ def test_ids_and_texts_are_those_of_the_library(docs, texts):
     for doc_id, text in texts:
         ids = library.encode(text, add_special_tokens=False).ids
         expected.append((doc_id, len(ids), struct.pack(f"<{len(ids)}I", *ids), library.decode(ids, skip_special_tokens=False)))
-    found = decoded(encoded(docs, WORDS), WORDS)
-    assert sorted(((r[0], r[1], bytes(r[2]), r[3]) for r in found.collect()), key=repr) == sorted(expected, key=repr)
+    for found in (decoded(encoded(docs, WORDS), WORDS), encoded(docs, WORDS, decode=True)):
+        assert sorted(((r[0], r[1], bytes(r[2]), r[3]) for r in found.collect()), key=repr) == sorted(expected, key=repr)
 
 
 @pytest.fixture(scope="module")
