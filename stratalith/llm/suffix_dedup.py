@@ -18,7 +18,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from stratalith.llm.common import MIX, U64, mixed, settled, ship_package
+from stratalith.llm.common import MIX, U64, hot_among, mixed, release, settled, ship_package
+from stratalith.operators.joins import spread_join
 
 WINDOW = 100
 GRAM = 32
@@ -374,15 +375,18 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     text = F.coalesce(F.col(text_col), F.lit(""))
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("ord"), text.alias("text"))
     base = base.withColumns({"d64": F.xxhash64("text"), "sha": F.sha2(F.col("text").cast("binary"), 256), "n_bytes": F.octet_length("text").cast("long")})
-    firsts = base.groupBy("sha").agg(F.min("ord").alias("first"), F.first("d64").alias("d64"))
+    firsts = settled(base.groupBy("sha").agg(F.min("ord").alias("first"), F.first("d64").alias("d64"), F.count(F.lit(1)).alias("n")), "texts")
     grams = settled(base.where(f"n_bytes >= {WINDOW}").select("text", "d64").mapInArrow(_grams(SPAN), "gram long, d64 long, buffer long, twice boolean"), "grams")
     # Copies of one text agree in text and buffer and count once; a text may also repeat a gram in another of its buffers.
     often = grams.groupBy("gram").agg(
         F.min("d64").alias("low"), F.max("d64").alias("high"), F.min("buffer").alias("begin"), F.max("buffer").alias("end"), F.max("twice").alias("twice"), F.count(F.lit(1)).alias("n")
     )
-    often = often.where("low < high or begin < end or twice").select("gram", F.ceil(F.col("n") / HOT).cast("int").alias("splits"))
-    listed = grams.select("gram", "d64").join(often, "gram").groupBy("d64").agg(F.collect_set(F.struct("gram", "splits")).alias("grams"))
+    often = settled(often.where("low < high or begin < end or twice").select("gram", "n", F.ceil(F.col("n") / HOT).cast("int").alias("splits")), "often")
+    # A gram that very many texts hold meets its row in several tasks.
+    met = spread_join(grams.select("gram", "d64"), often.select("gram", "splits"), "gram", "inner", row_id="d64", hot=hot_among(often, "gram"))
+    listed = met.groupBy("d64").agg(F.collect_set(F.struct("gram", "splits")).alias("grams"))
     listed = settled(firsts.join(listed, "d64").select("d64", F.col("first").alias("ord"), "grams"), "listed")
+    release(spark, grams, often)
     total, split = listed.agg(F.sum(F.size("grams")), F.max(F.array_max(F.transform("grams", lambda g: g["splits"])))).first()
     shards = max(1, -(-(total or 0) * (WINDOW + 34) // SHARD_BYTES))
     texts = base.select("ord", "d64", "text")
@@ -402,7 +406,8 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     cut = texts.join(per_text, ["d64", "ord"])
     cut = cut.select("ord", "d64", "text", "marks").mapInArrow(_cut, "ord long, d64 long, n_removed long, n_spans long, kept_sha256 string, spans array<long>")
     cut = cut.dropDuplicates(["ord", "d64"])
-    narrow = base.select("doc_id", "ord", "d64", "sha", "n_bytes").join(firsts.select("sha", "first"), "sha").join(cut, ["ord", "d64"], "left")
+    narrow = base.select("doc_id", "ord", "d64", "sha", "n_bytes")
+    narrow = spread_join(narrow, firsts.select("sha", "first"), "sha", "inner", row_id="ord", hot=hot_among(firsts, "sha")).join(cut, ["ord", "d64"], "left")
     copy = (F.col("ord") > F.col("first")) & (F.col("n_bytes") >= WINDOW)
     empty = hashlib.sha256(b"").hexdigest()
     return narrow.select(
