@@ -24,7 +24,8 @@ import pyarrow.fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stratalith.llm.common import new_folder, ship_package
+from stratalith.llm.common import hot_among, new_folder, settled, ship_package
+from stratalith.operators.joins import spread_join
 
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 # Payloads below this are never replaced by a revisit.
@@ -134,12 +135,13 @@ def parse_record(data: bytes) -> tuple[dict[str, str], bytes]:
     return fields, rest[: int(fields["content-length"])]
 
 
-def records_in(data: bytes) -> Iterator[bytes]:
-    """The gzip members of a run of records, one by one."""
-    while data:
-        unpack = zlib.decompressobj(31)
-        yield unpack.decompress(data) + unpack.flush()
-        data = unpack.unused_data
+def record_at(data: memoryview, at: int, length: int) -> bytes:
+    """The gzip member of ``length`` bytes at a place of a run of records."""
+    unpack = zlib.decompressobj(31)
+    record = unpack.decompress(data[at : at + length]) + unpack.flush()
+    if not unpack.eof or unpack.unused_data:
+        raise ValueError("the index does not fit the records")
+    return record
 
 
 def _urn(page_id: int | None) -> str:
@@ -203,7 +205,8 @@ def write_packages(pages: DataFrame, folder: str | None = None, id_col: str = "p
     Among pages with equal payloads of at least LEAST_BYTES, the one with the largest id is the response
     and the others revisit it (rows that repeat that id are responses too); all others are responses.
     Null payloads are empty, null urls too. Pages without an id never are the response that others
-    refer to; where no page of a group has an id, all are responses.
+    refer to; where no page of a group has an id, all are responses. A payload is held whole by its task, however
+    long; a frequent one is spread over the packages. Other columns are ignored; an empty table gives no packages.
     """
     spark = pages.sparkSession
     ship_package(spark)
@@ -213,8 +216,11 @@ def write_packages(pages: DataFrame, folder: str | None = None, id_col: str = "p
     is_long = F.octet_length("html") >= LEAST_BYTES
     long = rows.where(is_long).withColumn("digest", F.sha1(payload))
     # Only ids and digests are shuffled to find the groups, with partial aggregation; short pages are not joined at all.
-    chief = long.groupBy("digest").agg(F.max("page_id").alias("chief"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    told = long.join(chief, "digest", "left").drop("digest").union(rows.where(~is_long).withColumn("chief", F.lit(None).cast("long")))
+    chief = settled(long.groupBy("digest").agg(F.max("page_id").alias("chief"), F.count(F.lit(1)).alias("n")).where("n > 1"), "chiefs")
+    # Pages of a frequent payload are dealt to all tasks by id and address, so none of them gets them all.
+    placed = long.withColumn("__row", F.xxhash64("page_id", "url"))
+    told = spread_join(placed, chief.select("digest", "chief"), "digest", "left", row_id="__row", hot=hot_among(chief, "digest")).drop("digest", "__row")
+    told = told.union(rows.where(~is_long).withColumn("chief", F.lit(None).cast("long")))
     refers = F.when(~F.col("page_id").eqNullSafe(F.col("chief")), F.col("chief"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,58 +241,71 @@ def read_packages(spark: SparkSession, folder: str, names: list[str]) -> DataFra
     """``page_id, url, payload_bytes, payload_digest, record_type, refers_to`` of every record.
 
     First the indexes are read and cut to runs of about RUN_BYTES, so a large package is read by many
-    tasks; then each run is one range read.
+    tasks; then each run is one range read, in which the lengths of the index tell where each record lies. A record whose
+    bytes do not fit its digest, length or place fails the job. No packages give no rows.
     """
     ship_package(spark)
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
             for name in batch.column(0).to_pylist():
                 package = Package(f"{folder}/{name}")
                 base = place_of(package.read, package.members[DATA])
-                first = last = None
+                first = last = 0
+                lengths: list[int] = []
                 for line in package.index():
-                    if first is not None and (line["offset"] != last or last - first >= RUN_BYTES):
-                        out.append((name, base + first, last - first))
-                        first = None
-                    first = line["offset"] if first is None else first
+                    if lengths and (line["offset"] != last or last - first >= RUN_BYTES):
+                        yield _run(name, base + first, lengths)
+                        lengths = []
+                    first = first if lengths else line["offset"]
+                    lengths.append(line["length"])
                     last = line["offset"] + line["length"]
-                if first is not None:
-                    out.append((name, base + first, last - first))
-            columns = list(zip(*out)) or [[]] * 3
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, [pa.string(), pa.int64(), pa.int64()])], ["name", "offset", "length"])
+                if lengths:
+                    yield _run(name, base + first, lengths)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, offset, length in zip(*(batch.column(k).to_pylist() for k in range(3))):
+            for name, offset, lengths in zip(*(batch.column(k).to_pylist() for k in range(3))):
                 files, path = pa.fs.FileSystem.from_uri(f"{folder}/{name}")
                 with files.open_input_file(path) as file:
-                    data = file.read_at(length, offset)
-                out = []
-                for record in records_in(data):
-                    fields, block = parse_record(record)
-                    head, _, payload = block.partition(b"\r\n\r\n")
-                    digest = base64.b32decode(fields["warc-payload-digest"].removeprefix("sha1:")).hex()
-                    size = next(int(x[15:]) for x in head.decode().split("\r\n") if x.lower().startswith("content-length:"))
-                    kind = fields["warc-type"]
-                    if kind == "response" and (len(payload) != size or hashlib.sha1(payload).hexdigest() != digest):
-                        raise ValueError(f"record {fields['warc-record-id']} of {name} is damaged")
-                    refers = fields.get("warc-refers-to")
-                    out.append((_page(fields["warc-record-id"]), fields["warc-target-uri"], size, digest, kind, refers and _page(refers)))
-                columns = list(zip(*out)) or [[]] * 6
+                    data = memoryview(file.read_at(sum(lengths), offset))
+                out, at = [], 0
+                for length in lengths:
+                    out.append(_described(record_at(data, at, length), name))
+                    at += length
                 types = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64()]
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, types)], ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to"])
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), types)], ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to"])
 
     packages = spark.createDataFrame([(n,) for n in names], "name string").repartition(max(1, len(names)), "name")
-    found = packages.mapInArrow(runs, "name string, offset long, length long")
+    found = packages.mapInArrow(runs, "name string, offset long, lengths array<long>")
     width = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")), len(names))
     return found.repartition(width, "name", "offset").mapInArrow(
         read, "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
     )
 
 
+def _run(name: str, offset: int, lengths: list[int]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([name]), pa.array([offset], pa.int64()), pa.array([lengths], pa.list_(pa.int64()))], ["name", "offset", "lengths"])
+
+
+def _described(record: bytes, name: str) -> tuple:
+    """A row of :func:`read_packages` from a record, whose payload is tested."""
+    fields, block = parse_record(record)
+    head, _, payload = block.partition(b"\r\n\r\n")
+    digest = base64.b32decode(fields["warc-payload-digest"].removeprefix("sha1:")).hex()
+    size = next(int(x[15:]) for x in head.decode().split("\r\n") if x.lower().startswith("content-length:"))
+    kind = fields["warc-type"]
+    if kind == "response" and (len(payload) != size or hashlib.sha1(payload).hexdigest() != digest):
+        raise ValueError(f"record {fields['warc-record-id']} of {name} is damaged")
+    refers = fields.get("warc-refers-to")
+    return _page(fields["warc-record-id"]), fields["warc-target-uri"], size, digest, kind, refers and _page(refers)
+
+
 def archived(pages: DataFrame, **columns: str) -> DataFrame:
-    """Write ``pages`` to packages and read all records back."""
+    """Write ``pages`` to packages and read all records back: ``page_id, url, payload_bytes, payload_digest, record_type, refers_to``.
+
+    A row for every row of ``pages``, repeated ones too; what is a response and what a revisit tells :func:`write_packages`. Null payloads
+    are empty ones, null urls come back empty. Other columns are ignored; an empty table gives no rows.
+    """
     folder, names = write_packages(pages, **columns)
     return read_packages(pages.sparkSession, folder, names)

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import io
+import time
 import zipfile
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -39,6 +41,46 @@ def test_round_trip(spark, monkeypatch):
     assert sum(len(p.read(warc_zip.INDEX).splitlines()) for p in packages) == len(ROWS)
 
 
+def test_a_payload_in_a_third_of_the_pages(spark, monkeypatch):
+    """Its pages are spread over the tasks and packages; each but one is a revisit. A payload of more than a million bytes is kept whole."""
+    rows = [(k, f"http://h/{k}", LONG if k % 3 == 0 else f"page {k} " * 120) for k in range(1200)] + [(5000, "http://h/long", "é" * 1_200_000)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        folder, names = warc_zip.write_packages(df)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    found = warc_zip.read_packages(spark, folder, names).drop("url").collect()
+    assert sorted((tuple(r) for r in found), key=repr) == expected(rows)
+    revisits = [r for r in found if r.record_type == "revisit"]
+    assert len(revisits) == 399 and {r.refers_to for r in revisits} == {1197}
+    each = [sum(b"revisit" in warc_zip.record_at(memoryview(data), x["offset"], x["length"]) for x in package.index())
+            for package in (warc_zip.Package(f"{folder}/{n}") for n in names)
+            for data in [package.read(package.members[warc_zip.DATA].size, warc_zip.place_of(package.read, package.members[warc_zip.DATA]))]]
+    assert max(each) < 300
+
+
+def test_records_are_cut_by_the_index_in_linear_time():
+    """Each record is one slice of its length; what follows is not copied for it."""
+    def seconds(n):
+        pieces = [zlib.compress(b"record %d " % k * 20, 6, 31) for k in range(n)]
+        data, at = memoryview(b"".join(pieces)), 0
+        began = time.process_time()
+        for piece in pieces:
+            warc_zip.record_at(data, at, len(piece))
+            at += len(piece)
+        return time.process_time() - began
+
+    assert seconds(40_000) < 12 * seconds(5_000) + 0.2
+    with pytest.raises(ValueError, match="index"):
+        whole = zlib.compress(b"x" * 100, 6, 31)
+        warc_zip.record_at(memoryview(whole + whole), 0, 2 * len(whole))
+
+
 def test_no_pages(spark):
     assert warc_zip.archived(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
