@@ -8,26 +8,37 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-BITS = 6
-SAMPLE_ROWS = 4096
-
-
-def cut_points(
-    df: DataFrame, cols: Sequence[str], bits: int = BITS, sample_rows: int = SAMPLE_ROWS, seed: int = 17
-) -> dict[str, list[Any]]:
-    """Up to ``2**bits - 1`` ascending values per column that split it into equal shares.
+from stratalith.operators.joins import partitions_of
 
-    They come from a uniform sample of fixed size, drawn in one pass over just these
-    columns. They place rows in files and decide nothing else.
+BITS = 6
+# Cut points are this exact: each lies within one part in so many of its place.
+EXACT = 10_000
+# Bytes of a text that are compared with cut points.
+PREFIX = 7
+
+
+def placing(df: DataFrame, column: str) -> Column:
+    """A number that rises with the column: times as microseconds, texts by their first bytes, booleans as 0 and 1."""
+    kind, c = df.schema[column].dataType, F.col(f"`{column}`")
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        first = F.rpad(F.substring(c.cast("binary"), 1, PREFIX), F.lit(PREFIX), F.lit(b"\0"))
+        return F.conv(F.hex(first), 16, 10).cast("long")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(c)
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(c.cast("timestamp"))
+    return c.cast("int") if isinstance(kind, T.BooleanType) else c
+
+
+def cut_points(df: DataFrame, cols: Sequence[str], bits: int = BITS, exact: int = EXACT) -> dict[str, list[Any]]:
+    """Up to ``2**bits - 1`` ascending numbers per column that split its rows into equal shares, on the scale of :func:`placing`.
+
+    They come from mergeable quantile sketches of all columns, in one pass over just these: every task sends a sketch and the driver gets
+    the cut points, however many rows there are. They place rows in files and decide nothing else.
     """
-    drawn = df.select(*cols).orderBy(F.rand(seed)).limit(sample_rows).collect()
-    cuts: dict[str, list[Any]] = {}
-    for i, c in enumerate(cols):
-        values = sorted(row[i] for row in drawn if row[i] is not None)
-        step = len(values) / 2**bits
-        picked = [values[int(step * k)] for k in range(1, 2**bits)] if values else []
-        cuts[c] = sorted(set(picked))
-    return cuts
+    shares = F.array(*[F.lit(k / 2**bits) for k in range(1, 2**bits)])
+    found = df.agg(*[F.percentile_approx(placing(df, c), shares, exact).alias(c) for c in cols]).first()
+    return {c: sorted(set(found[c] or [])) for c in cols}
 
 
 def with_buckets(df: DataFrame, cuts: dict[str, Sequence[Any]], bits: int = BITS) -> tuple[DataFrame, list[str]]:
@@ -36,26 +47,16 @@ def with_buckets(df: DataFrame, cuts: dict[str, Sequence[Any]], bits: int = BITS
     A binary search with one projection per halving, for all columns together. Each step
     looks one element up in a constant array, so the generated code stays small.
     """
-    types = {f.name: f.dataType for f in df.schema.fields}
-    points = {c: F.lit(list(v)).cast(T.ArrayType(types[c])) if v else None for c, v in cuts.items()}
-    names = {c: f"_bucket_{i}" for i, c in enumerate(cuts)}
-    df = df.withColumns({n: F.lit(0) for n in names.values()})
+    points = {c: F.lit(list(v)) if v else None for c, v in cuts.items()}
+    names, places = {c: f"_bucket_{i}" for i, c in enumerate(cuts)}, {c: f"_place_{i}" for i, c in enumerate(cuts)}
+    df = df.withColumns({**{n: F.lit(0) for n in names.values()}, **{places[c]: placing(df, c) for c in cuts}})
     for step in (1 << k for k in reversed(range(bits))):
         # A look-up behind the last cut point gives NULL, which counts as not reached.
         df = df.withColumns({
-            n: F.col(n) + F.when(F.col(c) >= F.get(points[c], F.col(n) + (step - 1)), step).otherwise(0)
+            n: F.col(n) + F.when(F.col(places[c]) >= F.get(points[c], F.col(n) + (step - 1)), step).otherwise(0)
             for c, n in names.items() if points[c] is not None
         })
-    return df, list(names.values())
-
-
-def files_needed(df: DataFrame) -> int:
-    """How many files of the session's advisory partition size the rows fill, by the optimizer's estimate of their bytes."""
-    target = df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
-        df.sparkSession.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    )
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return max(1, math.ceil(size / target))
+    return df.drop(*places.values()), list(names.values())
 
 
 def z_address(buckets: Sequence[Column], bits: int = BITS) -> Column:
@@ -80,26 +81,27 @@ def cluster_by(
 ) -> DataFrame:
     """The same rows, range-partitioned and sorted along a Z-curve over ``cols``.
 
-    There are as many partitions as ``files``, by default what the bytes of the table fill, and so many
-    cut points per column that the curve has several cells for each.
+    There are as many partitions as ``files``. By default there are as many as the session shuffles into, of which adaptive execution
+    joins small ones up to its advisory size. The curve has several cells for each.
 
     ``within`` columns come first, for tables stored in partitions. The raw columns refine
     the order inside a Z-cell and the task number splits rows that agree on everything, so
     a value that holds a third of the table is spread over many files. The task number is
     the same when a lost task is run again, unlike a random or running number.
     """
-    files = files_needed(df) if files is None else files
-    bits = max(BITS, math.ceil(math.log2(files) / len(cols)) + 2) if bits is None else bits
+    parts = partitions_of(df) if files is None else files
+    bits = max(BITS, math.ceil(math.log2(parts) / len(cols)) + 2) if bits is None else bits
     if len(cols) == 1:
         keyed, curve = df, []
     else:
-        cuts = cuts or cut_points(df, cols, bits, max(SAMPLE_ROWS, 64 << bits))
+        cuts = cuts or cut_points(df, cols, bits)
         searched, buckets = with_buckets(df, {c: cuts[c] for c in cols}, bits)
         keyed = searched.withColumn("_z", z_address([F.col(n) for n in buckets], bits)).drop(*buckets)
         curve = ["_z"]
     keyed = keyed.withColumn("_task", F.spark_partition_id())
     order = [*within, *curve, *cols]
-    return keyed.repartitionByRange(files, *order, "_task").sortWithinPartitions(*order).drop("_z", "_task")
+    dealt = keyed.repartitionByRange(*([files] if files else []), *order, "_task")
+    return dealt.sortWithinPartitions(*order).drop("_z", "_task")
 
 
 def by_partition(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -81,8 +81,13 @@ def upsert(
 
 
 def _checked(source: DataFrame, names: Sequence[str]) -> DataFrame:
-    known = source.join(source_keys(source, names, True), names, "left_semi")
-    return known.unionByName(source.filter(any_null(names)))
+    """The source, dealt by key once; a key that it repeats fails the job."""
+    others = [c for c in source.columns if c not in names]
+    told = F.concat(F.lit("merge source repeats key "), F.to_json(F.struct(*names)))
+    known = source.dropna(subset=list(names)).groupBy(*names).agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(*others)).alias("_row") if others else F.lit(0).alias("_row"))
+    once = known.filter(F.when(F.col("_n") > 1, F.raise_error(told).cast("boolean")).otherwise(True))
+    kept = once.select(*[F.col(c) if c in names else F.col(f"_row.`{c}`").alias(c) for c in source.columns])
+    return kept.unionByName(source.filter(any_null(names)))
 
 
 def merge_columns(

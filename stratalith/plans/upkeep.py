@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, functions as F
 
-from stratalith.operators import versions
 from stratalith.operators.layout import cluster_by
 from stratalith.plans.gold import FACT_PARTITIONS
 from stratalith.plans.loads import Outcome, tracked
-from stratalith.sources.tables import Warehouse
+from stratalith.sources.files import stored
+from stratalith.sources.keyed import MissingTable
+from stratalith.sources.tables import BATCH, Store
 
 # The tables that are clustered, and by which columns.
 CLUSTERING: dict[tuple[str, str], tuple[str, ...]] = {
@@ -29,24 +30,21 @@ CLUSTERING: dict[tuple[str, str], tuple[str, ...]] = {
 }
 
 
-def _partitions(wh: Warehouse, layer: str, table: str) -> tuple[str, ...]:
-    if layer == wh.layout.bronze:
-        return ("rejected",)
+def _partitions(store: Store, layer: str, table: str) -> tuple[str, ...]:
+    if layer == store.layout.bronze:
+        return (BATCH, "rejected")
     return FACT_PARTITIONS if table == "fact_sales" else ()
 
 
-def _each(
-    wh: Warehouse, job: str, targets: Sequence[tuple[str, str]], on_error: str,
-    body: Callable[[str, str], Outcome],
-) -> dict[str, Outcome | Exception]:
-    """Run ``body`` per existing table. ``on_error`` is "log", to go on with the next one, or "raise"."""
+def _each(store: Store, job: str, targets: Sequence[tuple[str, str]], on_error: str, body: Callable[[str, str], Outcome]) -> dict[str, Outcome | Exception]:
+    """Run ``body`` per table. ``on_error`` is "log", to go on with the next one, or "raise"."""
     if on_error not in ("log", "raise"):
         raise ValueError(f"on_error is 'log' or 'raise', not {on_error!r}")
     done: dict[str, Outcome | Exception] = {}
     for layer, table in targets:
         name = f"{layer}.{table}"
         try:
-            done[name] = tracked(wh, layer, table, lambda _, at=(layer, table): body(*at), job=job)
+            done[name] = tracked(store, layer, table, lambda _, at=(layer, table): body(*at), job=job)
         except Exception as e:
             if on_error == "raise":
                 raise
@@ -54,53 +52,41 @@ def _each(
     return done
 
 
-def optimize(
-    wh: Warehouse, targets: Mapping[tuple[str, str], Sequence[str]] | None = None, on_error: str = "log"
-) -> dict[str, Outcome | Exception]:
-    """Cluster tables along several columns at once; their rows stay the same."""
+def optimize(store: Store, targets: Mapping[tuple[str, str], Sequence[str]] | None = None, on_error: str = "log") -> dict[str, Outcome | Exception]:
+    """Cluster tables along several columns at once; their rows stay the same.
+
+    The rows are copied aside and then written, clustered, in the place of the old ones, partition by partition. Keyed tables lie
+    in sorted buckets by their key, which merges rely on, and files of a watched folder are kept as they came; both are left so.
+    """
     targets = CLUSTERING if targets is None else targets
 
     def body(layer: str, table: str) -> Outcome:
-        cols, parts = targets[(layer, table)], _partitions(wh, layer, table)
-        within = ("load", *parts, "_version") if layer == wh.layout.gold else ("load", *parts)
-        rows = wh.rewrite(layer, table, lambda df: cluster_by(df, cols, within=within), parts)
-        return Outcome(rows, f"clustered by {', '.join(cols)}")
-
-    return _each(wh, "OPTIMIZE", list(targets), on_error, body)
-
-
-def vacuum(
-    wh: Warehouse,
-    targets: Sequence[tuple[str, str]] | None = None,
-    *,
-    now: Column | None = None,
-    on_error: str = "log",
-) -> dict[str, Outcome | Exception]:
-    """Drop rows that were superseded longer ago than the retention time.
-
-    What a rewrite replaced is deleted once the rewrite is committed. A table with fewer than two versions that old has nothing to drop and is not
-    rewritten; bronze rows are never superseded.
-    """
+        cols, parts = targets[(layer, table)], _partitions(store, layer, table)
+        if not store.exists(layer, table):
+            raise MissingTable(f"{layer}.{table} has no rows yet")
+        if store.is_keyed(layer, table):
+            return Outcome(0, f"kept in buckets by {store.keyed(table).key}")
+        rows = store.rows(layer, table)
+        if not set(parts) <= set(rows.columns):
+            return Outcome(0, "kept as delivered")
+        aside = stored(rows, "rows")
+        writer = cluster_by(aside, cols, within=parts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if parts else "static")
+        writer.partitionBy(*parts).parquet(store.path(layer, table))
+        return Outcome(aside.count(), f"clustered by {', '.join(cols)}")
+
+    return _each(store, "OPTIMIZE", list(targets), on_error, body)
+
+
+def vacuum(store: Store, targets: Sequence[tuple[str, str]] | None = None, *, now: Column | None = None, on_error: str = "log") -> dict[str, Outcome | Exception]:
+    """Drop what was replaced longer ago than the retention time; only keyed tables keep such rows. No row is read or written."""
     targets = list(CLUSTERING) if targets is None else targets
-    hours = wh.layout.retain_hours
+    hours = store.layout.retain_hours
     cutoff = (F.current_timestamp() if now is None else now) - F.expr(f"INTERVAL {hours} HOURS")
 
     def body(layer: str, table: str) -> Outcome:
-        rows = wh.rows(layer, table)
-        old = rows.filter(F.col("_commit_ts") <= cutoff).agg(F.count_distinct("_version")).first()[0]
-        if layer == wh.layout.bronze or old < 2:
-            return Outcome(0, f"retain {hours} hours: nothing to drop")
-        keyed = wh.is_keyed(layer, table)
-
-        def kept(df: DataFrame) -> DataFrame:
-            return versions.expire_keyed(df, wh.key(table), cutoff) if keyed else versions.expire_snapshots(df, cutoff)
-
-        return Outcome(wh.rewrite(layer, table, kept, _partitions(wh, layer, table)), f"retain {hours} hours: rewritten")
+        if not store.exists(layer, table):
+            raise MissingTable(f"{layer}.{table} has no rows yet")
+        gone = store.keyed(table).expire(cutoff) if store.is_keyed(layer, table) else 0
+        return Outcome(gone, f"retain {hours} hours: {gone} versions dropped" if gone else f"retain {hours} hours: nothing to drop")
 
-    done = _each(wh, "VACUUM", targets, on_error, body)
-    for layer, table in targets:
-        told = done.get(f"{layer}.{table}")
-        if isinstance(told, Outcome) and told.rows:
-            # Only now is the rewrite committed, and what it replaced can go.
-            wh.drop_old_generations(layer, table)
-    return done
+    return _each(store, "VACUUM", targets, on_error, body)

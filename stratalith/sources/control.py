@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
+from dataclasses import dataclass
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from stratalith.functions.columns import mark_literal, mark_micros
 from stratalith.operators.constraints import STATUSES, allowed_values, enforce
 from stratalith.operators.incremental import first_mark
 from stratalith.operators.upsert import insert_missing, merge_columns, update_where
@@ -37,6 +40,9 @@ RUN_LOG = T.StructType([
 ])
 
 
+MARK_CHANGES = T.StructType([*WATERMARK.fields, T.StructField("change", T.LongType())])
+
+
 def new_run_id() -> str:
     return str(uuid.uuid4())
 
@@ -111,3 +117,68 @@ def mark_success(
 
 def checked(control: DataFrame) -> DataFrame:
     return enforce(control, allowed_values("status", STATUSES), "valid_status")
+
+
+@dataclass(frozen=True)
+class ControlTables:
+    """Marks and run log as plain Parquet folders, to which rows are only added."""
+
+    spark: SparkSession
+    root: str
+
+    @property
+    def log_path(self) -> str:
+        return f"{self.root}/pipeline_run_log"
+
+    @property
+    def mark_path(self) -> str:
+        return f"{self.root}/pipeline_watermark"
+
+    def _read(self, path: str, schema: T.StructType) -> DataFrame:
+        try:
+            return self.spark.read.schema(schema).parquet(path)
+        except AnalysisException as e:
+            if e.getCondition() == "PATH_NOT_FOUND":
+                return empty(self.spark, schema)
+            raise
+
+    def create(self) -> None:
+        """Empty tables, so that they can be read before the first run; may be repeated."""
+        for schema, path in ((RUN_LOG, self.log_path), (MARK_CHANGES, self.mark_path)):
+            empty(self.spark, schema).write.mode("append").parquet(path)
+
+    def run_log(self) -> DataFrame:
+        return self._read(self.log_path, RUN_LOG).select(*[F.col(f.name).alias(f.name, metadata=f.metadata) for f in RUN_LOG.fields])
+
+    def append_log(self, entry: DataFrame) -> None:
+        entry.coalesce(1).write.mode("append").parquet(self.log_path)
+
+    def last_message(self, layer: str, table: str) -> str | None:
+        """What the last successful run about a table told."""
+        done = self.run_log().filter((F.col("run_status") == "SUCCESS") & (F.col("layer_name") == layer.upper()) & (F.col("table_name") == table))
+        return done.agg(F.max_by("message", "run_end_ts")).first()[0]
+
+    def marks(self) -> DataFrame:
+        """The last state of every mark."""
+        found, names = self._read(self.mark_path, MARK_CHANGES), WATERMARK.fieldNames()
+        last = found.groupBy("table_name").agg(F.max_by(F.struct(*names), "change").alias("last")).select("last.*")
+        return last.select(*[F.col(f.name).alias(f.name, metadata=f.metadata) for f in WATERMARK.fields])
+
+    def change_marks(self, change: Callable[[DataFrame], DataFrame]) -> None:
+        """Add the rows that ``change`` of the marks makes different. Loads of different tables add different rows, so none loses the other's."""
+        last, before = self._read(self.mark_path, MARK_CHANGES).agg(F.max("change")).first()[0], self.marks()
+        state = checked(change(before)).select(*WATERMARK.fieldNames()).exceptAll(before)
+        state.withColumn("change", F.lit(0 if last is None else last + 1).cast("long")).coalesce(1).write.mode("append").parquet(self.mark_path)
+
+    def mark(self, name: str) -> Column | None:
+        """The stored mark as a literal; None while nothing was loaded."""
+        row = self.marks().filter(F.col("table_name") == name).agg(F.max(mark_micros("last_run_ts")).alias("at"), F.max("last_run_id").alias("run")).first()
+        return None if row["at"] is None or row["run"] is None else mark_literal(row["at"])
+
+    def view_texts(self) -> dict[str, str]:
+        """Both tables as SQL over their files."""
+        names = ", ".join(WATERMARK.fieldNames())
+        return {
+            "pipeline_run_log": f"SELECT {', '.join(RUN_LOG.fieldNames())} FROM parquet.`{self.log_path}`",
+            "pipeline_watermark": f"SELECT {names} FROM (SELECT *, row_number() OVER (PARTITION BY table_name ORDER BY change DESC) AS _rank FROM parquet.`{self.mark_path}`) WHERE _rank = 1",
+        }

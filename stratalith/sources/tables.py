@@ -1,293 +1,83 @@
-"""Layered tables as Parquet directories under one root.
+"""The stored tables of all layers: where they lie and how they are read.
 
-    <root>/<layer>/<table>/gen=<g>/load=<n>/...
-
-Every load of a table writes one directory and then one SUCCESS row to the run log. A load
-counts only once that row is there, so a load that died half-way is invisible, and its
-repetition overwrites the same directory. A layout job writes a whole new generation and
-becomes visible the same way. Rows carry the version columns of ``operators.versions``.
+Bronze and gold are plain Parquet folders, silver tables are keyed tables (``sources.keyed``), marks and run log are control tables.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from typing import Any
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
-from stratalith.functions.columns import mark_literal, mark_micros
-from stratalith.operators import versions
-from stratalith.operators.layout import by_partition
-from stratalith.sources import control
+from stratalith.sources.control import ControlTables
+from stratalith.sources.files import overwrite_partitions, read_if_any
+from stratalith.sources.keyed import KeyedTable, MissingTable
 from stratalith.spec import ENRICHED, Layout
 
-# What a bronze row carries if it has no readable mark.
+# What a bronze row carries if it is not taken further.
 REJECT_COLUMNS = ("rejected", "rejected_value", "rejected_hash")
-MARK_STATE = T.StructType([*control.WATERMARK.fields, T.StructField("change", T.LongType())])
-LAYOUT_LAYERS = ("OPTIMIZE", "VACUUM")
 REJECTS = "_rejects"
-
-
-class MissingTable(LookupError):
-    """The table has no committed load."""
+# Columns that bronze adds for itself.
+BATCH, MARK = "batch", "mark_micros"
 
 
 @dataclass(frozen=True)
-class Warehouse:
+class Store:
     spark: SparkSession
     layout: Layout
 
-    # Control tables -------------------------------------------------------------------------
-
     @property
-    def _log_path(self) -> str:
-        return f"{self.layout.root}/{self.layout.control}/pipeline_run_log"
-
-    @property
-    def _mark_path(self) -> str:
-        return f"{self.layout.root}/{self.layout.control}/pipeline_watermark"
-
-    def _read_if_there(self, path: str, schema: T.StructType) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(schema).parquet(path)
-        except AnalysisException as e:
-            if e.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
-
-    def run_log(self) -> DataFrame:
-        found = self._read_if_there(self._log_path, control.RUN_LOG)
-        return control.empty(self.spark, control.RUN_LOG) if found is None else found.select(*control.RUN_LOG.fieldNames())
-
-    def append_log(self, entry: DataFrame, layer: str, table: str) -> None:
-        """Add rows about one table. They share a directory, so its state is read from there."""
-        entry.coalesce(1).write.mode("append").parquet(f"{self._log_path}/target={layer}.{table}")
-
-    def _last_change(self) -> int | None:
-        """Number of the newest complete state of the marks."""
-        found = self._read_if_there(self._mark_path, MARK_STATE)
-        return None if found is None else found.agg(F.max("change")).first()[0]
-
-    def marks(self) -> DataFrame:
-        """The control table of stored marks: the last state of each."""
-        found = self._read_if_there(self._mark_path, MARK_STATE)
-        if found is None:
-            return control.empty(self.spark, control.WATERMARK)
-        names = control.WATERMARK.fieldNames()
-        last = found.groupBy("table_name").agg(F.max_by(F.struct(*names), "change").alias("last")).select("last.*")
-        return last.select(*[F.col(f.name).alias(f.name, metadata=f.metadata) for f in control.WATERMARK.fields])
-
-    def change_marks(self, change: Callable[[DataFrame], DataFrame]) -> None:
-        """Add the rows that ``change`` of the control table makes different, in a directory of their own.
+    def control(self) -> ControlTables:
+        return ControlTables(self.spark, f"{self.layout.root}/{self.layout.control}")
 
-        Nothing is overwritten, and loads of different tables write different rows, so they may run at the
-        same time without losing each other's marks.
-        """
-        last, before = self._last_change(), self.marks()
-        state = control.checked(change(before)).select(*control.WATERMARK.fieldNames()).exceptAll(before)
-        state = state.withColumn("change", F.lit(0 if last is None else last + 1).cast("long"))
-        state.coalesce(1).write.mode("errorifexists").parquet(f"{self._mark_path}/part={control.new_run_id()}")
+    def path(self, layer: str, table: str) -> str:
+        return f"{self.layout.root}/{layer}/{table}"
 
-    def mark(self, name: str) -> Column | None:
-        """The stored mark as a literal; None while nothing was loaded."""
-        row = self.marks().filter(F.col("table_name") == name).agg(
-            F.max(mark_micros("last_run_ts")).alias("at"), F.max("last_run_id").alias("run")
-        ).first()
-        return None if row["at"] is None or row["run"] is None else mark_literal(row["at"])
+    def keyed(self, table: str) -> KeyedTable:
+        """A silver table."""
+        key = "order_item_id" if table == ENRICHED else self.layout.specs[table].key
+        silver = self.layout.silver
+        return KeyedTable(self.spark, f"{silver}.{table}", self.path(silver, table), key, self.layout.buckets)
 
-    def status(self, name: str) -> str | None:
-        row = self.marks().filter(F.col("table_name") == name).select("status").first()
-        return None if row is None else row["status"]
-
-    # Data tables ----------------------------------------------------------------------------
-
-    def _committed(self, layer: str, table: str) -> tuple[int, int]:
-        """How many loads, and how many rewrites, of a table succeeded and wrote something."""
-        owner = table.removesuffix(REJECTS)
-        if owner != table:
-            # Rejects are written and become visible with the load of their table.
-            return self._committed(layer, owner)[0], 0
-        found = self._read_if_there(f"{self._log_path}/target={layer}.{table}", control.RUN_LOG)
-        if found is None:
-            return 0, 0
-        is_layout = F.col("layer_name").isin(*LAYOUT_LAYERS)
-        row = found.filter("run_status = 'SUCCESS' AND row_count > 0").agg(
-            F.count_if(~is_layout).alias("loads"), F.count_if(is_layout).alias("rewrites")
-        ).first()
-        return row["loads"], row["rewrites"]
+    def is_keyed(self, layer: str, table: str) -> bool:
+        return layer == self.layout.silver and (table == ENRICHED or table in self.layout.specs)
 
-    def loads(self, layer: str, table: str) -> int:
-        return self._committed(layer, table)[0]
+    def files(self, layer: str, table: str) -> DataFrame | None:
+        """All rows of a plain table; None while it has none. Deliveries may bring columns along that earlier ones did not have."""
+        return read_if_any(self.spark, self.path(layer, table), layer != self.layout.gold)
 
-    def last_message(self, layer: str, table: str) -> str | None:
-        """What the last successful load of a table told."""
-        found = self._read_if_there(f"{self._log_path}/target={layer}.{table}", control.RUN_LOG)
+    def rows(self, layer: str, table: str) -> DataFrame:
+        """All rows with what the layer adds to them."""
+        found = self.keyed(table).rows() if self.is_keyed(layer, table) else self.files(layer, table)
         if found is None:
-            return None
-        done = found.filter((F.col("run_status") == "SUCCESS") & ~F.col("layer_name").isin(*LAYOUT_LAYERS))
-        return done.agg(F.max_by("message", "run_end_ts")).first()[0]
+            raise MissingTable(f"{layer}.{table} has no rows yet")
+        return found
 
-    def _files(self, layer: str, path: str) -> DataFrame | None:
-        """Deliveries may bring columns along that earlier ones did not have."""
-        try:
-            return self.spark.read.option("mergeSchema", layer != self.layout.gold).parquet(path)
-        except AnalysisException as e:
-            if e.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
+    def current(self, layer: str, table: str) -> DataFrame:
+        """The rows that later layers and readers see."""
+        if self.is_keyed(layer, table):
+            return self.keyed(table).current()
+        found = self.rows(layer, table)
+        if layer != self.layout.bronze:
+            return found
+        return found.filter(F.col("rejected") == 0).drop(*REJECT_COLUMNS, BATCH, MARK)
 
     def exists(self, layer: str, table: str) -> bool:
-        loads, generation = self._committed(layer, table)
-        return loads > 0 and (not table.endswith(REJECTS) or self._files(layer, self._base(layer, table, generation)) is not None)
-
-    def _base(self, layer: str, table: str, generation: int) -> str:
-        return f"{self.layout.root}/{layer}/{table}/gen={generation}"
+        return self.keyed(table).exists() if self.is_keyed(layer, table) else self.files(layer, table) is not None
 
-    def write_load(
-        self, layer: str, table: str, df: DataFrame, *, observe: Sequence[Column], partition_by: Sequence[str] = ()
-    ) -> dict[str, Any]:
-        """Write the next load of a table, stamped as its next version.
-
-        It is not visible before its run is logged. The ``observe`` aggregates are taken
-        from the rows on their way into the files: behind every shuffle, in the stage that
-        writes, whose tasks count once however often they are tried.
-        """
-        loads, generation = self._committed(layer, table)
+    def overwrite(self, layer: str, table: str, df: DataFrame, observe: Mapping[str, Column], partition_by: Sequence[str] = ()) -> dict:
+        """Replace a plain table, or those of its partitions that ``df`` has rows for; gives the ``observe`` aggregates of the rows."""
+        if partition_by:
+            return overwrite_partitions(df, self.path(layer, table), partition_by, observe)
         seen = Observation()
-        stamped = versions.stamp(df, loads, F.current_timestamp())
-        placed = by_partition(stamped, partition_by) if layer == self.layout.gold and partition_by else stamped
-        placed.observe(seen, *observe).write.mode("overwrite").partitionBy(*partition_by).parquet(
-            f"{self._base(layer, table, generation)}/load={loads}"
-        )
+        df.observe(seen, *[c.alias(n) for n, c in observe.items()]).write.mode("overwrite").parquet(self.path(layer, table))
         return seen.get
 
-    def rewrite(
-        self, layer: str, table: str, change: Callable[[DataFrame], DataFrame], partition_by: Sequence[str] = ()
-    ) -> int:
-        """Write ``change`` of all committed rows as the next generation; returns how many.
-
-        The whole generation directory is replaced, so nothing of an attempt that failed
-        can stay in it. ``change`` sees the directory column ``load`` and must keep it.
-        """
-        loads, generation = self._committed(layer, table)
-        # Not a literal: a sort by the directory columns must survive the optimizer, so that
-        # the writer finds its rows in order and does not sort them again.
-        load = (F.col("_version") * 0 + (loads - 1)).cast("int")
-        changed = change(self.rows(layer, table).withColumn("load", load))
-        seen = Observation()
-        writer = changed.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
-        writer.option("partitionOverwriteMode", "static").partitionBy("load", *partition_by).parquet(
-            self._base(layer, table, generation + 1)
-        )
-        return seen.get["rows"]
-
-    def rows(self, layer: str, table: str) -> DataFrame:
-        """Every committed row of every version, with the version columns."""
-        loads, generation = self._committed(layer, table)
-        if loads == 0:
-            raise MissingTable(f"{layer}.{table} has no committed load")
-        found = self._files(layer, self._base(layer, table, generation))
-        if found is None:
-            raise MissingTable(f"{layer}.{table} has no rows")
-        return found.filter(F.col("load") < loads).drop("load")
-
-    def key(self, table: str) -> str:
-        return "order_item_id" if table == ENRICHED else self.layout.specs[table].key
-
-    def is_keyed(self, layer: str, table: str) -> bool:
-        return layer == self.layout.silver and (table == ENRICHED or table in self.layout.specs)
-
-    def _state(self, layer: str, table: str, rows: DataFrame, version: Column | None) -> DataFrame:
-        if self.is_keyed(layer, table):
-            return versions.keyed_state(rows, self.key(table), version)
-        if layer == self.layout.gold:
-            return versions.snapshot_state(rows, version)
-        appended = rows if version is None else rows.filter(F.col("_version") <= version)
-        if "rejected" in appended.columns:
-            appended = appended.filter(F.col("rejected") == 0).drop(*REJECT_COLUMNS)
-        return versions.unstamp(appended)
-
-    def current(self, layer: str, table: str) -> DataFrame:
-        rows = self.rows(layer, table)
-        # Every load of a snapshot table is one version, so the newest needs no search.
-        newest = F.lit(self.loads(layer, table) - 1) if layer == self.layout.gold else None
-        return self._state(layer, table, rows, newest)
-
-    def as_of_version(self, layer: str, table: str, number: int) -> DataFrame:
-        rows = self.rows(layer, table)
-        return self._state(layer, table, rows, versions.version_at(rows, number))
-
-    def as_of_timestamp(self, layer: str, table: str, ts: Column) -> DataFrame:
-        rows = self.rows(layer, table)
-        return self._state(layer, table, rows, versions.version_when(rows, ts))
-
-    def history(self, layer: str, table: str) -> DataFrame:
-        return versions.history(self.rows(layer, table))
-
-    def create_log(self) -> None:
-        """An empty run log, so that it can be read before the first run."""
-        control.empty(self.spark, control.RUN_LOG).write.mode("overwrite").parquet(f"{self._log_path}/target=none")
-
     def view_text(self, layer: str, table: str) -> str:
-        """The current state of a table as SQL over its files."""
-        loads, generation = self._committed(layer, table)
-        if loads == 0:
-            raise MissingTable(f"{layer}.{table} has no committed load")
-        base = self._base(layer, table, generation)
-        hidden = {*versions.VERSION_COLUMNS, "load", *REJECT_COLUMNS}
-        cols = ", ".join(f"`{c}`" for c in self.spark.read.parquet(base).columns if c not in hidden)
-        files, seen = f"parquet.`{base}`", f"load < {loads}"
-        if self.is_keyed(layer, table):
-            return (
-                f"SELECT {cols} FROM (SELECT *, row_number() OVER (PARTITION BY {self.key(table)} ORDER BY _version DESC) "
-                f"AS _rank FROM {files} WHERE {seen}) WHERE _rank = 1 AND _op <> '{versions.DELETED}'"
-            )
-        kept = f"_version = {loads - 1}" if layer == self.layout.gold else "rejected = 0"
-        return f"SELECT {cols} FROM {files} WHERE {seen}" + (
-            "" if layer == self.layout.silver else f" AND {kept}"
-        )
-
-    def control_view_texts(self) -> dict[str, str]:
-        def text(schema: T.StructType, path: str) -> str:
-            return f"SELECT {', '.join(schema.fieldNames())} FROM parquet.`{path}`"
-
-        texts = {"pipeline_run_log": text(control.RUN_LOG, self._log_path)}
-        if self._last_change() is not None:
-            cols = ", ".join(control.WATERMARK.fieldNames())
-            texts["pipeline_watermark"] = (
-                f"SELECT {cols} FROM (SELECT *, row_number() OVER (PARTITION BY table_name ORDER BY change DESC) AS _rank "
-                f"FROM parquet.`{self._mark_path}`) WHERE _rank = 1"
-            )
-        return texts
-
-    def _delete(self, path: str) -> None:
-        """Remove a directory of this store, wherever it is kept."""
-        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
-        there = jvm.org.apache.hadoop.fs.Path(path)
-        there.getFileSystem(conf).delete(there, True)
-
-    def drop_old_generations(self, layer: str, table: str) -> None:
-        """Free what committed rewrites have replaced; views that name the old files are to be published again."""
-        for generation in range(self._committed(layer, table)[1]):
-            self._delete(self._base(layer, table, generation))
-
-    def _settled_path(self, name: str) -> str:
-        shared = self.spark.conf.get("spark.checkpoint.dir", None) or f"{self.layout.root}/{self.layout.control}/settled"
-        return f"{shared.rstrip('/')}/{name}"
-
-    def discard(self, *names: str) -> None:
-        """Remove settled results that no one reads any more."""
-        for name in names:
-            self._delete(self._settled_path(name))
-
-    def settled(self, df: DataFrame, name: str) -> DataFrame:
-        """Write an intermediate result that several jobs read, and read it back.
-
-        It goes to the shared folder of ``spark.checkpoint.dir``, or below the root where
-        the session names none, so a lost executor costs no recomputation.
-        """
-        path = self._settled_path(name)
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+        """What readers see of a plain table, as SQL over its files."""
+        found = self.rows(layer, table)
+        hidden = {*REJECT_COLUMNS, BATCH, MARK} if layer == self.layout.bronze else set()
+        cols = ", ".join(f"`{c}`" for c in found.columns if c not in hidden)
+        kept = " WHERE rejected = 0" if layer == self.layout.bronze else ""
+        return f"SELECT {cols} FROM parquet.`{self.path(layer, table)}`{kept}"

@@ -21,6 +21,7 @@ class TableSpec:
     tie_breakers: tuple[str, ...]
     watermark_col: str = "updated_at"
     recency: tuple[str, ...] = ("updated_at", "created_at")
+    # A folder to which files are delivered, or one file that is delivered anew.
     source_path: str | None = None
 
     @property
@@ -104,3 +105,5 @@ class Layout:
     control: str = "control"
     specs: Mapping[str, TableSpec] = field(default_factory=lambda: dict(ENTITIES))
     retain_hours: int = 168
+    # Buckets of a keyed table: as many as tasks should share a merge.
+    buckets: int = 32

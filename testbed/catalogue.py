@@ -7,10 +7,11 @@ from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from stratalith.operators import clean as cleaning, constraints, incremental, joins, layout, upsert, versions
+from stratalith.operators import clean as cleaning, constraints, distinct, incremental, intervals, joins, layout, upsert, versions
 from stratalith.operators.clean import parse_timestamps, rejects
-from stratalith.plans import enrich, gold, reports
-from stratalith.sources import control
+from stratalith.plans import enrich, gold, refresh, reports
+from stratalith.sources import bucketed, control, footers
+from stratalith.sources.files import new_folder, stored
 from stratalith.sources.metadata import register_views
 from stratalith.spec import CUSTOMERS, ENTITIES
 from testbed import fixtures as fx
@@ -134,6 +135,48 @@ def category_sales(spark: SparkSession, d: str) -> DataFrame:
     return gold.category_sales(fx.enriched(spark, d))
 
 
+@query
+def daily_parts(spark: SparkSession, d: str) -> DataFrame:
+    """Mergeable parts of every day: how many ids each bitmap holds, and the amount."""
+    parts = gold.daily_parts(fx.enriched(spark, d))
+    return parts.select("order_date_only", "counted", "bucket", F.bitmap_count("members").alias("ids"), F.col("amount").cast("double").alias("amount"))
+
+
+@query
+def revenue_by_state_from_parts(spark: SparkSession, d: str) -> DataFrame:
+    return gold.revenue_by_state_of(gold.sales_parts(fx.enriched(spark, d), "state"))
+
+
+@query
+def daily_sales_from_parts(spark: SparkSession, d: str) -> DataFrame:
+    return gold.daily_sales_of(gold.daily_parts(fx.enriched(spark, d)))
+
+
+@query
+def monthly_sales_from_parts(spark: SparkSession, d: str) -> DataFrame:
+    """Months from the stored parts of their days; the sales are read once, for the days."""
+    return gold.monthly_sales_of(stored(gold.daily_parts(fx.enriched(spark, d)), "daily-parts"))
+
+
+@query
+def sales_from_merged_deliveries(spark: SparkSession, d: str) -> DataFrame:
+    """Parts that two deliveries of items made by themselves, merged: an order that both hold counts once."""
+    sales = fx.enriched(spark, d)
+    both = [gold.sales_parts(sales.filter(F.pmod("order_item_id", F.lit(2)) == k), "state") for k in (0, 1)]
+    return gold.revenue_by_state_of(distinct.merged(both[0].unionByName(both[1]), {"state": F.col("state")}))
+
+
+@query
+def aggregates_in_one_scan(spark: SparkSession, d: str) -> DataFrame:
+    """All five aggregates from one stored pass over the fact, one below the other."""
+    made = gold.aggregates_of(stored(gold.sales_cube(gold.fact_sales(fx.enriched(spark, d))), "sales-cube"))
+    out = None
+    for name, table in made.items():
+        part = table.withColumn("aggregate", F.lit(name))
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out
+
+
 # Reports ------------------------------------------------------------------------------------
 
 
@@ -206,6 +249,24 @@ def merge_upsert_newer(spark: SparkSession, d: str) -> DataFrame:
     return upsert.upsert(*fx.merge_sides(spark, d), "order_id", only_if_newer="updated_at", null_keys=True)
 
 
+def _bucketed_target(spark: SparkSession, target: DataFrame) -> DataFrame:
+    path = new_folder(spark, "bucketed")
+    return bucketed.write_bucketed(target, "stratalith_" + path.rsplit("-", 1)[-1], "order_id", fx.BUCKETS, path)
+
+
+@query
+def merge_upsert_bucketed(spark: SparkSession, d: str) -> DataFrame:
+    """The merge into a table that is stored in buckets by its key: only the batch is moved."""
+    target, source = fx.merge_sides(spark, d)
+    return bucketed.upsert_bucketed(_bucketed_target(spark, target), source, "order_id", fx.BUCKETS, check=True)
+
+
+@query
+def merge_upsert_bucketed_newer(spark: SparkSession, d: str) -> DataFrame:
+    target, source = fx.merge_sides(spark, d)
+    return bucketed.upsert_bucketed(_bucketed_target(spark, target), source, "order_id", fx.BUCKETS, only_if_newer="updated_at")
+
+
 @query
 def conditional_update(spark: SparkSession, d: str) -> DataFrame:
     late = (F.col("order_status") == "O") & (F.col("updated_at") < fx.ntz("1998-01-01 00:00:00"))
@@ -319,12 +380,29 @@ def incremental_enriched(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def row_counts(spark: SparkSession, d: str) -> DataFrame:
-    sales = fx.enriched(spark, d)
+    # Two columns of the enriched sales are enough to count them and the fact that is made of them.
+    sales = stored(fx.enriched(spark, d).select("order_item_id", "order_date"), "counted")
     tables = {f"brz_{n}_raw": fx.raw(spark, d, n) for n in ENTITIES}
     tables |= {f"slv_{n}": fx.silver(spark, d, n) for n in ENTITIES}
     return constraints.row_counts(tables | {"slv_sales_enriched": sales, "gld_fact_sales": gold.fact_sales(sales)})
 
 
+@query
+def file_row_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of every stored table, from the footers of its files."""
+    return footers.row_counts(spark, {t: f"{d}/{t}.parquet" for t in fx.TABLES})
+
+
+@query
+def file_column_bounds(spark: SparkSession, d: str) -> DataFrame:
+    """Least and greatest key of every stored table, from the footers of its files."""
+    out = None
+    for table, cols in fx.KEYS.items():
+        part = footers.column_bounds(spark, f"{d}/{table}.parquet", cols).select(F.lit(table).alias("table_name"), "*")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @query
 def duplicate_keys(spark: SparkSession, d: str) -> DataFrame:
     out = None
@@ -424,13 +502,77 @@ def expire_snapshots(spark: SparkSession, d: str) -> DataFrame:
 @query
 def fact_as_of_timestamp(spark: SparkSession, d: str) -> DataFrame:
     """The fact as it stood a day before; it is rebuilt whole at every version of the orders."""
-    orders, snapshots = fx.order_versions(spark, d), None
-    for number, commit in enumerate(fx.COMMITS):
-        state = versions.keyed_state(orders, "order_id", F.lit(number))
-        snapshot = versions.stamp(gold.fact_sales(fx.enriched(spark, d, orders=state)), number, fx.ntz(commit))
-        snapshots = snapshot if snapshots is None else snapshots.unionByName(snapshot)
+    orders = fx.order_versions(spark, d)
     a_day_before = fx.ntz("2024-01-03 12:00:00") - F.expr("INTERVAL 1 DAY")
-    return versions.snapshot_state(snapshots, versions.version_when(orders, a_day_before))
+    # The version is known before anything is built, so only its snapshot is.
+    number = intervals.version_number_at(intervals.commits_of(orders), a_day_before)
+    state = versions.keyed_state(orders, "order_id", F.lit(number))
+    snapshot = versions.stamp(gold.fact_sales(fx.enriched(spark, d, orders=state)), number, fx.ntz(fx.COMMITS[number]))
+    return versions.snapshot_state(snapshot, F.lit(number))
+
+
+# Validity intervals -------------------------------------------------------------------------
+
+
+def _intervals(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """The stored interval form of the orders, and its small table of versions."""
+    rows = fx.order_versions(spark, d)
+    made = stored(intervals.placed(intervals.with_intervals(rows, "order_id"), joins.partitions_of(rows)), "order-intervals")
+    return made, stored(intervals.commits_of(made), "order-commits")
+
+
+@query
+def order_intervals(spark: SparkSession, d: str) -> DataFrame:
+    return intervals.with_intervals(fx.order_versions(spark, d), "order_id")
+
+
+@query
+def order_intervals_extended(spark: SparkSession, d: str) -> DataFrame:
+    """The same, kept up load by load: each version closes the open rows of its keys."""
+    rows = fx.order_versions(spark, d)
+    closed, still_open = None, intervals.with_intervals(rows.filter("_version = 0"), "order_id")
+    for number in (1, 2):
+        ended, still_open = intervals.extend(still_open, rows.filter(F.col("_version") == number), "order_id")
+        closed = ended if closed is None else closed.unionByName(ended)
+    return closed.unionByName(still_open)
+
+
+@query
+def interval_as_of_version(spark: SparkSession, d: str) -> DataFrame:
+    rows, commits = _intervals(spark, d)
+    return intervals.as_of(rows, intervals.version_number(commits, 1))
+
+
+@query
+def interval_as_of_timestamp(spark: SparkSession, d: str) -> DataFrame:
+    rows, commits = _intervals(spark, d)
+    a_day_before = fx.ntz("2024-01-02 12:00:00") - F.expr("INTERVAL 1 DAY")
+    return intervals.as_of(rows, intervals.version_number_at(commits, a_day_before))
+
+
+@query
+def interval_current_state(spark: SparkSession, d: str) -> DataFrame:
+    """The newest version, without the keys that it deleted."""
+    rows, commits = _intervals(spark, d)
+    return intervals.as_of(rows, intervals.version_number(commits, len(fx.COMMITS) - 1))
+
+
+@query
+def interval_expire(spark: SparkSession, d: str) -> DataFrame:
+    rows, commits = _intervals(spark, d)
+    return intervals.expire(rows, commits, fx.ntz("2024-01-02 00:00:00"))
+
+
+@query
+def refreshed_fact(spark: SparkSession, d: str) -> DataFrame:
+    """The fact stored by month from the first two batches of orders; the last one refreshes the months that it touches."""
+    path = new_folder(spark, "fact")
+    fact = gold.fact_sales(fx.enriched(spark, d, orders=fx.order_batch(spark, d, 0, 1)))
+    refresh.write_fact(fact, path)
+    before = refresh.read_fact(spark, path, fact)
+    orders, changed = fx.silver(spark, d, "orders"), fx.order_batch(spark, d, 2)
+    refresh.refresh_fact(path, before, orders, changed, lambda some: fx.enriched(spark, d, orders=some, few_orders=True))
+    return refresh.read_fact(spark, path, before)
 
 
 @query

@@ -13,11 +13,20 @@ from stratalith.plans import enrich
 from stratalith.spec import ENTITIES, ORDERS, TableSpec
 
 T0 = "timestamp_ntz'1995-01-01 00:00:00'"
-# First updated_at of batches 1 and 2, and the commit time of batches 0, 1 and 2.
+# First updated_at of batches 1 and 2, buckets of stored merge targets, and the commit time of batches 0, 1 and 2.
 BATCH_STARTS = ("1999-01-01 00:00:00", "2000-07-01 00:00:00")
+BUCKETS = 8
 COMMITS = ("2024-01-01 00:00:00", "2024-01-02 00:00:00", "2024-01-03 00:00:00")
 
 
+# Given tables, and the keys of those whose files tell their bounds.
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages", "benchmark", "labels")
+KEYS = {
+    "customer": ("c_custkey", "c_nationkey"), "part": ("p_partkey",), "supplier": ("s_suppkey", "s_nationkey"),
+    "orders": ("o_orderkey", "o_custkey"), "lineitem": ("l_orderkey", "l_partkey", "l_linenumber"), "documents": ("doc_id", "n_chars"),
+}
+
+
 @lru_cache(maxsize=256)
 def _schema(spark: SparkSession, path: str) -> T.StructType:
     return spark.read.parquet(path).schema

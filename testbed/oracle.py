@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from testbed.fixtures import KEYS, TABLES
+
 _TITLE = (
     "array_to_string(list_transform(string_split(lower(trim({c})), ' '), "
     "lambda w: upper(w[1]) || w[2:]), ' ')"
@@ -220,6 +222,19 @@ _WORKED = """SELECT table_name, last_run_ts, 'run-1' AS last_run_id,
   UNION ALL SELECT name, timestamp '1900-01-01', NULL, 'RUNNING', timestamp '2024-01-01 07:00:00'
   FROM (VALUES ('orders'), ('silver_orders')) AS started(name)"""
 
+# Stretches of 32,768 ids, as the bitmaps are cut: those above zero, and the others towards zero.
+_BUCKET_OF = "CASE WHEN {c} > 0 THEN 1 + ({c} - 1) // 32768 ELSE -(-{c} // 32768) END"
+
+
+def _ids_per_day(what: str, column: str) -> str:
+    return f"""SELECT order_date_only, '{what}' AS counted, CAST({_BUCKET_OF.format(c=column)} AS BIGINT) AS bucket,
+  count(DISTINCT {column}) AS ids, NULL::DOUBLE AS amount FROM fact WHERE {column} IS NOT NULL GROUP BY ALL"""
+
+
+_INTERVALS = """SELECT *, CAST(coalesce(lead(_version) OVER following, 2147483647) AS INTEGER) AS _to,
+  coalesce(lead(_commit_ts) OVER following, timestamp '9999-12-31') AS _to_ts
+  FROM versions WINDOW following AS (PARTITION BY order_id ORDER BY _version)"""
+
 ORACLE: dict[str, str] = {
     "clean_customers": _sql([_RAW_CUSTOMERS, _CLEAN_CUSTOMERS], "SELECT * FROM clean_customers"),
     "clean_products": _sql([_RAW_PRODUCTS, _CLEAN_PRODUCTS], "SELECT * FROM clean_products"),
@@ -236,6 +251,17 @@ ORACLE: dict[str, str] = {
     "fact_sales": _sql(_SALES, "SELECT * FROM fact"),
     "partitioned_fact": _sql(_SALES, "SELECT * FROM fact"),
     "revenue_by_state": _sql(_SALES, _BY_STATE),
+    "daily_parts": _sql(_SALES, f"""{_ids_per_day("orders", "order_id")} UNION ALL {_ids_per_day("customers", "customer_id")}
+  UNION ALL SELECT order_date_only, 'amount', NULL, NULL, CAST(sum(CAST(sales_amount AS DECIMAL(24,6))) AS DOUBLE) FROM fact GROUP BY ALL"""),
+    "revenue_by_state_from_parts": _sql(_SALES, _BY_STATE),
+    "daily_sales_from_parts": _sql(_SALES, _DAILY),
+    "monthly_sales_from_parts": _sql(_SALES, _MONTHLY),
+    "sales_from_merged_deliveries": _sql(_SALES, _BY_STATE),
+    "aggregates_in_one_scan": _sql(_SALES, f"""SELECT 'agg_revenue_by_state' AS aggregate, * FROM ({_BY_STATE})
+  UNION ALL BY NAME SELECT 'agg_top_products' AS aggregate, * FROM ({_TOP_PRODUCTS})
+  UNION ALL BY NAME SELECT 'agg_daily_sales' AS aggregate, * FROM ({_DAILY})
+  UNION ALL BY NAME SELECT 'agg_monthly_sales' AS aggregate, * FROM ({_MONTHLY})
+  UNION ALL BY NAME SELECT 'agg_category_sales' AS aggregate, * FROM ({_CATEGORY})"""),
     "top_products_agg": _sql(_SALES, _TOP_PRODUCTS),
     "daily_sales": _sql(_SALES, _DAILY),
     "monthly_sales": _sql(_SALES, _MONTHLY),
@@ -297,6 +323,10 @@ ORACLE: dict[str, str] = {
   UNION ALL SELECT 'slv_order_items', count(*) FROM order_items_s
   UNION ALL SELECT 'slv_sales_enriched', count(*) FROM enriched
   UNION ALL SELECT 'gld_fact_sales', count(*) FROM fact"""),
+    "file_row_counts": "\nUNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS cnt FROM {t}" for t in TABLES),
+    "file_column_bounds": "\nUNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, min({c})::BIGINT AS low, max({c})::BIGINT AS high, count({c}) AS known FROM {t}"
+        for t, cols in KEYS.items() for c in cols),
     "duplicate_keys": _sql(_ALL, """SELECT 'customers' AS table_name, customer_id AS key, count(*) AS cnt
   FROM clean_customers GROUP BY customer_id HAVING count(*) > 1
   UNION ALL SELECT 'products', product_id, count(*) FROM clean_products GROUP BY product_id HAVING count(*) > 1
@@ -334,5 +364,17 @@ ORACLE: dict[str, str] = {
     "fact_as_of_timestamp": _sql(
         [*_CUSTOMERS, *_PRODUCTS, *_ITEMS, *_VERSIONED, f"state AS ({_STATE_1})", _joined("enriched", "state"), _FACT],
         "SELECT * FROM fact"),
+    "order_intervals": _sql(_VERSIONED, f"SELECT {_O}, _version, _commit_ts, _op, _to, _to_ts FROM ({_INTERVALS})"),
+    "order_intervals_extended": _sql(_VERSIONED, f"SELECT {_O}, _version, _commit_ts, _op, _to, _to_ts FROM ({_INTERVALS})"),
+    "interval_as_of_version": _sql(_VERSIONED, _STATE_1),
+    "interval_as_of_timestamp": _sql(_VERSIONED, f"SELECT {_O} FROM versions WHERE _version = 0"),
+    "interval_expire": _sql(_VERSIONED, f"""SELECT {_O}, CAST(greatest(_version, 1) AS INTEGER) AS _version,
+  greatest(_commit_ts, timestamp '2024-01-02') AS _commit_ts, _op, _to, _to_ts FROM ({_INTERVALS})
+  WHERE _to > 1 AND NOT (_version <= 1 AND _op = 'DELETE')"""),
+    "refreshed_fact": _sql(_SALES, "SELECT * FROM fact"),
     "zorder_rewrite": _sql([_RAW_ORDERS], "SELECT * FROM raw_orders"),
 }
+# Other ways to the same rows.
+ORACLE["merge_upsert_bucketed"] = ORACLE["merge_upsert_all"]
+ORACLE["merge_upsert_bucketed_newer"] = ORACLE["merge_upsert_newer"]
+ORACLE["interval_current_state"] = ORACLE["current_state"]

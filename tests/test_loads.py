@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import csv
-import shutil
 from dataclasses import replace
+from pathlib import Path
 
 import pytest
 from conftest import rows_of
@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 
 from stratalith.plans import gold, loads, reports, upkeep
 from stratalith.plans.enrich import enrich_sales
-from stratalith.sources import control
-from stratalith.sources.metadata import setup_check
-from stratalith.sources.tables import MissingTable, Warehouse
+from stratalith.sources import bucketed, control
+from stratalith.sources.metadata import create_namespace, setup_check
+from stratalith.sources.keyed import KeyedTable, MissingTable
+from stratalith.sources.tables import Store
 from stratalith.spec import ENTITIES, Layout
 
 FIRST = {
@@ -65,17 +66,24 @@ def deliver(folder, *batches) -> None:
                 out.writerows(batch[name])
 
 
-def open_warehouse(spark, folder) -> Warehouse:
+def open_store(spark, folder, prefix="") -> Store:
+    """A store whose names in the catalog are its own."""
     specs = {n: replace(s, source_path=str(folder / f"{n}.csv")) for n, s in ENTITIES.items()}
-    return Warehouse(spark, Layout(root=str(folder / "store"), specs=specs))
+    names = {layer: f"{prefix}{layer}" for layer in ("bronze", "silver", "gold", "control")}
+    return Store(spark, Layout(root=str(folder / "store"), specs=specs, buckets=3, **names))
 
 
 def bytes_in(folder) -> int:
     return sum(p.stat().st_size for p in folder.rglob("*") if p.is_file())
 
 
+def fact_files(folder) -> set[tuple[str, str]]:
+    """Month and name of each file."""
+    return {(f"{p.parent.parent.name}/{p.parent.name}", p.name) for p in folder.rglob("*.parquet")}
+
+
 def mark_of(wh, name):
-    row = wh.marks().filter(F.col("table_name") == name).first()
+    row = wh.control.marks().filter(F.col("table_name") == name).first()
     return None if row is None else (row["last_run_ts"].isoformat(sep=" "), row["status"])
 
 
@@ -90,20 +98,21 @@ def load_all(wh) -> dict[str, loads.Outcome]:
 def story(spark, tmp_path_factory):
     """Two deliveries and one with nothing new; the facts each step left behind."""
     folder = tmp_path_factory.mktemp("story")
-    wh = open_warehouse(spark, folder)
+    wh = open_store(spark, folder)
     loads.setup(wh)
     loads.setup(wh)
-    seen = {"seeds": rows_of(wh.marks().select("table_name", "status"))}
+    seen = {"seeds": rows_of(wh.control.marks().select("table_name", "status"))}
     deliver(folder, FIRST)
     seen["one"] = load_all(wh)
-    enriched = wh.current("silver", "sales_enriched")
-    loads.write_gold(wh, "fact_sales", gold.fact_sales(enriched), gold.FACT_PARTITIONS)
+    seen["one_fact"] = loads.load_fact(wh)
+    seen["one_files"] = fact_files(folder / "store/gold/fact_sales")
     seen["one_enriched"] = rows_of(wh.current("silver", "sales_enriched").select("order_item_id", "order_id", "order_status"))
     deliver(folder, FIRST, SECOND)
     seen["two"] = loads.run_all(wh)
-    seen["marks_two"] = rows_of(wh.marks().select("table_name", "last_run_ts", "status"))
+    seen["two_files"] = fact_files(folder / "store/gold/fact_sales")
+    seen["marks_two"] = rows_of(wh.control.marks().select("table_name", "last_run_ts", "status"))
     seen["three"] = load_all(wh)
-    seen["marks_three"] = rows_of(wh.marks().select("table_name", "last_run_ts", "status"))
+    seen["marks_three"] = rows_of(wh.control.marks().select("table_name", "last_run_ts", "status"))
     return wh, seen
 
 
@@ -112,7 +121,7 @@ def test_setup_is_repeatable(story, spark):
     assert seen["seeds"] == [(t, "INIT") for t in sorted(ENTITIES)]
     loads.publish(wh, [])
     control_tables = ["pipeline_watermark", "pipeline_run_log"]
-    found = setup_check(spark, ["bronze", "silver", "gold"], "control", control_tables, wh.marks()).collect()
+    found = setup_check(spark, ["bronze", "silver", "gold"], "control", control_tables, wh.control.marks()).collect()
     assert [tuple(r)[:2] for r in found[:5]] == [
         ("SCHEMAS", "bronze"), ("SCHEMAS", "gold"), ("SCHEMAS", "silver"),
         ("TABLE", "pipeline_run_log"), ("TABLE", "pipeline_watermark"),
@@ -125,11 +134,12 @@ def test_setup_is_repeatable(story, spark):
 def test_tables_are_readable_by_name(story, spark):
     """The dashboard and check queries, as SQL over the published tables."""
     wh, _ = story
-    assert len(loads.publish(wh)) == 4 + 4 + 1 + 1 + 8 + 2
+    assert len(loads.publish(wh)) == 4 + 1 + 8 + 2
     for layer, table in [("bronze", "orders_raw"), ("silver", "orders"), ("silver", "customers_rejects"),
                          ("silver", "sales_enriched"), ("gold", "fact_sales")]:
         named = spark.table(f"{layer}.{table}")
-        assert rows_of(named) == rows_of(wh.current(layer, table).select(*named.columns)), table
+        read = wh.rows(layer, table) if wh.is_keyed(layer, table) else wh.current(layer, table)
+        assert rows_of(named) == rows_of(read.select(*named.columns)), table
     by_report = {
         reports.revenue_by_state: ("agg_revenue_by_state", """
             SELECT state, total_revenue, total_orders, total_customers FROM gold.agg_revenue_by_state
@@ -217,105 +227,135 @@ def test_gold_follows_the_fact(story):
     assert any("order_year" in s and "order_month" in s for s in scans), plan
 
 
+def test_the_fact_is_refreshed_by_month(story):
+    """The second delivery changes an order of February and adds one in May; an item leaves February."""
+    wh, seen = story
+    assert seen["one_fact"].message.startswith("fact_sales built") and seen["two"]["gold.fact_sales"].message.startswith("months_written=2 months_emptied=0")
+    assert {month for month, _ in seen["one_files"]} == {"order_year=2023/order_month=2"}
+    assert {month for month, _ in seen["two_files"]} == {"order_year=2023/order_month=2", "order_year=2023/order_month=5"}
+    assert loads.load_fact(wh).message.startswith("no changed months")
+    assert seen["two_files"] == fact_files(Path(wh.path("gold", "fact_sales")))
+
+
 def test_run_log_and_mark_reports(story):
     wh, _ = story
-    log = wh.run_log()
+    log = wh.control.run_log()
     assert log.filter("run_status <> 'SUCCESS'").count() == 0
     latest = reports.recent_runs(log, ("GOLD",), 20).collect()
-    assert len(latest) == 9 and latest[0]["run_start_ts"] >= latest[-1]["run_start_ts"]
-    names = [r["table_name"] for r in reports.mark_state(wh.marks(), "silver\\_%").collect()]
+    assert len(latest) >= 9 and latest[0]["run_start_ts"] >= latest[-1]["run_start_ts"]
+    names = [r["table_name"] for r in reports.mark_state(wh.control.marks(), "silver\\_%").collect()]
     assert names == sorted(f"silver_{t}" for t in [*ENTITIES, "sales_enriched"])
 
 
 def test_time_travel_on_stored_tables(story):
     wh, _ = story
-    assert rows_of(wh.as_of_version("silver", "orders", 0).select("order_id", "order_status")) == [
-        (100, "PAID"), (101, "NEW"), (102, "NEW"),
-    ]
-    assert wh.as_of_version("gold", "fact_sales", 0).count() == 3
-    first = wh.history("gold", "fact_sales").orderBy("version").first()["commit_ts"]
-    assert wh.as_of_timestamp("gold", "fact_sales", F.lit(first)).count() == 3
-    with pytest.raises(Exception, match="is not kept"):
-        wh.as_of_version("silver", "orders", 7).count()
-    with pytest.raises(Exception, match="no version that old is kept"):
-        wh.as_of_timestamp("gold", "fact_sales", F.current_timestamp() - F.expr("INTERVAL 1 DAY")).count()
-
-
-def test_upkeep_keeps_the_rows(story, spark, tmp_path):
-    shutil.copytree(story[0].layout.root, tmp_path / "store")
-    wh = open_warehouse(spark, tmp_path)
-    tables = [("bronze", "customers_raw"), ("silver", "orders"), ("gold", "fact_sales")]
+    orders = wh.keyed("orders")
+    assert rows_of(orders.as_of_version(0).select("order_id", "order_status")) == [(100, "PAID"), (101, "NEW"), (102, "NEW")]
+    assert rows_of(orders.as_of_version(1)) == rows_of(orders.current())
+    told = orders.history().orderBy("version").collect()
+    assert [(r["version"], r["rows_written"]) for r in told] == [(0, 3), (1, 2)]
+    assert orders.as_of_timestamp(F.lit(told[0]["commit_ts"])).count() == 3
+    plan = orders.as_of_version(0)._jdf.queryExecution().executedPlan().toString()
+    assert not any(x in plan for x in ("Window", "Exchange", "Sort "))
+    with pytest.raises(LookupError, match="is not kept"):
+        orders.as_of_version(7)
+    with pytest.raises(LookupError, match="no version that old is kept"):
+        orders.as_of_timestamp(F.current_timestamp() - F.expr("INTERVAL 1 DAY"))
+
+
+def test_merges_leave_the_stored_table_where_it_lies(story, spark):
+    """Of a merge into a silver table only the batch is shuffled."""
+    wh, _ = story
+    table = wh.keyed("orders")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        made = bucketed.upsert_bucketed(table.rows(), table.rows().limit(2), "order_id", table.buckets)
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        joined = table.rows().join(table.rows().select("order_id"), "order_id")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "Bucketed: true" in plan and "Exchange" not in joined
+
+
+def test_upkeep_keeps_the_rows(spark, tmp_path):
+    wh = open_store(spark, tmp_path, "kept_")
+    loads.setup(wh)
+    deliver(tmp_path, FIRST)
+    loads.run_all(wh)
+    deliver(tmp_path, FIRST, SECOND)
+    loads.run_all(wh)
+    tables = [("kept_bronze", "customers_raw"), ("kept_silver", "orders"), ("kept_gold", "fact_sales"), ("kept_gold", "dim_customers")]
+    plain = {t: upkeep.CLUSTERING[(t[0].removeprefix("kept_"), t[1])] for t in tables}
     before = {t: rows_of(wh.rows(*t).select(*sorted(wh.rows(*t).columns))) for t in tables}
-    done = upkeep.optimize(wh, {t: upkeep.CLUSTERING[t] for t in tables})
+    done = upkeep.optimize(wh, plain)
     assert all(isinstance(o, loads.Outcome) for o in done.values()), done
+    assert done["kept_silver.orders"].message == "kept in buckets by order_id"
     assert {t: rows_of(wh.rows(*t).select(*sorted(wh.rows(*t).columns))) for t in tables} == before
 
-    # Nothing is old yet; later both old versions are, and one base version is left.
-    assert upkeep.vacuum(wh, tables)["silver.orders"].rows == 0
-    size = bytes_in(tmp_path / "store/silver/orders")
+    # Nothing is old yet; later the rows that the second load replaced are.
+    orders = wh.keyed("orders")
+    assert upkeep.vacuum(wh, tables)["kept_silver.orders"].rows == 0 and orders.closed().count() == 1
     later = F.current_timestamp() + F.expr("INTERVAL 200 HOURS")
-    current = rows_of(wh.current("silver", "orders"))
+    current, size = rows_of(orders.current()), bytes_in(tmp_path / "store/kept_silver/orders")
     done = upkeep.vacuum(wh, tables, now=later)
-    assert done["silver.orders"].rows == 4 and done["bronze.customers_raw"].rows == 0
-    assert bytes_in(tmp_path / "store/silver/orders") < size and bytes_in(tmp_path / "store/gold/fact_sales") > 0
-    assert bytes_in(tmp_path / "store/control/settled") == 0
-    assert rows_of(wh.current("silver", "orders")) == current
-    assert [r["version"] for r in wh.history("silver", "orders").collect()] == [1]
-    with pytest.raises(Exception, match="version 0 is not kept"):
-        wh.as_of_version("silver", "orders", 0).count()
-
-    # Loads go on after a rewrite.
+    assert done["kept_silver.orders"].rows == 1 and done["kept_bronze.customers_raw"].rows == 0
+    assert bytes_in(tmp_path / "store/kept_silver/orders") < size and orders.closed().count() == 0
+    assert rows_of(orders.current()) == current == rows_of(orders.as_of_version(1))
+    assert [r["version"] for r in orders.history().collect()] == [1]
+    with pytest.raises(LookupError, match="version 0 is not kept"):
+        orders.as_of_version(0)
+
+    # Loads go on after upkeep.
     late = {n: [] for n in ENTITIES} | {
         "orders": [("104", "1", "2023-06-01", "new", "1", "2023-06-01 00:00:00", "2023-06-01 00:00:00")]
     }
     deliver(tmp_path, FIRST, SECOND, late)
     loads.run_layer(loads.load_bronze, wh)
     loads.run_layer(loads.load_silver, wh)
-    assert wh.current("silver", "orders").count() == 5
-    assert wh.as_of_version("silver", "orders", 1).count() == 4
+    assert orders.current().count() == 5 and orders.as_of_version(1).count() == 4
 
     # Changed orders without items still move the mark.
     assert loads.load_enriched(wh).rows == 0
     assert mark_of(wh, "silver_sales_enriched") == ("2023-06-01 00:00:00", "SUCCESS")
-    recent = reports.recent_runs(wh.run_log(), ("OPTIMIZE", "VACUUM"), 30)
-    assert recent.count() == 9
+    assert reports.recent_runs(wh.control.run_log(), ("OPTIMIZE", "VACUUM"), 30).count() == 12
 
 
 def test_upkeep_errors(spark, tmp_path):
-    wh = open_warehouse(spark, tmp_path)
-    missing = {("gold", "dim_products"): ("product_id",)}
-    assert isinstance(upkeep.optimize(wh, missing)["gold.dim_products"], MissingTable)
-    assert wh.run_log().first()["run_status"] == "FAILED"
+    wh = open_store(spark, tmp_path, "none_")
+    missing = {("none_gold", "dim_products"): ("product_id",)}
+    assert isinstance(upkeep.optimize(wh, missing)["none_gold.dim_products"], MissingTable)
+    assert wh.control.run_log().first()["run_status"] == "FAILED"
     with pytest.raises(MissingTable):
         upkeep.optimize(wh, missing, on_error="raise")
 
 
 def test_failed_load_keeps_mark_and_is_repeatable(spark, tmp_path, monkeypatch):
-    wh = open_warehouse(spark, tmp_path)
+    wh = open_store(spark, tmp_path, "failed_")
+    bronze = "failed_bronze"
     loads.setup(wh)
     deliver(tmp_path, FIRST)
     loads.load_bronze(wh, "orders")
     before = mark_of(wh, "orders")[0]
     deliver(tmp_path, FIRST, SECOND)
-    write = Warehouse.write_load
+    write = Store.overwrite
 
     def dies(self, *args, **kwargs):
         write(self, *args, **kwargs)
         raise OSError("lost after writing")
 
-    monkeypatch.setattr(Warehouse, "write_load", dies)
+    monkeypatch.setattr(Store, "overwrite", dies)
     with pytest.raises(OSError):
         loads.load_bronze(wh, "orders")
     assert mark_of(wh, "orders") == (before, "FAILED")
-    assert wh.current("bronze", "orders_raw").count() == 4
-    assert wh.run_log().filter("run_status = 'FAILED'").first()["message"] == "lost after writing"
+    assert wh.control.run_log().filter("run_status = 'FAILED'").first()["message"] == "lost after writing"
 
-    monkeypatch.setattr(Warehouse, "write_load", write)
-    assert loads.load_bronze(wh, "orders").rows == 2
-    assert wh.current("bronze", "orders_raw").count() == 6
-    assert mark_of(wh, "orders")[1] == "SUCCESS"
+    # The rows are there, the mark is not: the next load takes none twice and moves the mark.
+    monkeypatch.setattr(Store, "overwrite", write)
+    assert loads.load_bronze(wh, "orders").rows == 0
+    assert wh.current(bronze, "orders_raw").count() == 6
+    assert mark_of(wh, "orders") == ("2023-05-02 09:00:00", "SUCCESS")
 
-    # A load whose rows are committed but whose mark was never moved is not repeated either.
     late = {n: [] for n in ENTITIES} | {
         "orders": [("104", "1", "2023-06-01", "new", "1", "2023-06-01 00:00:00", "2023-06-01 00:00:00")]
     }
@@ -325,8 +365,53 @@ def test_failed_load_keeps_mark_and_is_repeatable(spark, tmp_path, monkeypatch):
     with pytest.raises(ZeroDivisionError):
         loads.load_bronze(wh, "orders")
     monkeypatch.setattr(control, "mark_success", move)
-    assert wh.current("bronze", "orders_raw").count() == 7
+    assert wh.current(bronze, "orders_raw").count() == 7
     assert loads.load_bronze(wh, "orders").rows == 0
     assert mark_of(wh, "orders") == ("2023-06-01 00:00:00", "SUCCESS")
-    assert loads.load_bronze(wh, "orders").rows == 0
-    assert wh.current("bronze", "orders_raw").count() == 7
+    assert wh.current(bronze, "orders_raw").count() == 7
+
+
+@pytest.mark.parametrize("step", ["closed", "commit", "open", "rename"])
+def test_a_merge_that_was_cut_off_is_repeated(spark, tmp_path, monkeypatch, step):
+    """Wherever a merge stops, the table is as before or as after it, and repeating it gives the same."""
+    create_namespace(spark, "cut", "for a test")
+    table = KeyedTable(spark, f"cut.t_{step}", str(tmp_path / "t"), "id", 3)
+    rows = lambda *r: spark.createDataFrame(list(r), "id long, x string")
+    table.upsert(rows((1, "a"), (2, "a")))
+    batch = rows((2, "b"), (3, "b"))
+
+    def stop(*args, **kwargs):
+        raise OSError("cut off")
+
+    with monkeypatch.context() as cut:
+        if step == "closed":
+            cut.setattr(bucketed, "upsert_bucketed", stop)
+        elif step == "commit":
+            cut.setattr(KeyedTable, "_replace", stop)
+        elif step == "open":
+            cut.setattr(bucketed, "write_dealt", stop)
+        else:
+            said = spark.sql
+            cut.setattr(type(spark), "sql", lambda self, text, *a, **k: stop() if "RENAME" in text else said(text, *a, **k))
+        with pytest.raises(OSError):
+            table.upsert(batch)
+    seen = rows_of(table.current())
+    assert seen == ([(1, "a"), (2, "a")] if step != "rename" else [(1, "a"), (2, "b"), (3, "b")])
+    table.upsert(batch)
+    assert rows_of(table.current()) == [(1, "a"), (2, "b"), (3, "b")]
+    assert rows_of(table.as_of_version(0)) == [(1, "a"), (2, "a")]
+    assert rows_of(table.as_of_version(table.version())) == rows_of(table.current())
+
+
+def test_keyed_tables_take_new_columns_and_nothing(spark, tmp_path):
+    create_namespace(spark, "cols", "for a test")
+    table = KeyedTable(spark, "cols.t", str(tmp_path / "t"), "id", 2)
+    with pytest.raises(MissingTable):
+        table.rows()
+    assert table.upsert(spark.createDataFrame([], "id long, x string")) == 0 and not table.exists()
+    table.upsert(spark.createDataFrame([(1, "a"), (2, "a")], "id long, x string"))
+    table.upsert(spark.createDataFrame([(2, 7)], "id long, y int"))
+    assert rows_of(table.current().select("id", "x", "y")) == [(1, "a", None), (2, None, 7)]
+    assert rows_of(table.as_of_version(0).select("id", "x", "y")) == [(1, "a", None), (2, "a", None)]
+    assert table.upsert(spark.createDataFrame([], "id long, x string")) == 0 and table.version() == 1
+    assert rows_of(table.changed_since(0).select("id", "x")) == [(2, "a"), (2, None)]

@@ -1,9 +1,9 @@
 from __future__ import annotations
 
-import math
-
+import datetime as dt
 from datetime import datetime
 
+import pyarrow.parquet as pq
 import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F, types as T
@@ -14,7 +14,7 @@ from stratalith.operators.clean import clean, parse_timestamps, rejects
 from stratalith.operators.dedup import latest_per_key
 from stratalith.operators.joins import hot_keys, only_keys_of, spread_join
 from stratalith.plans import enrich, gold, reports
-from stratalith.sources import control
+from stratalith.sources import control, footers
 from stratalith.sources.csv_files import read_csv, with_source_file
 from stratalith.spec import CUSTOMERS, ENTITIES
 
@@ -291,7 +291,7 @@ def test_z_address_interleaves_bits(spark):
 
 def test_buckets_count_cut_points(spark):
     df = spark.createDataFrame([(v, f"s{v}") for v in (None, 1, 2, 3, 9)], "a int, b string")
-    got, names = layout.with_buckets(df, {"a": [2, 3, 5], "b": ["s2"]}, 2)
+    got, names = layout.with_buckets(df, {"a": [2, 3, 5], "b": [int.from_bytes(b"s2".ljust(layout.PREFIX, b"\0"))]}, 2)
     assert [tuple(r) for r in got.select(*names).collect()] == [(0, 1), (0, 0), (1, 1), (2, 1), (3, 1)]
     none, names = layout.with_buckets(df, {"a": []})
     assert [r[0] for r in none.select(*names).collect()] == [0] * 5
@@ -306,7 +306,6 @@ def test_cluster_by_keeps_rows_and_narrows_files(spark, tmp_path):
     clustered.write.parquet(out)
     back = spark.read.parquet(out)
     assert rows_of(back) == rows_of(df) and len(back.inputFiles()) == 16
-    assert layout.files_needed(back) == 1 and layout.files_needed(spark.range(10**9)) == math.ceil(8 * 10**9 / (128 << 20))
     for c in ("a", "b"):
         width = back.groupBy(F.input_file_name()).agg((F.max(c) - F.min(c)).alias("w")).agg(F.avg("w")).first()[0]
         assert width < 500, (c, width)
@@ -314,6 +313,70 @@ def test_cluster_by_keeps_rows_and_narrows_files(spark, tmp_path):
     assert rows_of(layout.cluster_by(df, ["s", "a"], within=["b"])) == rows_of(df)
 
 
+def test_placing_rises_with_every_kind_of_column(spark):
+    df = spark.sql("""SELECT * FROM VALUES
+        (1, 1.5D, date'1969-12-31', timestamp'1969-12-31 23:00:00', timestamp_ntz'2020-01-01', 'a', true, cast(1.5 AS decimal(9,2))),
+        (-7, -1e300D, date'2020-01-01', timestamp'2020-01-01', timestamp_ntz'1900-01-01', '', false, cast(-3 AS decimal(9,2))),
+        (9, 2.5D, date'1900-01-01', timestamp'1900-01-01', timestamp_ntz'2020-01-02', 'aé', true, cast(99 AS decimal(9,2))),
+        (NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL) AS t(i, d, day, at, wall, text, yes, money)""")
+    for c in df.columns:
+        rows = df.select(F.col(c), layout.placing(df, c)).orderBy(F.col(c).asc_nulls_first()).collect()
+        assert rows[0][1] is None and [r[1] for r in rows[1:]] == sorted(r[1] for r in rows[1:]), c
+    assert layout.cut_points(df.limit(0), ["i", "text"]) == {"i": [], "text": []}
+
+
+def test_cut_points_are_few_and_split_evenly(spark):
+    df = spark.range(100_000).selectExpr("pmod(hash(id), 100000) a", "concat('k', lpad(id, 6, '0')) s")
+    cuts = layout.cut_points(df, ["a", "s"], bits=4)
+    assert [len(v) for v in cuts.values()] == [15, 15]
+    bucketed, names = layout.with_buckets(df, cuts, 4)
+    for name in names:
+        sizes = [r["count"] for r in bucketed.groupBy(name).count().collect()]
+        assert len(sizes) == 16 and max(sizes) < 1.2 * 100_000 / 16
+
+
+def test_a_filter_on_each_clustered_column_reads_few_files(spark, tmp_path):
+    """Of 64 files clustered by three columns, a value of one is looked for in less than half, as the footers tell."""
+    out = tmp_path / "z"
+    df = spark.range(60_000).selectExpr("pmod(hash(id, 1), 5000) a", "date_add(date'2020-01-01', int(pmod(hash(id, 2), 900))) b", "concat('c', pmod(hash(id, 3), 3000)) c")
+    layout.cluster_by(df, ["a", "b", "c"], files=64).write.parquet(str(out))
+    footers = [pq.ParquetFile(f).metadata.row_group(0) for f in out.glob("*.parquet")]
+    assert len(footers) == 64
+    for k, value in enumerate((1234, dt.date(2021, 2, 3), "c1500")):
+        admitted = sum(g.column(k).statistics.min <= value <= g.column(k).statistics.max for g in footers)
+        assert 0 < admitted < 32, (k, admitted)
+
+
+def test_footers_answer_counts_and_bounds(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.range(0, 1000, 1, 4).selectExpr("id", "if(id % 3 = 0, null, int(-id)) n", "date_add(date'1970-01-01', int(id)) day", "'x' text", "timestamp'2020-01-01' at", "int(id % 2) part")
+    df.write.partitionBy("part").parquet(path)
+    counted = footers.row_counts(spark, {"t": path, "again": path})
+    assert rows_of(counted) == [("again", 1000), ("t", 1000)] and "PushedAggregation: [COUNT(*)]" in plan_of(counted)
+    bounds = footers.column_bounds(spark, path, ["id", "n", "day"])
+    assert rows_of(bounds) == [("day", 0, 999, 1000), ("id", 0, 999, 1000), ("n", -998, -1, 666)]
+    assert "PushedAggregation: [MIN(id)" in plan_of(bounds)
+    odd = footers.column_bounds(spark, path, ["id"], F.col("part") == 1)
+    assert rows_of(odd) == [("id", 1, 999, 500)] and "PushedAggregation: [MIN(id)" in plan_of(odd)
+    assert footers.column_bounds(spark, path, []).count() == 0 and footers.bounded_columns(spark, path)[:3] == ["id", "n", "day"]
+    # The caller's own session reads as before.
+    assert "PushedAggregation" not in plan_of(spark.read.parquet(path).agg(F.count(F.lit(1))))
+
+
+def test_aggregates_from_one_pass(spark):
+    rows = [(k % 7, k % 5 or None, f"s{k % 3}" if k % 4 else None, k % 6 or None, f"p{k % 6}", f"c{k % 2}", k % 9, dt.datetime(2020, 1 + k % 3, 1 + k % 4), k / 8) for k in range(400)]
+    schema = "order_id long, customer_id long, state string, product_id long, product_name string, category string, quantity int, order_date timestamp_ntz, sales_amount double"
+    fact = gold.fact_sales(spark.createDataFrame(rows, schema))
+    assert plan_of(gold.sales_cube(fact)).count("Scan ") == 1
+    cube = gold.sales_cube(fact).cache()
+    made = gold.aggregates_of(cube)
+    assert set(made) == set(gold.AGGREGATES)
+    for name, build in gold.AGGREGATES.items():
+        expected = build(fact)
+        assert made[name].columns == expected.columns and rows_of(made[name]) == rows_of(expected), name
+    assert [x.count() for x in gold.aggregates_of(gold.sales_cube(fact.limit(0))).values()] == [0] * 5
+
+
 def test_cluster_by_spreads_a_value_that_fills_the_table(spark):
     df = spark.range(16000).repartition(8).selectExpr("1 a", "'x' b", "1L id")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
