@@ -5,8 +5,12 @@ reported. Wider patterns propose further candidates. On every candidate several
 against it or abstain: patterns, gazetteers (top-level domains, country codes, card prefixes, reserved
 networks) and words of context. Expectation-maximisation estimates from the agreement of the votes,
 without labels, how far each labeler can be trusted. Its posteriors then train the span classifier, a
-logistic regression on votes and shape, which decides on the candidates beyond the base that have a
-valid form: one whose pattern labeler or checksum votes against it is not reported, whatever its probability.
+logistic regression on votes and shape, which alone decides on the candidates beyond the base.
+
+Much of what the wide patterns propose is nothing personal: dates, versions, book and order numbers. It stays among the candidates,
+so that the votes against it are seen. A corpus may hold few of them; so the tables of votes start
+from a weak belief that labelers are right more often than not, and the classifier is also trained on votes drawn from
+the tables themselves, in which all combinations occur.
 """
 
 from __future__ import annotations
@@ -26,6 +30,8 @@ from stratalith.llm.common import ship_package
 KINDS = ("email", "ip", "card", "phone")
 # Probability from which a candidate beyond the base is reported.
 LEAST = 0.9
+# Candidates of either truth that the belief in the labelers counts as, and the ridge of the classifier.
+BELIEF, RIDGE = 8.0, 1e-4
 # Characters before a candidate in which context words are looked for.
 CONTEXT = 40
 
@@ -51,7 +57,10 @@ _DIGIT = re.compile(r"[0-9]")
 
 # Gazetteers and context words.
 DOMAINS = frozenset("com org net edu gov int info biz io ai app dev co me tv us uk de fr es it nl be ch at se no fi dk pl pt cz ie eu ca mx br ar au nz jp cn in kr za ru ua tr".split())
-COUNTRIES = ("1", "7", "20", "27", "30", "31", "32", "33", "34", "36", "39", "40", "41", "43", "44", "45", "46", "47", "48", "49", "51", "52", "54", "55", "56", "57", "60", "61", "62", "63", "64", "65", "66", "81", "82", "84", "86", "90", "91", "92", "351", "352", "353", "358", "380", "420", "421")
+# Country codes of one and two digits, and the first two digits of those of three.
+_SHORT_CODES = "1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split()
+_ZONES = "21 22 23 24 25 26 29 35 37 38 42 50 59 67 68 69 80 85 87 88 96 97 99".split()
+COUNTRIES = tuple(_SHORT_CODES + _ZONES)
 CARDS = ("4", "51", "52", "53", "54", "55", "2221", "23", "24", "25", "26", "270", "271", "2720", "34", "37", "6011", "65", "35", "36", "38", "30")
 CUES = {
     "email": frozenset("mail email e-mail contact write address inbox mailto correo courriel adresse".split()),
@@ -68,6 +77,17 @@ NETWORKS = tuple(map(ipaddress.IPv6Network, ("64:ff9b::/96", "2000::/3", "fc00::
 _NATIONAL = re.compile(r"[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}|0[1-9][0-9]{1,3}(?:[ ./-][0-9]{2,5}){1,4}|0[1-9](?:[ .-][0-9]{2}){4}")
 
 LABELERS = ("base rule", "pattern", "gazetteer", "checksum", "cue before", "other before", "edges", "variety")
+# What the vote tables of the labelers after the first start from: the chances of a vote against, none and for, on candidates that
+# are nothing personal and on those that are. A wrong form or checksum speaks against more than any word speaks for.
+BELIEVED = np.array([
+    [[0.70, 0.10, 0.20], [0.02, 0.08, 0.90]],
+    [[0.50, 0.30, 0.20], [0.10, 0.30, 0.60]],
+    [[0.60, 0.35, 0.05], [0.02, 0.58, 0.40]],
+    [[0.01, 0.89, 0.10], [0.01, 0.59, 0.40]],
+    [[0.30, 0.69, 0.01], [0.05, 0.94, 0.01]],
+    [[0.30, 0.01, 0.69], [0.10, 0.01, 0.89]],
+    [[0.20, 0.01, 0.79], [0.05, 0.01, 0.94]],
+])
 
 
 class Span(NamedTuple):
@@ -148,7 +168,9 @@ def _votes(text: str, span: Span, base: bool) -> tuple[int, ...]:
     if span.kind == "email":
         plain = re.sub(_DOT, ".", re.sub(_AT, "@", body, count=1, flags=re.I), flags=re.I)
         pattern = 1 if re.fullmatch(r"[\w.%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", plain) else -1
-        gazetteer = 1 if plain.rpartition(".")[2].lower() in DOMAINS else -1
+        top = plain.rpartition(".")[2].lower()
+        # Every country has a domain of two letters.
+        gazetteer = 1 if top in DOMAINS or len(top) == 2 else -1
     elif span.kind == "ip" and ":" in body:
         address = ipv6(body)
         gazetteer = 1 if address and any(address in n for n in NETWORKS) else -1 if "::" in body else 0
@@ -185,11 +207,7 @@ def candidates(text: str) -> list[Candidate]:
             continue
         own: list[tuple[int, int]] = []
         for m in pattern.finditer(text):
-            a, b = m.span(1)
-            digits = _digits(m[1])
-            if kind == "phone" and not 7 <= len(digits) <= 17 or kind == "card" and not 13 <= len(digits) <= 19:
-                continue
-            own.append((a, b))
+            own.append(m.span(1))
         # A span that meets a base span, or one of an earlier kind, is no candidate.
         free, k, at = [], 0, sorted(taken)
         for a, b in own:
@@ -222,36 +240,67 @@ class Classifier:
 
 
 def estimate(votes: np.ndarray, counts: np.ndarray, rounds: int = 60) -> tuple[np.ndarray, np.ndarray]:
-    """Posteriors of vote patterns, and ``labeler x truth x (against, none, for)`` probabilities, by expectation-maximisation."""
+    """Posteriors of vote patterns, and ``labeler x truth x (against, none, for)`` probabilities, by expectation-maximisation.
+
+    Labelers are in the order of BELIEVED, from which their tables start with the weight of BELIEF candidates of either truth; further ones
+    start from nothing. Without rounds the majority of the votes stands.
+    """
     posterior = 1 / (1 + np.exp(-votes.sum(axis=1).astype(float)))
-    tables = np.zeros((votes.shape[1], 2, 3))
+    start = np.concatenate([BELIEVED, np.full((max(0, votes.shape[1] - len(BELIEVED)), 2, 3), 1 / 3)])[: votes.shape[1]]
+    tables = start.copy()
     for _ in range(rounds):
         weight = np.stack([(1 - posterior) * counts, posterior * counts])
         for labeler in range(votes.shape[1]):
             for vote in (-1, 0, 1):
                 tables[labeler, :, vote + 1] = weight[:, votes[:, labeler] == vote].sum(axis=1)
-        tables = (tables + 1) / (tables + 1).sum(axis=2, keepdims=True)
-        prior = (weight.sum(axis=1) + 1) / (counts.sum() + 2)
-        score = np.log(prior)[:, None] + sum(np.log(tables[k][:, votes[:, k] + 1]) for k in range(votes.shape[1]))
-        posterior = 1 / (1 + np.exp(np.clip(score[0] - score[1], -500, 500)))
+        tables = tables + BELIEF * start
+        tables /= tables.sum(axis=2, keepdims=True)
+        posterior = _posterior(votes, tables, _prior(posterior, counts))
     return posterior, tables
 
 
-def trained(patterns: list[tuple[str, tuple[int, ...], int, int]]) -> Classifier:
-    """From counts of ``(kind, votes, shape)``; a kind without candidates has no classifier."""
+def _prior(posterior: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    return np.array([((1 - posterior) * counts).sum() + BELIEF, (posterior * counts).sum() + BELIEF]) / (counts.sum() + 2 * BELIEF)
+
+
+def _posterior(votes: np.ndarray, tables: np.ndarray, prior: np.ndarray) -> np.ndarray:
+    score = np.log(prior)[:, None] + sum(np.log(tables[k][:, votes[:, k] + 1]) for k in range(votes.shape[1]))
+    return 1 / (1 + np.exp(np.clip(score[0] - score[1], -500, 500)))
+
+
+def _drawn(tables: np.ndarray, prior: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every combination of votes, and its probability by the tables."""
+    votes = np.stack(np.meshgrid(*[[-1, 0, 1]] * len(tables), indexing="ij"), axis=-1).reshape(-1, len(tables))
+    each = prior[:, None] * np.prod([tables[k][:, votes[:, k] + 1] for k in range(len(tables))], axis=0)
+    return votes, each.sum(axis=0)
+
+
+def trained(patterns: list[tuple[str, tuple[int, ...], int, int]], rounds: int = 60) -> Classifier:
+    """From counts of ``(kind, votes, shape)``; a kind without candidates has no classifier.
+
+    A kind has a prior and vote tables of its own; the vote of the base rule, by which the base was chosen, is in none. Half of
+    what the regression is trained on are the candidates, the other half the votes that the tables give, with the shapes of the candidates.
+    """
     weights, reliabilities = {}, {}
     for kind in KINDS:
         own = sorted((v, s, n) for k, v, s, n in patterns if k == kind)
         if not own:
             continue
-        votes, counts = np.array([v for v, _, _ in own]), np.array([n for _, _, n in own], float)
-        posterior, reliabilities[kind] = estimate(votes, counts)
-        x = np.stack([Classifier.features(v, s) for v, s, _ in own])
-        share, w = counts / counts.sum(), np.zeros(x.shape[1])
+        votes, counts = np.array([v[1:] for v, _, _ in own]), np.array([n for _, _, n in own], float)
+        posterior, reliabilities[kind] = estimate(votes, counts, rounds)
+        tables, prior = reliabilities[kind], _prior(posterior, counts)
+        drawn, chance = _drawn(tables, prior)
+        guessed = _posterior(drawn, tables, prior) if rounds else 1 / (1 + np.exp(-drawn.sum(axis=1).astype(float)))
+        seen = np.stack([Classifier.features(v, s) for v, s, _ in own])
+        shapes = (seen[:, 2 * len(LABELERS) : -1] * counts[:, None]).sum(axis=0) / counts.sum()
+        none = np.zeros((len(drawn), 1))
+        made = np.concatenate([none, drawn > 0, none, drawn < 0, np.repeat(shapes[None], len(drawn), axis=0), none + 1], axis=1)
+        x, wanted = np.concatenate([seen, made]), np.concatenate([posterior, guessed])
+        share, w = 0.5 * np.concatenate([counts / counts.sum(), chance]), np.zeros(seen.shape[1])
         for _ in range(50):
-            p = 1 / (1 + np.exp(-x @ w))
-            slope = x.T @ (share * (posterior - p)) - 1e-3 * w
-            curve = (x * (share * p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(len(w))
+            p = 1 / (1 + np.exp(-np.clip(x @ w, -500, 500)))
+            slope = x.T @ (share * (wanted - p)) - RIDGE * w
+            curve = (x * (share * p * (1 - p))[:, None]).T @ x + RIDGE * np.eye(len(w))
             step = np.linalg.solve(curve, slope)
             w = w + step * min(1.0, 5 / max(1e-9, np.abs(step).max()))
         weights[kind] = w
@@ -284,8 +333,7 @@ def spans_of(text: str, classifier: Classifier, least: float = LEAST) -> tuple[l
     """Base spans, and all spans."""
     found = candidates(text)
     base = [c.span for c in found if c.base]
-    # A candidate beyond the base needs a valid form and no failed checksum; of those the probability decides.
-    more = [c.span for c in found if not c.base and c.votes[1] > 0 and c.votes[3] >= 0 and classifier.probability(c.span.kind, c.votes, c.shape) >= least]
+    more = [c.span for c in found if not c.base and classifier.probability(c.span.kind, c.votes, c.shape) >= least]
     return sorted(base, key=_order), sorted(base + more, key=_order)
 
 
@@ -294,7 +342,8 @@ def personal_data(docs: DataFrame, classifier: Classifier | None = None, least:
 
     Counts are of base spans. Spans are ``kind:start:end`` in code points, by start and then kind,
     joined by commas. Null texts count as empty. Rows are not combined or shuffled, other columns are
-    ignored; an empty table gives no rows.
+    ignored; an empty table gives no rows. Repeated rows give repeated rows, and their candidates count as often for the classifier.
+    Spans of different kinds may overlap in the base; what is added meets no other span. Texts are searched whole, however long.
     """
     import hashlib
 
@@ -326,7 +375,11 @@ def replaced(text: str, spans: list[Span]) -> str:
 
 
 def without_personal_data(docs: DataFrame, classifier: Classifier | None = None, least: float = LEAST, text_col: str = "text", length_col: str | None = None) -> DataFrame:
-    """``docs`` with personal data replaced by its kind; ``length_col``, if named, gets the new number of characters. Null texts stay null."""
+    """``docs`` with personal data replaced by its kind; ``length_col``, if named, gets the new number of characters.
+
+    Null texts stay null, with a null length. Of spans that overlap the union is replaced, under the name of the first. All other columns stay
+    as they are; repeated rows stay repeated. Nothing is shuffled; an empty table gives no rows.
+    """
     ship_package(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(classifier or learn(docs, text_col))
 
