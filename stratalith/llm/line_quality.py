@@ -1,8 +1,10 @@
 """Quality rules and line labels by a linear-chain conditional random field.
 
-Every line of a document is described by a fixed set of binary features. A linear-chain CRF with two
-labels, content and boilerplate, is trained on documents with known quality; the lines of a good
-document count as content, those of a bad one as boilerplate. Viterbi decoding labels the lines of
+Every line of a document is described by a fixed set of binary features. The labels known are of documents,
+not of lines, and good documents hold boilerplate as bad ones hold sentences. So line labels are estimated first:
+expectation-maximisation over kinds of lines, in which the quality of a document is no more than the share of content
+that its lines have before they are looked at. A linear-chain CRF with the two labels content and boilerplate is then
+trained on these lines, which also tells it how often a label changes from one line to the next. Viterbi decoding labels the lines of
 every document, and the share of its words' bytes in content lines decides whether it is kept.
 """
 
@@ -30,13 +32,16 @@ TRAIN_LINES = 450_000
 # A document is kept if at least this share of its words' bytes is in content lines.
 LEAST_CONTENT = 0.5
 CONTENT, BOILERPLATE = 0, 1
+# Between what bounds the share of content lines lies in documents of known quality: most lines of a good document are content, of a
+# bad one are not, and neither has lines of one label only.
+BAD_SHARES, GOOD_SHARES = (0.2, 0.5), (0.75, 0.95)
 _FEATURES = (
     ["words=0", "words<3", "words<6", "words<13", "words<31", "words>30"]
     + ["symbols=0", "symbols<2%", "symbols<8%", "symbols>8%"]
     + ["distinct<40%", "distinct<70%", "distinct<90%", "distinct>90%"]
     + ["length<3", "length<5", "length<7", "length>7"]
     + ["short<8%", "short<25%", "short>25%"]
-    + ["capital", "ends a sentence", "repeats a line", "digits", "first", "last", "always"]
+    + ["capital", "ends a sentence", "repeats a line", "digits", "first", "last", "always", "shouts"]
 )
 N_FEATURES = len(_FEATURES)
 
@@ -104,6 +109,7 @@ def line_features(text: str) -> tuple[list[int], list[int]]:
         feature |= 1 << (18 + _step(sum([x <= 3 for x in lengths]) / n if n else 0, 0.08, 0.25))
         feature |= (stripped[:1].isupper() << 21) | ((stripped[-1:] in _ENDS) << 22) | ((n > 0 and line in seen) << 23)
         feature |= ((_DIGIT.search(line) is not None) << 24) | ((k == 0) << 25) | ((k == last) << 26) | (1 << 27)
+        feature |= (n > 1 and line.isupper()) << 28
         seen.add(line)
         bits.append(feature)
         sizes.append(size)
@@ -148,25 +154,27 @@ class Field:
         return labels[::-1]
 
     @staticmethod
-    def trained(documents: list[tuple[list[int], int]], rounds: int = 100, rate: float = 0.1, ridge: float = 1e-3) -> Field:
+    def trained(documents: list[tuple[list[int], list[int]]], rounds: int = 100, rate: float = 0.1, ridge: float = 1e-3) -> Field:
         """Maximum likelihood with a ridge, by gradient steps with adaptive rates (Adam).
 
-        ``documents``: line features and the label of all lines. The sequences go through the forward and
+        ``documents``: the features and the label of each line. The sequences go through the forward and
         backward recursions side by side, the longest first: line ``t`` of all that have one lies from
         ``at[t]`` to ``at[t + 1]``, so nothing is padded.
         """
         documents = sorted((d for d in documents if d[0]), key=lambda d: -len(d[0]))
         if not documents:
             return Field()
-        n, lengths, label = len(documents), np.array([len(b) for b, _ in documents]), np.array([y for _, y in documents])
+        n, lengths = len(documents), np.array([len(b) for b, _ in documents])
         longest = int(lengths[0])
         alive = np.searchsorted(-lengths, -np.arange(longest), side="left")
         at = np.concatenate([[0], np.cumsum(alive)])
-        bits, whose = np.zeros(at[-1], np.int64), np.zeros(at[-1], np.int64)
-        for k, (b, _) in enumerate(documents):
-            bits[at[: len(b)] + k], whose[at[: len(b)] + k] = b, k
-        # Good and bad documents weigh alike, each line of a document the same.
-        share = np.where(label == 1, 0.5 / max(1, (label == 1).sum()), 0.5 / max(1, (label == 0).sum())) / lengths
+        bits, whose, label = (np.zeros(at[-1], np.int64) for _ in range(3))
+        for k, (b, y) in enumerate(documents):
+            here = at[: len(b)] + k
+            bits[here], whose[here], label[here] = b, k, y
+        # Documents that are mostly of either label weigh alike, each line of a document the same.
+        mostly = np.bincount(whose, label, n) > 0.5 * lengths
+        share = np.where(mostly, 0.5 / max(1, mostly.sum()), 0.5 / max(1, (~mostly).sum())) / lengths
         # Lines with the same features are multiplied once.
         kinds, kind = np.unique(bits, return_inverse=True)
         features = matrix(kinds)
@@ -175,7 +183,7 @@ class Field:
         before = later - np.repeat(alive[:-1], alive[1:])
         ends = at[lengths - 1] + np.arange(n)
         truth = np.zeros((len(bits), 2))
-        truth[np.arange(len(bits)), label[whose]] = share[whose]
+        truth[np.arange(len(bits)), label] = share[whose]
         field, state = Field(), [np.zeros((N_FEATURES + 2, 2)) for _ in range(2)]
         for step in range(1, rounds + 1):
             score = (features @ field.weights)[kind]
@@ -194,7 +202,7 @@ class Field:
             pair = forward[before][:, :, None] + field.moves + (score + backward)[later][:, None, :] - total[later, None, None]
             expected = (np.exp(pair) * share[whose[later], None, None]).sum(axis=0)
             moved = np.zeros((2, 2))
-            np.add.at(moved, (label, label), (lengths - 1) * share)
+            np.add.at(moved, (label[before], label[later]), share[whose[later]])
             slope = np.concatenate([gradient, moved - expected]) - ridge * np.concatenate([field.weights, field.moves])
             state[0] = 0.9 * state[0] + 0.1 * slope
             state[1] = 0.999 * state[1] + 0.001 * slope**2
@@ -203,6 +211,47 @@ class Field:
         return field
 
 
+def line_labels(documents: list[tuple[list[int], bool]], rounds: int = 25, ridge: float = 1e-3) -> list[list[int]]:
+    """A label for every line of documents, given as line features and whether the document is good.
+
+    The kinds of lines (equal features) have a logistic model, and good and bad documents a share of content lines each. In turn
+    every line's probability to be content follows from its kind and from the share of its document's quality, and the model
+    and the shares are fitted to these probabilities. The shares stay within their bounds, so a quality never comes to mean its opposite. Good
+    and bad documents weigh alike. Without documents of both qualities all lines have the label of their documents.
+    """
+    some = [(b, good) for b, good in documents if b]
+    if len({good for _, good in some}) < 2:
+        return [[CONTENT if good else BOILERPLATE] * len(b) for b, good in documents]
+    kinds, kind = np.unique(np.concatenate([b for b, _ in some]), return_inverse=True)
+    lengths, good = np.array([len(b) for b, _ in some]), np.array([g for _, g in some])
+    weight = np.repeat(np.where(good, 1 / good.sum(), 1 / (~good).sum()) / lengths, lengths)
+    quality = np.repeat(good, lengths).astype(int)
+    # What lines of each kind weigh in bad and in good documents.
+    mass = np.stack([np.bincount(kind, weight * (quality == q), len(kinds)) for q in (0, 1)])
+    features, shares = matrix(kinds), np.array([np.mean(BAD_SHARES), np.mean(GOOD_SHARES)])
+    belief = np.stack([np.zeros(len(kinds)), np.ones(len(kinds))])
+    weights = np.zeros(N_FEATURES)
+    for _ in range(rounds):
+        wanted, size = (mass * belief).sum(axis=0), mass.sum(axis=0)
+        for _ in range(4):
+            p = 1 / (1 + np.exp(-np.clip(features @ weights, -30, 30)))
+            slope = features.T @ (wanted - size * p) - ridge * weights
+            curve = (features * (size * p * (1 - p))[:, None]).T @ features + ridge * np.eye(N_FEATURES)
+            step = np.linalg.solve(curve, slope)
+            weights = weights + step * min(1.0, 4 / max(1e-9, np.abs(step).max()))
+        score, middle = features @ weights, shares.mean()
+        odds = np.log(shares / (1 - shares)) - np.log(middle / (1 - middle))
+        belief = 1 / (1 + np.exp(-np.clip(score[None, :] + odds[:, None], -30, 30)))
+        shares = (mass * belief).sum(axis=1)
+        shares = np.array([np.clip(share, *bounds) for share, bounds in zip(shares, (BAD_SHARES, GOOD_SHARES))])
+    found = np.where(belief >= 0.5, CONTENT, BOILERPLATE)[quality, kind]
+    labels, at = [], 0
+    for b, _ in documents:
+        labels.append(found[at : at + len(b)].tolist())
+        at += len(b)
+    return labels
+
+
 def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS, id_col: str = "doc_id", text_col: str = "text", most_lines: int = TRAIN_LINES) -> Field:
     """A field from all lines of at most ``most`` labelled documents, chosen by a hash of their ids; without any, a field that calls all content.
 
@@ -228,7 +277,8 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS, id_col: st
             left[bool(r.quality)] -= r.n
             taken.append(r.doc_id)
     found = sorted((r.doc_id, list(r.lines), r.quality) for r in rows.where(F.col("doc_id").isin(taken)).collect()) if taken else []
-    return Field.trained([(lines, CONTENT if quality else BOILERPLATE) for _, lines, quality in found])
+    documents = [(lines, bool(quality)) for _, lines, quality in found]
+    return Field.trained([(lines, labels) for (lines, _), labels in zip(documents, line_labels(documents))])
 
 
 def judged(text: str, field: Field) -> tuple[Base, float, bool]:

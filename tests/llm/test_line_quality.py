@@ -49,12 +49,79 @@ def test_viterbi_is_the_best_sequence():
 
 def test_training_learns_single_lines_and_runs():
     good, bad = line_quality.line_features("A sentence of plain words here.\n" * 3)[0], line_quality.line_features("x | y\n" * 3)[0]
-    field = Field.trained([(good, 0), (bad, 1)] * 5)
+    field = Field.trained([(good, [0] * len(good)), (bad, [1] * len(bad))] * 5)
     assert set(field.viterbi(good)) == {0} and set(field.viterbi(bad)) == {1}
     assert field.moves[0, 0] > field.moves[0, 1] and field.moves[1, 1] > field.moves[1, 0]
+    # Where every line is followed by one of the other label, changes are learnt.
+    turns = [x for pair in zip(good, bad) for x in pair]
+    field = Field.trained([(turns, [0, 1] * len(good)), (turns[::-1], [1, 0] * len(good))] * 5)
+    assert field.moves[0, 1] > field.moves[0, 0] and field.moves[1, 0] > field.moves[1, 1]
     assert Field.trained([]).viterbi(bad) == [0] * len(bad)
 
 
+def test_training_follows_its_gradient():
+    """No small change of the fitted weights makes the lines likelier."""
+    rng = np.random.default_rng(5)
+    documents = [([int(x) for x in rng.integers(0, 64, n) << 20], [int(x) for x in rng.integers(0, 2, n)]) for n in (3, 4, 5, 2, 4)]
+
+    def likelihood(field):
+        mostly = [sum(y) > len(y) / 2 for _, y in documents]
+        total = -1e-3 / 2 * ((field.weights**2).sum() + (field.moves**2).sum())
+        for (bits, labels), m in zip(documents, mostly):
+            scores = line_quality.matrix(np.array(bits)) @ field.weights
+            worth = lambda y: sum(scores[k, a] for k, a in enumerate(y)) + sum(field.moves[a, b] for a, b in zip(y, y[1:]))  # noqa: E731, B023
+            every = np.logaddexp.reduce([worth(y) for y in itertools.product((0, 1), repeat=len(bits))])
+            total += (worth(labels) - every) * 0.5 / mostly.count(m) / len(bits)
+        return total
+
+    best = Field.trained(documents, rounds=600, rate=0.05)
+    top = likelihood(best)
+    for _ in range(30):
+        other = Field(best.weights + rng.normal(size=best.weights.shape) * 0.1, best.moves + rng.normal(size=(2, 2)) * 0.1)
+        assert likelihood(other) < top + 1e-4
+
+
+SENTENCES = ["The river carried the old boats slowly towards the harbour.", "Nobody in the village remembered when the mill was built.", "Rain fell on the hills through the whole of the morning.", "She wrote a long letter about the journey and its many stops."]
+NAVIGATION = ["Home | About | Contact", "### $$$ ###", "Login | Register | Help | Terms", "* * * % % %", "<<< Next >>> | <<< Back >>>", "BUY NOW BUY NOW BUY NOW"]
+
+
+def mixed_document(rng, content_share, n=14):
+    """Lines in runs, with the label of each."""
+    labels = []
+    while len(labels) < n:
+        labels += [int(rng.random() >= content_share)] * int(rng.integers(1, 4))
+    lines = [rng.choice(NAVIGATION) if y else " ".join(rng.choice(SENTENCES).split()[: int(rng.integers(6, 12))]) + "." for y in labels[:n]]
+    return "\n".join(lines), labels[:n]
+
+
+def test_lines_of_documents_that_mix_both(spark):
+    """Trained on the quality of documents alone, the field tells single lines apart."""
+    rng = np.random.default_rng(11)
+    train = [(k, *mixed_document(rng, 0.85 if k % 3 else 0.25)) for k in range(240)]
+    docs = spark.createDataFrame([(k, t) for k, t, _ in train], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k % 3 > 0), 0) for k, _, _ in train], "doc_id long, quality int, toxic int")
+    field = line_quality.train(docs, labels)
+    hits = found = there = 0
+    shares = []
+    for _ in range(120):
+        text, truth = mixed_document(rng, rng.random())
+        labelled = field.viterbi(line_quality.line_features(text)[0])
+        hits += sum(a == b == 1 for a, b in zip(labelled, truth))
+        found, there = found + sum(labelled), there + sum(truth)
+        shares.append(line_quality.judged(text, field)[1])
+    assert hits / found >= 0.9 and hits / there >= 0.9
+    assert sum(0.1 < x < 0.9 for x in shares) > 40 and min(shares) < 0.2 and max(shares) > 0.8
+
+
+def test_line_labels_keep_to_the_documents_where_nothing_else_is_known():
+    lines = line_quality.line_features("A sentence of plain words here.\nx | y")[0]
+    assert line_quality.line_labels([(lines, True), ([], True)]) == [[0, 0], []]
+    assert line_quality.line_labels([(lines, False)]) == [[1, 1]]
+    assert line_quality.line_labels([]) == []
+    mixed = line_quality.line_labels([(lines[:1] * 9 + lines[1:], True), (lines[:1] + lines[1:] * 9, False)])
+    assert mixed == [[0] * 9 + [1], [0] + [1] * 9]
+
+
 def test_rows(spark):
     rows = [(k, t) for k, t in enumerate(TEXTS)] + [(None, None), (0, "again"), (0, "again")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"quality": F.lit("clash"), "kept": F.lit(1)})
