@@ -19,7 +19,7 @@ from stratalith.llm.common import MIX, U64, mixed, ship_package
 
 DIMENSIONS = 1024
 UNKNOWN = "und"
-# Characters of a text that are looked at together; the next stretch repeats two of them.
+# Characters of a text that are looked at together; the result does not depend on it.
 SPAN = 1 << 20
 # Bound trigram vectors that are remembered, four KB each; when they are full the memory starts anew.
 REMEMBERED = 12_000
@@ -63,13 +63,16 @@ class Vectors:
         """Distinct trigrams of the lower-cased text and how often they occur; runs of other characters count as one blank."""
         codes, counts = [], []
         text = f" {(text or '').lower()} "
+        # The last two letters or blanks that count, of what comes before.
+        before = np.empty(0, np.int64)
         for at in range(0, len(text), SPAN):
-            points = np.frombuffer(text[max(0, at - 2) : at + SPAN].encode("utf-32-le", "replace"), np.uint32)
-            letters = self.table[points]
+            points = np.frombuffer(text[at : at + SPAN].encode("utf-32-le", "replace"), np.uint32)
+            letters = np.concatenate([before[-1:], self.table[points]])
             keep = np.ones(len(letters), bool)
             keep[1:] = (letters[1:] != 0) | (letters[:-1] != 0)
-            letters = letters[keep]
-            if len(letters) > 2 and letters.any():
+            letters = np.concatenate([before[:-1], letters[keep]])
+            before = letters[-2:]
+            if len(letters) > 2:
                 code = (letters[:-2] << 2 * _CODE) | (letters[1:-1] << _CODE) | letters[2:]
                 found = np.unique(code, return_counts=True)
                 codes.append(found[0])
@@ -123,6 +126,8 @@ def prototypes(labelled: DataFrame, lang_col: str = "lang", text_col: str = "tex
 
     Tasks count the trigrams of each language, bind and bundle them, and send one vector per language;
     the sums are whole numbers, so their order does not matter. The driver gets one vector per language.
+    Rows without a text or a language teach nothing, repeated rows count as often as they occur, and a language whose texts have no letters has
+    no prototype. Other columns are ignored; an empty table gives none. Texts are read whole.
     """
     ship_package(labelled.sparkSession)
 

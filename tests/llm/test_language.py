@@ -26,10 +26,9 @@ def plain_bundle(v, text):
 def test_bundles(monkeypatch):
     v = Vectors(256)
     texts = ["a", "Hello, World!", "éè ß 日本", "x  y\n\nz 12 q", "ab" * 50, "İi"]
-    for span in (1 << 20, 7):
+    texts += ["abcd,,,efgh ijkl", "Hello, World! and more", ",,,,,,,,,,,,a,,,,,,,,,,,,", "a,,,,,,,,,,,,,,,,,b"]
+    for span in (1 << 20, 7, 3, 2, 1):
         monkeypatch.setattr(language, "SPAN", span)
-        if span == 7:
-            texts = ["Hello, World! and more", "ab" * 50]
         counted = [v.counts(t) for t in texts]
         for text, (codes, counts), row in zip(texts, counted, v.bundles(counted)):
             assert (v.bundle(codes, counts) == plain_bundle(v, text)).all() and (row == plain_bundle(v, text)).all(), text

@@ -88,6 +88,17 @@ def test_rows_that_share_an_id(spark):
         assert sorted(((r.doc_id, r.text) for r in found), key=repr) == sorted([(3, b), (7, a), rows[4], rows[5]], key=repr)
 
 
+def test_columns_with_clashing_names_and_maps(spark):
+    """Rows that share id and text: one stays, whatever the other columns are called and hold."""
+    a = " ".join(f"a{k}" for k in range(40))
+    rows = [(1, a, 5, {"x": 2}, "k", 1), (1, a, 4, {"x": 1}, "k", 1), (None, a, 1, None, None, None), (2, "else " * 9, None, {}, "q", 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, own_id int, own_sha map<string, int>, own_key string, _own_number int")
+    for order in (docs, docs.orderBy("own_id")):
+        found = corpus_pipeline.near_duplicates(spark, order, "")
+        assert found.columns == docs.columns
+        assert sorted((r.doc_id, r.own_id) for r in found.collect()) == [(1, 4), (2, None)]
+
+
 @pytest.mark.parametrize("text", [None, "", "word"])
 def test_empty_and_tiny_tables(spark, tmp_path, text):
     sf_dir = str(tmp_path)
