@@ -81,6 +81,16 @@ def release(spark: SparkSession, *frames: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def few_files(df: DataFrame, a_core: int = 2, joined: int = 16) -> DataFrame:
+    """The same rows in ``a_core`` partitions a core at most, or in one for ``joined`` shuffle partitions where that is more.
+
+    Each file that a task writes costs more than the few rows in it, and on a local disk a process that is started beside the
+    executor. A task takes its partitions one after another, so it holds no more at once. The default is for results that are small beside the documents.
+    """
+    spark = df.sparkSession
+    return df.coalesce(max(a_core * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")) // joined))
+
+
 def hot_among(counts: DataFrame, key: str, n: str = "n") -> list:
     """The keys of ``counts(key, n)`` that hold more than half of what a shuffle partition should hold of all rows.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from stratalith.llm.common import hot_in, release, settled
+from stratalith.llm.common import few_files, hot_in, release, settled
 from stratalith.operators.joins import spread_join
 
 
@@ -24,18 +24,18 @@ def components(links: DataFrame) -> DataFrame:
     """
     spark = links.sparkSession
     links = links.select("a", "b").where("a <> b")
-    ends = settled(links.select(F.col("a").alias("node"), F.col("b").alias("other")).union(links.select("b", "a")).distinct(), "ends")
+    ends = settled(few_files(links.select(F.col("a").alias("node"), F.col("b").alias("other")).union(links.select("b", "a")).distinct()), "ends")
     hot = hot_in(ends, "node")
-    labels = settled(ends.groupBy("node").agg(F.min("other").alias("least")).select("node", F.least("node", "least").alias("component")), "labels")
+    labels = settled(few_files(ends.groupBy("node").agg(F.min("other").alias("least")).select("node", F.least("node", "least").alias("component"))), "labels")
     before = _weight(labels)
     while before is not None:
         near = spread_join(ends, labels, "node", "inner", row_id="other", hot=hot).groupBy("other").agg(F.min("component").alias("near"))
         seen = labels.join(near, labels.node == near.other).select("node", "component", F.least("component", "near").alias("near"))
         told = seen.select("node", "near").union(seen.where("near < component").select("component", "near"))
-        hooked = settled(told.groupBy("node").agg(F.min("near").alias("component")), "hooked")
+        hooked = settled(few_files(told.groupBy("node").agg(F.min("near").alias("component"))), "hooked")
         above = hooked.select(F.col("node").alias("component"), F.col("component").alias("above"))
         jumped = spread_join(hooked, above, "component", "inner", row_id="node", hot=hot_in(hooked, "component"))
-        new = settled(jumped.select("node", F.least("component", "above").alias("component")), "labels")
+        new = settled(few_files(jumped.select("node", F.least("component", "above").alias("component"))), "labels")
         release(spark, labels, hooked)
         labels, after = new, _weight(new)
         if after == before:

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from stratalith.llm.common import MIX, U64, block_minima, hot_in, mixed, parts_of, separators, settled, shingles_of, ship_package
+from stratalith.llm.common import MIX, U64, block_minima, few_files, hot_in, mixed, parts_of, separators, settled, shingles_of, ship_package
 from stratalith.operators.joins import spread_join
 
 WORDS = 5
@@ -171,7 +171,7 @@ def item_sets(items: DataFrame, size: int, id_col: str, text_col: str) -> tuple[
     rows = settled(rows.withColumn("item", F.sha2("shingles", 256)), "items")
     # Copies of one item are one set; only its digest is shuffled for that, with partial aggregation.
     sets = rows.groupBy("item").agg(F.first("shingles").alias("shingles"))
-    return rows.select("item_id", "item"), settled(sets, "item-sets")
+    return rows.select("item_id", "item"), settled(few_files(sets), "item-sets")
 
 
 def item_blocks(sets: DataFrame, percent: int) -> Iterator[tuple[list[str], Items]]:

@@ -177,6 +177,11 @@ class Encoder(dict):
 _encoders: dict[tuple[str, str], Encoder] = {}
 
 
+def forget() -> None:
+    """Give back what this process knows: tasks of other operators, which the same worker may run next, have no use for it."""
+    _encoders.clear()
+
+
 def encoder_for(description: str, dtype: str = "<u4") -> Encoder:
     """The encoder of this process: a worker that runs several tasks goes on with what it knows."""
     key = (hashlib.sha256(description.encode()).hexdigest(), dtype)

@@ -16,8 +16,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from stratalith.llm.common import MIX, U64, block_minima, hot_among, hot_in, mixed, parts_of, release, separators, settled, shingles_of, ship_package
+from stratalith.llm.common import MIX, U64, block_minima, few_files, hot_among, hot_in, mixed, parts_of, release, separators, settled, shingles_of, ship_package
 from stratalith.llm.components import components
+from stratalith.llm.encoding import forget
 from stratalith.operators.joins import spread_join
 
 HALF = 4
@@ -56,6 +57,7 @@ def sketches(docs: DataFrame, size: int, m: int, half: int, id_col: str, text_co
     """``doc_id, n_shingles, digest, bands``; bands are null for documents without words."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             for first, texts in parts_of(batch.column(1)):
                 sets = shingles(texts, size)
@@ -182,10 +184,10 @@ def near_duplicates(
     m = bands_needed(percent / 100, half, miss)
     sketch = settled(sketches(docs, size, m, half, id_col, text_col), "sketches")
     nodes = sketch.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands"), F.count(F.lit(1)).alias("n"))
-    nodes = settled(nodes, "nodes")
+    nodes = settled(few_files(nodes), "nodes")
     bands = nodes.where("node is not null").select("node", F.posexplode("bands").alias("slot", "band"))
-    common = settled(bands.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "common-bands")
-    bands = settled(spread_join(bands, common.select("band"), "band", "inner", row_id="node", hot=hot_among(common, "band")), "bands")
+    common = settled(few_files(bands.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")), "common-bands")
+    bands = settled(few_files(spread_join(bands, common.select("band"), "band", "inner", row_id="node", hot=hot_among(common, "band"))), "bands")
     tables = (
         bands.groupBy("node")
         .agg(F.collect_list(F.when(F.col("slot") < m, F.col("band"))).alias("left"), F.collect_list(F.when(F.col("slot") >= m, F.col("band"))).alias("right"))
@@ -194,42 +196,42 @@ def near_duplicates(
         .select("node", F.xxhash64("left", "right").alias("table"))
     )
     heads = tables.groupBy("table").agg(F.min("node").alias("head"), F.max("node").alias("tail"), F.count(F.lit(1)).alias("n"))
-    heads = settled(heads.where("head < tail").select("table", "head", "n"), "heads")
+    heads = settled(few_files(heads.where("head < tail").select("table", "head", "n")), "heads")
     hot_tables = hot_among(heads, "table")
-    tables = settled(spread_join(tables, heads.select("table", "head"), "table", "inner", row_id="node", hot=hot_tables), "tables")
+    tables = settled(few_files(spread_join(tables, heads.select("table", "head"), "table", "inner", row_id="node", hot=hot_tables)), "tables")
     release(spark, common, heads)
     hot_heads = hot_in(tables, "head")
     # Full sets of the nodes that meet another one in some table.
     wanted = tables.select("node").distinct()
     texts = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text"))
     # Rows that repeat an id and its text are dropped before the sets are made, which are larger.
-    sets = settled(set_rows(texts.join(wanted, "node", "left_semi").select("node", "text").distinct(), size), "sets")
+    sets = settled(few_files(set_rows(texts.join(wanted, "node", "left_semi").select("node", "text").distinct(), size), 4, 4), "sets")
 
     def of_components(links: DataFrame) -> DataFrame:
         return components(links.select("a", "b"))
 
-    first = settled(tables.where("node <> head").groupBy(F.col("node").alias("b")).agg(F.min("head").alias("a")).select("a", "b"), "pairs")
+    first = settled(few_files(tables.where("node <> head").groupBy(F.col("node").alias("b")).agg(F.min("head").alias("a")).select("a", "b")), "pairs")
     named = of_components(linked_pairs(first, sets, percent))
     for step in ("heads", "blocks"):
         placed = tables.join(named, "node", "left").withColumn("component", F.coalesce("component", "node"))
         if step == "heads":
             at_head = named.select(F.col("node").alias("head"), F.col("component").alias("at_head"))
             apart = spread_join(placed, at_head, "head", "left", row_id="node", hot=hot_heads).where(F.col("component") != F.coalesce("at_head", "head"))
-            more = linked_pairs(settled(apart.select(F.col("head").alias("a"), F.col("node").alias("b")).distinct(), "pairs"), sets, percent)
+            more = linked_pairs(settled(few_files(apart.select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()), "pairs"), sets, percent)
         else:
             open_tables = placed.groupBy("table").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("table")
             open_nodes = spread_join(placed, open_tables, "table", "left_semi", row_id="node", hot=hot_tables)
-            open_nodes = settled(open_nodes.select("node", "component").distinct(), "open")
+            open_nodes = settled(few_files(open_nodes.select("node", "component").distinct()), "open")
             more = _open_links(open_nodes, bands.where(F.col("slot") < m), sets, percent)
         joined = named.select("node", "component")
-        more = settled(more, "links")
+        more = settled(few_files(more, 4, 4), "links")
         edges = more.join(joined.withColumnsRenamed({"node": "b", "component": "cb"}), "b", "left")
         edges = spread_join(edges, joined.withColumnsRenamed({"node": "a", "component": "ca"}), "a", "left", row_id="b", hot=hot_in(more, "a"))
         merged = of_components(edges.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
         above = merged.select(F.col("node").alias("component"), F.col("component").alias("above"))
         kept_names = spread_join(named, above, "component", "left", row_id="node", hot=hot_in(named, "component")).select("node", F.coalesce("above", "component").alias("component"))
         fresh = merged.join(named, "node", "left_anti").select("node", "component")
-        now = settled(kept_names.union(fresh), "named")
+        now = settled(few_files(kept_names.union(fresh)), "named")
         release(spark, named, merged, more)
         named = now
     release(spark, tables, bands, sets)
@@ -244,7 +246,7 @@ def _open_links(open_nodes: DataFrame, left_bands: DataFrame, sets: DataFrame, p
     members = left_bands.join(open_nodes, "node").select("band", "node", "component")
     sized = members.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    sized = settled(sized, "open-bands")
+    sized = settled(few_files(sized), "open-bands")
     dealt = spread_join(members, sized.select("band", blocks.alias("blocks")), "band", "inner", row_id="node", hot=hot_among(sized, "band")).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     met = met.select("band", "node", "component", "block", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"))

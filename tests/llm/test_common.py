@@ -82,3 +82,20 @@ def test_components_of_a_star_and_a_chain(spark):
     found = components(star.union(chain).union(star.limit(3)).repartition(6)).groupBy("component").count().collect()
     assert sorted((r["component"], r["count"]) for r in found) == [(0, 5000), (10_000, 301)]
     assert components(star.limit(0)).count() == 0
+
+
+def test_small_results_lie_in_few_files(spark):
+    """Components of 400 pairs over 64 shuffle partitions, of which Spark joins none by itself; they were in 64 files."""
+    names = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in names}
+    try:
+        for k, v in names.items():
+            spark.conf.set(k, v)
+        found = components(spark.range(400).selectExpr("2 * id a", "2 * id + 1 b"))
+        files = 2 * spark.sparkContext.defaultParallelism
+        assert 1 < len(found.inputFiles()) <= files < 64
+        assert common.few_files(spark.range(0, 400, 1, 64), 1, 4).rdd.getNumPartitions() == 16
+        assert sorted(map(tuple, found.collect())) == [(k, k // 2 * 2) for k in range(800)]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

@@ -177,3 +177,19 @@ def test_packing(spark, library, parts, monkeypatch):
         filled[r.sequence_id] = r.offset + r.length
     assert max(filled.values()) <= 256
     assert sum(filled.values()) > 0.97 * 256 * (len(filled) - 1)
+
+
+def test_a_task_of_another_operator_gives_the_encoders_memory_back():
+    """One worker runs both, here as a generator without Spark; the encoder stayed before."""
+    import public_tokenizers
+
+    from stratalith.llm import encoding
+
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as source:
+        description = source.read()
+    first = encoding.encoder_for(description)
+    ids = first.encode(["some words again"])
+    assert encoding.encoder_for(description) is first
+    encoding.forget()
+    again = encoding.encoder_for(description)
+    assert again is not first and again.encode(["some words again"]) == ids
