@@ -31,30 +31,43 @@ class HotKeys:
         )
 
 
+def _sold(order_items: DataFrame, products: DataFrame, hot: HotKeys, of: DataFrame | None) -> DataFrame:
+    """Items, only those of the orders in ``of`` if there is one, with the product of each."""
+    sold = order_items.select(
+        "order_item_id", "order_id", "product_id", "quantity", F.col("price").alias("unit_price")
+    )
+    if of is not None:
+        sold = only_keys_of(sold, of, "order_id")
+    return spread_join(
+        sold, products.select("product_id", "product_name", "category"), "product_id", "left",
+        row_id="order_item_id", hot=hot.product_id,
+    )
+
+
+def sold_items(order_items: DataFrame, products: DataFrame, *, hot: HotKeys = HotKeys()) -> DataFrame:
+    """Items of any order with their product, to be stored where several enrichments read the same ones."""
+    return _sold(order_items.filter("order_id IS NOT NULL"), products, hot, None)
+
+
 def enrich_sales(
-    order_items: DataFrame,
+    order_items: DataFrame | None,
     orders: DataFrame,
     customers: DataFrame,
-    products: DataFrame,
+    products: DataFrame | None,
     *,
     hot: HotKeys = HotKeys(),
     few_orders: bool = False,
+    sold: DataFrame | None = None,
 ) -> DataFrame:
     """One row per item of the given orders.
 
     Orders meet customers and items meet products before the two sides meet: each lookup
     shuffles its narrow side, and the wide rows are shuffled once, by order. With
-    ``few_orders`` (an increment) the items are first reduced to those of the orders.
+    ``few_orders`` (an increment) the items are first reduced to those of the orders. With ``sold``,
+    stored :func:`sold_items`, items and products are not read; dealt by order, they are not moved either.
     """
-    sold = order_items.select(
-        "order_item_id", "order_id", "product_id", "quantity", F.col("price").alias("unit_price")
-    )
-    if few_orders:
-        sold = only_keys_of(sold, orders, "order_id")
-    sold = spread_join(
-        sold, products.select("product_id", "product_name", "category"), "product_id", "left",
-        row_id="order_item_id", hot=hot.product_id,
-    )
+    if sold is None:
+        sold = _sold(order_items, products, hot, orders if few_orders else None)
     placed = spread_join(
         orders.select(
             "order_id", "customer_id", "order_date", "order_status", "total_amount", "created_at", "updated_at"

@@ -184,13 +184,14 @@ def hot(spark: SparkSession, sf_dir: str) -> enrich.HotKeys:
 
 
 def enriched(
-    spark: SparkSession, sf_dir: str, orders: DataFrame | None = None, few_orders: bool = False
+    spark: SparkSession, sf_dir: str, orders: DataFrame | None = None, few_orders: bool = False, sold: DataFrame | None = None
 ) -> DataFrame:
     return enrich.enrich_sales(
-        silver(spark, sf_dir, "order_items"),
+        silver(spark, sf_dir, "order_items") if sold is None else None,
         silver(spark, sf_dir, "orders") if orders is None else orders,
         silver(spark, sf_dir, "customers"),
-        silver(spark, sf_dir, "products"),
+        silver(spark, sf_dir, "products") if sold is None else None,
         hot=hot(spark, sf_dir),
         few_orders=few_orders,
+        sold=sold,
     )

@@ -14,7 +14,7 @@ from stratalith.operators.clean import clean, parse_timestamps, rejects
 from stratalith.operators.dedup import latest_per_key
 from stratalith.operators.joins import hot_keys, only_keys_of, spread_join
 from stratalith.plans import enrich, gold, reports
-from stratalith.sources import control, footers
+from stratalith.sources import bucketed, control, footers
 from stratalith.sources.csv_files import read_csv, with_source_file
 from stratalith.spec import CUSTOMERS, ENTITIES
 
@@ -474,3 +474,28 @@ def test_affected_orders_reach_through_every_table(spark):
 def test_every_entity_has_a_total_order():
     for spec in ENTITIES.values():
         assert set(spec.order_by) == set(spec.columns) - {spec.key}
+
+
+@pytest.mark.parametrize("hot", [enrich.HotKeys(), enrich.HotKeys(order_id=[10], customer_id=[1], product_id=[100])])
+def test_enrichments_share_stored_items_dealt_by_order(spark, hot, tmp_path):
+    """Stored items with their products give the rows of the tables themselves, also of few orders, and are not moved again."""
+    t = sales_tables(spark)
+    name = f"shared_{len(hot.order_id)}"
+    sold = bucketed.write_bucketed(enrich.sold_items(t["order_items"], t["products"], hot=hot), name, "order_id", 4, str(tmp_path / "sold"))
+    try:
+        for orders in (t["orders"], t["orders"].filter("order_id = 10"), t["orders"].filter("false")):
+            want = enrich.enrich_sales(t["order_items"], orders, t["customers"], t["products"], hot=hot)
+            got = enrich.enrich_sales(None, orders, t["customers"], None, hot=hot, few_orders=True, sold=sold)
+            assert got.columns == want.columns and rows_of(got) == rows_of(want)
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
+def test_the_refreshed_fact_ranks_items_and_orders_once(spark, monkeypatch):
+    """Both loads read the same stored items and orders; the items were ranked for each load, the orders for each use."""
+    from testbed import catalogue, fixtures
+
+    made, real = [], fixtures.silver
+    monkeypatch.setattr(fixtures, "silver", lambda s, d, name: (made.append(name), real(s, d, name))[1])
+    fact = catalogue.refreshed_fact(spark, "/root/testdata/sf0.001")
+    assert fact.count() > 0 and made.count("order_items") == made.count("products") == made.count("orders") == 1
